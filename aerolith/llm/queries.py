@@ -6,13 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolith.llm import bpe, packing, token_counts
+from aerolith.llm import bpe, fingerprints, packing, repeats, simhash, token_counts
 from aerolith.llm.common import shared_dir, table
 
 GPT_JSON = public_tokenizers.path("byte_bpe_50k.json")
 MULTI_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+def op1_lz_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_edits(table(spark, sf_dir, "documents"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), GPT_JSON)
 
@@ -27,6 +31,15 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
-QUERIES = {f.__name__: f for f in (op4_packing, op6_bpe, op8_token_counts)}
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = repeats.removal(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return removed.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_lz_fingerprints, op4_packing, op6_bpe, op8_token_counts, op9_simhash, op10_repeats)}
 
 SQL: dict[str, str] = {}
