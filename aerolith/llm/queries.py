@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolith.llm import bpe, fingerprints, packing, repeats, simhash, token_counts
-from aerolith.llm.common import shared_dir, table
+from aerolith.llm import bpe, fingerprints, language_model, packing, repeats, simhash, token_counts
+from aerolith.llm.common import id_remainder, shared_dir, table
 
 GPT_JSON = public_tokenizers.path("byte_bpe_50k.json")
 MULTI_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -21,6 +21,11 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), GPT_JSON)
 
 
+def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = language_model.score(table(spark, sf_dir, "documents"), id_remainder(10) != 0)
+    return scores.withColumn("held_out", id_remainder(10) == 0)
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), MULTI_RANKS)
 
@@ -40,6 +45,6 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removed.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_lz_fingerprints, op4_packing, op6_bpe, op8_token_counts, op9_simhash, op10_repeats)}
+QUERIES = {f.__name__: f for f in (op1_lz_fingerprints, op4_packing, op5_language_model, op6_bpe, op8_token_counts, op9_simhash, op10_repeats)}
 
 SQL: dict[str, str] = {}
