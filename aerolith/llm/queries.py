@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolith.llm import bpe, fingerprints, language_model, packing, repeats, simhash, token_counts
+from aerolith.llm import bpe, fingerprints, language_id, language_model, packing, repeats, simhash, token_counts, vector_search
 from aerolith.llm.common import id_remainder, shared_dir, table
 
 GPT_JSON = public_tokenizers.path("byte_bpe_50k.json")
@@ -17,6 +17,17 @@ def op1_lz_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_edits(table(spark, sf_dir, "documents"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.learn(docs, id_remainder(4) != 2)
+    return language_id.identify(docs.select("doc_id", "text", (id_remainder(4) == 2).alias("held_out")), model).drop("text")
+
+
+def op3_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", vector_search.quantised(F.col("embedding")).alias("vector"))
+    return vector_search.top_k(vectors, F.col("vec_id") % 100 == 0)
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), GPT_JSON)
 
@@ -45,6 +56,24 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removed.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_lz_fingerprints, op4_packing, op5_language_model, op6_bpe, op8_token_counts, op9_simhash, op10_repeats)}
-
-SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_lz_fingerprints, op2_language_id, op3_ball_tree, op4_packing, op5_language_model, op6_bpe, op8_token_counts, op9_simhash, op10_repeats)}
+
+SQL: dict[str, str] = {
+    "op3_ball_tree": """
+WITH usable AS (
+  SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+one AS (SELECT vec_id, min(v) AS v FROM usable GROUP BY vec_id),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    CAST(list_sum([p[1] * p[2] FOR p IN list_zip(q.v, c.v)]) AS BIGINT) AS score
+  FROM one q JOIN one c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+  WHERE q.vec_id % 100 = 0),
+ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+  FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+""",
+}
