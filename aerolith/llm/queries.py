@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolith.llm import bpe, fingerprints, language_id, language_model, packing, repeats, simhash, token_counts, vector_search
+from aerolith.llm import bpe, fingerprints, language_id, language_model, packing, repeats, simhash, token_counts, toxicity, vector_search
 from aerolith.llm.common import id_remainder, shared_dir, table
 
 GPT_JSON = public_tokenizers.path("byte_bpe_50k.json")
@@ -41,6 +41,13 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), MULTI_RANKS)
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"), id_remainder(3) != 1)
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", (id_remainder(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """With a cache of its own, so that the query's work doesn't hang on earlier runs."""
     counts = token_counts.count_tokens(table(spark, sf_dir, "documents"), GPT_JSON, shared_dir(spark))
@@ -56,7 +63,7 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removed.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_lz_fingerprints, op2_language_id, op3_ball_tree, op4_packing, op5_language_model, op6_bpe, op8_token_counts, op9_simhash, op10_repeats)}
+QUERIES = {f.__name__: f for f in (op1_lz_fingerprints, op2_language_id, op3_ball_tree, op4_packing, op5_language_model, op6_bpe, op7_toxicity, op8_token_counts, op9_simhash, op10_repeats)}
 
 SQL: dict[str, str] = {
     "op3_ball_tree": """
