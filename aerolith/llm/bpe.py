@@ -18,7 +18,6 @@ import base64
 import hashlib
 import json
 from functools import lru_cache
-from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -31,7 +30,7 @@ from aerolith.llm.common import per_chunk, ragged, ship_package, utf8_data, whol
 
 OTHER, LETTER, NUMBER, SPACE = range(4)
 #: Matches and joints remembered by a Python worker; both are emptied when full.
-REMEMBERED = 600_000
+REMEMBERED = 300_000
 
 
 @lru_cache(1)
@@ -100,7 +99,7 @@ class PrefixEncoder:
                 self.endings.add_word(token.decode("latin-1"), (len(token), i))
         self.endings.make_automaton()
         self.fits: dict[int, bool] = {}
-        self.known: dict[bytes, tuple[int, ...]] = {}
+        self.known: dict[bytes, bytes] = {}  # ids as unsigned 32-bit numbers
 
     def _reached(self, token: bytes, i: int) -> bool:
         """Whether plain merging of the token's own bytes gives the token; notes its last merge."""
@@ -151,13 +150,13 @@ class PrefixEncoder:
             stored[end] = token
         return stored
 
-    def walk(self, data: bytes, stored: list[int]) -> tuple[int, ...]:
+    def walk(self, data: bytes, stored: list[int]) -> list[int]:
         """The ids of data, read back from its last prefix."""
         out, i, of = [], len(data), self.bytes_of
         while i:
             out.append(token := stored[i])
             i -= len(of[token])
-        return tuple(out[::-1])
+        return out[::-1]
 
     def append(self, data: bytes, stored: list[int], more: bytes) -> tuple[bytes, list[int]]:
         """The table of data + more; what is stored of data stays valid."""
@@ -168,8 +167,8 @@ class PrefixEncoder:
         new = data[:at] + put + data[at + removed :]
         return new, self.last_tokens(new, stored, at)
 
-    def encode_matches(self, matches: list[bytes]) -> list[tuple[int, ...]]:
-        """Ids of each match, which is a byte string that is encoded apart from others."""
+    def encode_matches(self, matches: list[bytes]) -> list[bytes]:
+        """Packed ids of each match, which is a byte string that is encoded apart from others."""
         known = self.known
         if len(known) > REMEMBERED:
             known.clear()
@@ -178,7 +177,7 @@ class PrefixEncoder:
             ids = get(m)
             if ids is None:
                 whole = self.ranks.get(m) if self.whole_first else None
-                ids = known[m] = (whole,) if whole is not None else self.walk(m, self.last_tokens(m, []))
+                ids = known[m] = np.array([whole] if whole is not None else self.walk(m, self.last_tokens(m, [])), np.uint32).tobytes()
             out.append(ids)
         return out
 
@@ -192,8 +191,8 @@ class PrefixEncoder:
         kind = pa.binary() if bounds.dtype == np.int32 else pa.large_binary()
         coded = pa.Array.from_buffers(kind, len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
         ids = self.encode_matches(coded.dictionary.to_pylist())
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat = np.frombuffer(b"".join(ids), np.uint32)
         which = np.asarray(coded.indices)
         lengths = sizes[which]
         out = flat[ragged((np.cumsum(sizes) - sizes)[which], lengths)]
