@@ -86,11 +86,11 @@ def learn(docs: DataFrame, trains: Column, sample: int = SAMPLE) -> Model:
     return Model(languages, *tables, name=f"{id(tables)}-{docs.sparkSession.sparkContext.applicationId}")
 
 
-def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """docs' columns, lang_pred and score of every whole text."""
+def identify(docs: DataFrame, model: Model, keep_text: bool = False) -> DataFrame:
+    """docs' columns (text only if it is to be kept), lang_pred and score of every whole text."""
     ship_package(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # at most 2 * FEATURES rows
-    others = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    others = [c for c in docs.columns if c not in ("lang_pred", "score") and (keep_text or c != "text")]
 
     def work(texts: pa.Array, *fixed: pa.Array) -> pa.RecordBatch:
         m = shared.value
@@ -114,7 +114,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
         return pa.record_batch([*fixed, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*others, "lang_pred", "score"])
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in others), "lang_pred string, score double"])
-    return docs.select(*others).mapInArrow(per_chunk(work, *others), schema)
+    return docs.select(*others, *([] if keep_text else ["text"])).mapInArrow(per_chunk(work, *others), schema)
 
 
 def _remembered(model: Model) -> tuple[dict[str, int], list[np.ndarray]]:

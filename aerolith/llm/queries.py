@@ -20,7 +20,7 @@ def op1_lz_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language_id.learn(docs, id_remainder(4) != 2)
-    return language_id.identify(docs.select("doc_id", "text", (id_remainder(4) == 2).alias("held_out")), model).drop("text")
+    return language_id.identify(docs.select("doc_id", "text", (id_remainder(4) == 2).alias("held_out")), model)
 
 
 def op3_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -92,8 +92,9 @@ def statuses(keys: np.ndarray, answers: pa.Table, kind: int, buckets: int) -> np
     return out
 
 
-def removal(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """docs' columns but text, and n_bytes, n_removed, n_spans, kept (the remaining bytes)."""
+def removal(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_bytes: int = SHARD_BYTES, as_text: bool = False) -> DataFrame:
+    """docs' columns but text, and n_bytes, n_removed, n_spans, kept: the remaining bytes, or as_text the
+    characters of which every byte remains."""
     n = max(1, -(-text_bytes(docs) // shard_bytes))
     documents = sharded(docs, n)
     others = [c for c in docs.columns if c != "text"]
@@ -204,10 +205,11 @@ def removal(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_bytes
         kept = data[~gone].tobytes()
         made = [table[c].combine_chunks() for c in others]
         made += [pa.array(x, pa.int64()) for x in (np.diff(offsets), count(gone), count(opens))]
-        made.append(pa.array([kept[a:b] for a, b in zip(kept_ends[:-1].tolist(), kept_ends[1:].tolist())], pa.binary()))
+        parts = [kept[a:b] for a, b in zip(kept_ends[:-1].tolist(), kept_ends[1:].tolist())]
+        made.append(pa.array([p.decode(errors="ignore") for p in parts] if as_text else parts, pa.string() if as_text else pa.binary()))
         return pa.table(made, names=[*others, "n_bytes", "n_removed", "n_spans", "kept"])
 
     about_runs = answer(ask(documents, ask_runs, QUESTION), compare_runs, ANSWER)
     about_windows = answer(ask(documents, ask_windows, QUESTION, about_runs), compare_windows, ANSWER)
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text"), "n_bytes long, n_removed long, n_spans long, kept binary"])
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text"), f"n_bytes long, n_removed long, n_spans long, kept {'string' if as_text else 'binary'}"])
     return ask(documents, remove, schema, about_runs.union(about_windows))
