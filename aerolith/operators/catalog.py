@@ -12,8 +12,11 @@ TITLE_BAD = " ,.\"*!@#$^&()=?/\\:;~`<>][{}"
 #: Units by whole name and by suffix (fixed values).
 UNIT_NAMES = {"Latitude": "degrees_north", "Longitude": "degrees_east", "GPS_altitude": "m", "Pressure_altitude": "m"}
 UNIT_SUFFIXES = {"_ppm": "ppm", "_ppb": "ppb", "_ppt": "ppt", "_cm3": "cm-3", "_percent": "percent", "_degC": "degC"}
-#: Words of titles that don't tell instruments apart.
-TAG_STOP = ("HU", "UC", "NASA")
+#: Words of titles that don't tell instruments apart (fixed values).
+TAG_STOP = (
+    "NASA", "HU", "THE", "ON", "FROM", "IN", "SITU", "AND", "OF", "MEASUREMENTS", "DISTRIBUTIONS", "PARTICLE", "SIZE", "AEROSOL",
+    "SUBMICRON", "FALCON", "CLOUD",
+)
 
 
 def clean_title(title: Column) -> Column:

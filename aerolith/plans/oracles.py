@@ -295,3 +295,70 @@ rz AS (SELECT window_start, candidate, sum(pow((10 * list_inner_product(w.v, k.v
 bs AS (SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY residual, candidate) AS place FROM rz)
  SELECT window_start, candidate, round(residual, 6) AS residual, (CASE WHEN residual <= 0.5 THEN 2 ELSE 1 END)::BIGINT AS attempt_flag_cri FROM bs WHERE place = 1""",
 }
+
+_FILES = """f AS (SELECT event_type || '_HU25_' || strftime(ts, '%Y%m%d') || '_R0.ict' AS file, strftime(ts, '%Y-%m-%d') AS flight_date, event_type,
+  row_number() OVER (PARTITION BY event_type, CAST(ts AS DATE) ORDER BY event_id) - 1 AS pos, floor((epoch_us(ts) / 1000000.0) % 86400)::DOUBLE AS seconds, CASE WHEN event_id % 31 <> 0 THEN value END AS value, user_id FROM events)"""
+
+_SLOTS = """ds AS (SELECT DISTINCT CAST(CAST(ts AS DATE) AS VARCHAR) AS flight_date FROM events),
+v AS (SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS flight_date, floor(((epoch_us(ts) / 1000000.0) % 86400) / 900)::BIGINT * 900 AS slot_s, avg(value) AS value FROM events WHERE event_id % 3 = 0 GROUP BY 1, 2),
+tl AS (SELECT ds.flight_date, x.slot_s, v.value FROM ds CROSS JOIN range(0, 86400, 900) AS x(slot_s) LEFT JOIN v ON v.flight_date = ds.flight_date AND v.slot_s = x.slot_s),
+nb AS (SELECT *, last_value(value IGNORE NULLS) OVER p AS v0, last_value(CASE WHEN value IS NOT NULL THEN slot_s END IGNORE NULLS) OVER p AS t0,
+  first_value(value IGNORE NULLS) OVER n AS v1, first_value(CASE WHEN value IS NOT NULL THEN slot_s END IGNORE NULLS) OVER n AS t1 FROM tl
+ WINDOW p AS (PARTITION BY flight_date ORDER BY slot_s ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), n AS (PARTITION BY flight_date ORDER BY slot_s ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))"""
+
+_CLEAN = "regexp_replace(replace(replace(replace(trim({x}), '%', 'percent'), '_+_', '+'), '-->', 'to'), '[] ,.\"*!@#$^&()=?/\\\\:;~`<>\\[{{}}]', '_', 'g')"
+
+_FAMILY = """nm AS (SELECT p_partkey, p_type || '_' || p_name || '_' || p_size AS name FROM part),
+ti AS (SELECT * FROM (VALUES ('ECONOMY', 'bulk'), ('SMALL', 'bulk'), ('SMALL_red widget', 'red'), ('SMALL_red', 'never'), ('PROMO', 'PROMO')) AS x(title, family)),
+mt AS (SELECT p_partkey, name, arg_max(ti.family, length(ti.title)) AS family, arg_max(ti.title, length(ti.title)) AS title FROM nm LEFT JOIN ti ON starts_with(name, ti.title || '_') GROUP BY ALL),
+fam AS (SELECT p_partkey, name, coalesce(family, 'other') AS family, coalesce(title, string_split(name, '_')[1]) AS title FROM mt)"""
+
+_CHANNELS = """ch AS (SELECT p_partkey AS pos, 400 + p_size * 7 AS wavelength,
+  CASE p_type WHEN 'SMALL' THEN '_submicron' WHEN 'LARGE' THEN '_total_amb' WHEN 'PROMO' THEN '_total' WHEN 'MEDIUM' THEN '_submicron_amb' ELSE '' END AS k FROM part),
+rk AS (SELECT *, 'Sc' || wavelength || k || '_' || pos AS col, CASE WHEN k LIKE '%total%' THEN 0 WHEN k LIKE '%submicron%' THEN 1 ELSE 2 END AS a, CASE WHEN k LIKE '%amb%' THEN 1 ELSE 0 END AS b FROM ch),
+pf AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY wavelength ORDER BY a, b, pos) AS place FROM rk) WHERE place = 1)"""
+
+SQL |= {
+    "icartt_scan": f"""WITH {_FILES}, u AS (SELECT file, flight_date, pos, seconds, 'Probe_' || event_type || '_value' AS variable, value FROM f UNION ALL SELECT file, flight_date, pos, seconds, 'Probe_' || event_type || '_user', user_id::DOUBLE FROM f)
+ SELECT file, flight_date, pos, seconds, variable, round(value, 6) AS value FROM u""",
+    "icartt_header_vars": f"""WITH {_FILES}, d AS (SELECT DISTINCT file, 'Probe ' || event_type AS title FROM f)
+ SELECT file, title, v.* FROM d CROSS JOIN (VALUES (0::BIGINT, 'value', 'counts', 'std_STP', 'the value, in counts'), (1::BIGINT, 'user', 'none', '', '')) AS v(pos, name, units, standard, description)""",
+    "file_select": r"""WITH m AS (SELECT page_id, regexp_extract(url, '^https?://([a-z.]+)/([a-z]{2})/(\d+)', 1) AS host, regexp_extract(url, '^https?://([a-z.]+)/([a-z]{2})/(\d+)', 2) AS token, regexp_extract(url, '^https?://([a-z.]+)/([a-z]{2})/(\d+)', 3) AS number FROM pages)
+ SELECT * FROM m WHERE token IN ('fr', 'de') AND CAST(number AS BIGINT) BETWEEN 100 AND 800""",
+    "timeline": "SELECT flight_date, slot_s FROM (SELECT DISTINCT CAST(CAST(ts AS DATE) AS VARCHAR) AS flight_date FROM events) CROSS JOIN range(0, 86400, 600) AS x(slot_s)",
+    "merge_beside": "SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS flight_date, (epoch_us(ts) // 600000000) * 600 AS slot, "
+    + ", ".join(f"round(avg(value) FILTER (WHERE event_type = '{t}'), 6) AS {t}" for t in ("click", "error", "purchase", "signup"))
+    + " FROM events WHERE event_type <> 'view' AND value IS NOT NULL GROUP BY 1, 2",
+    "gap_fill_linear": f"WITH {_SLOTS} SELECT flight_date, slot_s, round(coalesce(value, CASE WHEN t1 - t0 <= 3600 THEN v0 + (v1 - v0) * (slot_s - t0) / (t1 - t0) END), 6) AS filled FROM nb",
+    "gap_fill_nearest": f"""WITH {_SLOTS} SELECT flight_date, slot_s, round(CASE WHEN coalesce(slot_s - t0 <= 1800, FALSE) AND (NOT coalesce(t1 - slot_s <= 1800, FALSE) OR slot_s - t0 <= t1 - slot_s) THEN v0
+ WHEN coalesce(t1 - slot_s <= 1800, FALSE) THEN v1 END, 6) AS filled FROM nb""",
+    "stack_on_top": "SELECT event_id, " + ", ".join(f"round(CASE WHEN event_type = '{t}' THEN value END, 6) AS {t}_value" for t in ("click", "error", "view")) + " FROM events WHERE event_type IN ('click', 'error', 'view')",
+    "dedupe_keep_first": "SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS flight_date, epoch_us(ts) // 600000000 AS slot, min(event_id) AS event_id, round(arg_min(value, event_id), 6) AS value FROM events GROUP BY 1, 2",
+    "clean_title": f"SELECT p_partkey, {_CLEAN.format(x="' ' || p_name || ' 5% (a_+_b) --> ' || p_brand || '.x '")} AS title FROM part",
+    "provenance_text": """SELECT field, string_agg(line, chr(10) ORDER BY line) AS text FROM (SELECT DISTINCT 'field' || (user_id % 3) AS field, event_type || ': ' || (user_id % 7) AS line FROM events) GROUP BY field""",
+    "channel_preference": f"WITH {_CHANNELS} SELECT wavelength::BIGINT AS wavelength, col AS \"column\" FROM pf",
+    "wavelength_match": f"""WITH {_CHANNELS}, sc AS (SELECT wavelength AS w, CASE WHEN k = '' THEN 'total' ELSE substr(k, 2) END AS kind FROM pf),
+ex AS (SELECT pos, wavelength AS w2, 'Ext' || wavelength || k || '_' || pos AS col, CASE WHEN k = '' THEN 'unknown' ELSE substr(k, 2) END AS kind2 FROM ch WHERE pos % 5 = 0),
+mm AS (SELECT w, w2, col, row_number() OVER (PARTITION BY w, w2 ORDER BY CASE WHEN kind = kind2 THEN 0 WHEN kind2 = 'total' THEN 1 ELSE 2 END, pos) AS place FROM sc JOIN ex ON abs(w - w2) <= 50)
+ SELECT w::BIGINT AS wavelength, w2::BIGINT AS other_wavelength, col AS other_column FROM mm WHERE place = 1""",
+    "longest_prefix_family": f"WITH {_FAMILY} SELECT p_partkey, name, family, title FROM fam",
+    "family_members": f"WITH {_FAMILY} SELECT family, count(*) AS n, min(name) AS first_name FROM fam GROUP BY family",
+    "family_order": f"""WITH {_FAMILY}, d AS (SELECT DISTINCT family FROM fam)
+ SELECT family, row_number() OVER (ORDER BY CASE family WHEN 'red' THEN 1 WHEN 'absent' THEN 2 WHEN 'bulk' THEN 3 WHEN 'other' THEN 5 ELSE 4 END, family) AS place FROM d""",
+    "short_name": f"WITH {_FAMILY} SELECT p_partkey, CASE WHEN p_partkey % 4 <> 0 AND starts_with(name, title || '_') THEN substr(name, length(title) + 2) ELSE name END AS short FROM fam",
+    "guess_units": """WITH n AS (SELECT p_partkey, CASE WHEN p_partkey % 50 = 0 THEN 'Latitude' WHEN p_partkey % 50 = 1 THEN 'GPS_altitude'
+  ELSE p_name || ['_ppm', '_ppb', '_cm3', '_percent', '_degC', '', '_ppt'][p_partkey % 7 + 1] END AS short FROM part)
+ SELECT p_partkey, short, CASE WHEN short = 'Latitude' THEN 'degrees_north' WHEN short = 'GPS_altitude' THEN 'm' WHEN short LIKE '%!_ppm' ESCAPE '!' THEN 'ppm' WHEN short LIKE '%!_ppb' ESCAPE '!' THEN 'ppb'
+  WHEN short LIKE '%!_ppt' ESCAPE '!' THEN 'ppt' WHEN short LIKE '%!_cm3' ESCAPE '!' THEN 'cm-3' WHEN short LIKE '%!_percent' ESCAPE '!' THEN 'percent' WHEN short LIKE '%!_degC' ESCAPE '!' THEN 'degC' END AS units FROM n""",
+    "measurement_basis": """WITH n AS (SELECT p_partkey, coalesce(['X_STP', 'X_AMB', 'Mass_STP_y', '', NULL][p_partkey % 5 + 1], '') AS std, coalesce(['ppmv', 'unitless', 'm-1', 'degrees', 'um', '', NULL][p_partkey % 7 + 1], '') AS u,
+  replace(lower(['At Standard_Temperature', 'ambient temperature', '', 'STP_used', 'none'][p_partkey % 5 + 1]), '_', ' ') AS i,
+  CASE WHEN p_partkey % 11 = 0 THEN p_name || '_stp' WHEN p_partkey % 13 = 0 THEN 'frac_x' ELSE p_name END AS nm FROM part)
+ SELECT p_partkey, CASE WHEN std = 'X_STP' OR std = 'Mass_STP_y' THEN 'STP' WHEN std = 'X_AMB' THEN 'ambient' WHEN nm LIKE '%!_stp' ESCAPE '!' THEN 'STP'
+  WHEN u IN ('ppmv', 'unitless', 'degrees') OR nm LIKE '%frac%' THEN 'not_applicable' WHEN i LIKE '%standard temperature%' OR i LIKE '%stp%' THEN 'STP' WHEN i LIKE '%ambient temperature%' THEN 'ambient' ELSE 'unspecified' END AS basis FROM n""",
+    "dedupe_names": """WITH n AS (SELECT p_partkey, p_type, p_name, count(*) OVER (PARTITION BY p_type, p_name) AS k, CASE WHEN p_size % 2 = 0 THEN 'XY' || CASE WHEN length(p_brand) > 7 THEN substr(p_brand, 7) ELSE '' END || 'LAS' WHEN length(p_brand) > 7 THEN substr(p_brand, 7) ELSE replace(p_brand, '#', '') END AS tag FROM part WHERE p_partkey % 9 = 0)
+ SELECT p_partkey, CASE WHEN k > 1 THEN p_name || '_' || tag ELSE p_name END AS unique_name FROM n""",
+    "metadata_resolve": """WITH h AS (SELECT p_type, p_name, min(p_brand) AS units, min(p_size)::VARCHAR AS standard FROM part WHERE p_size < 25 GROUP BY ALL),
+o AS (SELECT p_name, arg_min(units, p_type) AS units, arg_min(standard, p_type) AS standard FROM h GROUP BY p_name)
+ SELECT p_partkey, coalesce(h.units, o.units) AS units, coalesce(h.standard, o.standard) AS standard FROM part LEFT JOIN h USING (p_type, p_name) LEFT JOIN o ON o.p_name = part.p_name WHERE p_size >= 25""",
+    "shift_group_lookup": """WITH t AS (SELECT p_name, arg_min(p_type, p_partkey) AS shift_group FROM part WHERE p_size < 4 GROUP BY p_name) SELECT p_name AS name, p_partkey, coalesce(shift_group, 'none') AS shift_group FROM part LEFT JOIN t USING (p_name)""",
+}

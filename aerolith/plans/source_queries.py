@@ -1 +1,98 @@
+"""Queries of scans, file selection and merging; events of one type stand for one instrument."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from aerolith.functions.timekeys import epoch_seconds
+from aerolith.operators import catalog, merge, report
+from aerolith.plans import frames
+from aerolith.plans.registry import query
+from aerolith.sources import icartt, tables
+
+HEADER = ("15, 1001", "PI", "organisation", "{title}", "mission", "1, 1", "2024, 1, 1", "1", "seconds", "2", "1, 1", "-9999, -8888", "value, counts, std_STP, the value, in counts", "user,none", "DATA_INFO: made")
+TYPES = ("click", "error", "purchase", "signup", "view")
+
+
+def files(spark, sf) -> DataFrame:
+    """A text file for each date and event type (about 65 data lines each at the small scale)."""
+    e = frames.events(spark, sf)
+    line = F.concat_ws(", ", F.floor(epoch_seconds("ts") % 86_400).cast("string"), F.when(F.col("event_id") % 31 == 0, "-9999").otherwise(F.col("value").cast("string")), F.col("user_id").cast("string"))
+    day = F.date_format("ts", "yyyyMMdd")
+    lines = F.transform(F.array_sort(F.collect_list(F.struct("event_id", line.alias("line")))), lambda x: x["line"])
+    made = e.groupBy("event_type", day.alias("day")).agg(lines.alias("data"))
+    header = [F.concat(F.lit("Probe "), "event_type") if x == "{title}" else F.lit(x) for x in HEADER]
+    name = F.concat("event_type", F.lit("_HU25_"), "day", F.lit("_R0.ict"))
+    return made.select(name.alias("file"), F.concat_ws("\n", F.array(*header), "data").alias("content"))
+
+
+@query
+def icartt_scan(spark, sf):
+    return icartt.scan(files(spark, sf), prefix_title=True).select("file", "flight_date", "pos", "seconds", "variable", "value")
+
+
+@query
+def icartt_header_vars(spark, sf):
+    return icartt.header_variables(files(spark, sf))
+
+
+@query
+def file_select(spark, sf):
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    named = tables.by_name(pages, "url", r"^https?://([a-z.]+)/([a-z]{2})/(\d+)", {"host": 1, "token": 2, "number": 3})
+    return named.where(F.col("token").isin("fr", "de") & F.col("number").cast("long").between(100, 800)).select("page_id", "host", "token", "number")
+
+
+def fifteen_minutes(spark, sf) -> DataFrame:
+    """The timeline of every date in steps of 900 s with each step's mean value (null: none)."""
+    e = frames.sensor(spark, sf)
+    slots = e.where("event_id % 3 = 0").groupBy("flight_date", (F.floor(epoch_seconds("ts") % 86_400 / 900) * 900).cast("int").alias("slot_s")).agg(F.avg("value").alias("value"))
+    return merge.timeline(e, 900).join(slots, ["flight_date", "slot_s"], "left")
+
+
+@query
+def timeline(spark, sf):
+    return merge.timeline(frames.sensor(spark, sf), 600)
+
+
+@query
+def merge_beside(spark, sf):
+    long = frames.sensor(spark, sf).where("event_type <> 'view'").select("flight_date", "ts", F.col("event_type").alias("variable"), "value")
+    return merge.beside(long, 600, [t for t in TYPES if t != "view"])
+
+
+@query
+def gap_fill_linear(spark, sf):
+    return merge.fill_linear(fifteen_minutes(spark, sf), "value", "filled", 3600).select("flight_date", "slot_s", "filled")
+
+
+@query
+def gap_fill_nearest(spark, sf):
+    return merge.fill_nearest(fifteen_minutes(spark, sf), "value", "filled", 1800).select("flight_date", "slot_s", "filled")
+
+
+@query
+def stack_on_top(spark, sf):
+    e = frames.sensor(spark, sf)
+    parts = [e.where(F.col("event_type") == t).select("event_id", F.col("value").alias(f"{t}_value")) for t in ("click", "error", "view")]
+    return merge.stack(parts)
+
+
+@query
+def dedupe_keep_first(spark, sf):
+    rows = frames.sensor(spark, sf).select("flight_date", F.floor(epoch_seconds("ts") / 600).alias("slot"), "event_id", "value")
+    return merge.keep_first(rows, ["flight_date", "slot"], ["event_id"])
+
+
+@query
+def clean_title(spark, sf):
+    part = spark.read.parquet(f"{sf}/part.parquet")
+    raw = F.concat(F.lit(" "), "p_name", F.lit(" 5% (a_+_b) --> "), "p_brand", F.lit(".x "))
+    return part.select("p_partkey", catalog.clean_title(raw).alias("title"))
+
+
+@query
+def provenance_text(spark, sf):
+    facts = frames.events(spark, sf).select(F.col("event_type").alias("title"), F.concat(F.lit("field"), (F.col("user_id") % 3).cast("string")).alias("field"), (F.col("user_id") % 7).cast("string").alias("value"))
+    return report.provenance_text(facts)

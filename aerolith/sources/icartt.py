@@ -21,7 +21,7 @@ TITLE, COUNT, MISSING, DEFINITIONS = 4, 10, 12, 13
 
 def read_files(spark: SparkSession, path: str, glob: str = "*.ict") -> DataFrame:
     """file, content of every file."""
-    texts = spark.read.option("wholetext", True).option("pathGlobFilter", glob).option("recursiveFileLookup", True).text(path)
+    texts = spark.read.text(path, wholetext=True, pathGlobFilter=glob, recursiveFileLookup=True)
     return texts.select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("content"))
 
 
