@@ -216,8 +216,9 @@ def test_masks_cover_every_difference():
     finer = simhash.refine(masks[3])
     free = [p for p in range(64) if not masks[3] >> p & 1]
     for _ in range(3000):
-        assert any(not m & sum(1 << int(p) for p in rng.choice(64, 3, replace=False)) for m in masks)
-        assert any(not m & sum(1 << int(p) for p in rng.choice(free, 3, replace=False)) for m in finer)
+        for positions, family in ((range(64), masks), (free, finer)):
+            differing = sum(1 << int(p) for p in rng.choice(list(positions), 3, replace=False))
+            assert any(not m & differing for m in family)
 
 
 def test_large_buckets_lose_no_link(spark):
