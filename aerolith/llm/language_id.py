@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aerolith.llm.common import column, per_chunk, ship_package, whole_text
+from aerolith.llm.common import column, materialise, per_chunk, ship_package, whole_text
 from aerolith.llm.samples import labelled_sample
 
 LONGEST, FEATURES, SAMPLE, REMEMBERED = 4, 60_000, 3_000, 600_000
@@ -76,7 +76,7 @@ def learn(docs: DataFrame, trains: Column, sample: int = SAMPLE) -> Model:
             yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*both) if both else [()] * 4, kinds)], names=["kind", "lang", "feature", "n"])
 
     counted = rows.select("label", "text").mapInArrow(count, "kind int, lang string, feature string, n long").groupBy("kind", "feature", "lang").agg(F.sum("n").alias("n"))
-    listed = counted.groupBy("kind", "feature").agg(F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
+    listed = materialise(counted).groupBy("kind", "feature").agg(F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
     kept = [listed.where(F.col("kind") == k).where(F.col("total") > 1).orderBy(F.desc("total"), "feature").limit(FEATURES).collect() for k in (0, 1)]
     languages = sorted({lang for part in kept for r in part for lang in r["by"]})
     tables = []
