@@ -105,9 +105,7 @@ def identify(docs: DataFrame, model: Model, keep_text: bool = False) -> DataFram
             at = [number.get(w, -1) for w in found]
             if -1 in at:
                 at = [_number(m, number, table, w) for w in found]
-            total = np.bincount(at)
-            used = np.flatnonzero(total)
-            sums = total[used] @ table[0][used]
+            sums = table[0].take(at, axis=0).sum(axis=0)
             best = int(np.argmax(sums))
             langs.append(m.languages[best])
             scores.append(float(1 / np.exp(sums - sums[best]).sum()))
