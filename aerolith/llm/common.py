@@ -19,9 +19,12 @@ CHUNK_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given tables; read by Spark alone, so any store that Spark knows will do."""
+    """One of the given tables; read by Spark alone, so any store that Spark knows will do. A table of fewer
+    partitions than the cluster has cores (one small file) is dealt out to all of them."""
     ship_package(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def ship_package(spark: SparkSession) -> None:

@@ -1,7 +1,7 @@
 """Operator 2: language identification by words first, then shorter character n-grams.
 
-Learning counts the words of a bounded sample of labelled documents and, weighted by their counts,
-the n-grams inside them. A known word scores its smoothed log frequency in each language. A word
+Learning counts the words of a bounded sample of labelled documents, and the n-grams inside the
+distinct ones. A known word scores its smoothed log frequency in each language. A word
 that isn't known is read n-gram by n-gram: at each position the longest known n-gram counts, from
 LONGEST characters down to one. The scores of a text's words add up; the softmax of the sums is the
 score. A vocabulary is the FEATURES most frequent of its kind, so the model's size is bounded.
@@ -13,7 +13,7 @@ be learnt. Ties go to the language that comes first by name. Repeated rows each
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -62,25 +62,37 @@ def learn(docs: DataFrame, trains: Column, sample: int = SAMPLE) -> Model:
     ship_package(docs.sparkSession)
     rows = labelled_sample(docs.select("doc_id", "lang", whole_text().alias("text")).where(trains), F.col("lang"), F.col("doc_id"), sample)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    schema = "lang string, feature string, n long"
+    kinds = (pa.string(), pa.string(), pa.int64())
+
+    def batch_of(counts: dict[str, Counter]) -> pa.RecordBatch:
+        made = [(lang, f, n) for lang, c in counts.items() for f, n in c.items()]
+        return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*made) if made else [()] * 3, kinds)], names=["lang", "feature", "n"])
+
+    def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = Counter()
+            words: dict[str, Counter] = defaultdict(Counter)
             for text, lang in zip(column(batch, "text").to_pylist(), column(batch, "label").to_pylist()):
-                words.update((lang, w) for w in WORD.findall(text.lower()))
-            grams = Counter()
-            for (lang, w), n in words.items():
-                for g in ngrams(w):
-                    grams[lang, g] += n
-            both = [(k, lang, f, n) for k, c in ((0, words), (1, grams)) for (lang, f), n in c.items()]
-            kinds = (pa.int32(), pa.string(), pa.string(), pa.int64())
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*both) if both else [()] * 4, kinds)], names=["kind", "lang", "feature", "n"])
-
-    counted = rows.select("label", "text").mapInArrow(count, "kind int, lang string, feature string, n long").groupBy("kind", "feature", "lang").agg(F.sum("n").alias("n"))
-    listed = materialise(counted).groupBy("kind", "feature").agg(F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
-    kept = [listed.where(F.col("kind") == k).where(F.col("total") > 1).orderBy(F.desc("total"), "feature").limit(FEATURES).collect() for k in (0, 1)]
-    languages = sorted({lang for part in kept for r in part for lang in r["by"]})
+                words[lang].update(WORD.findall(text.lower()))
+            yield batch_of(words)
+
+    def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            grams: dict[str, Counter] = defaultdict(Counter)
+            for lang, word in zip(column(batch, "lang").to_pylist(), column(batch, "feature").to_pylist()):
+                grams[lang].update(ngrams(word))
+            yield batch_of(grams)
+
+    def kept(counted: DataFrame) -> list:
+        listed = counted.groupBy("feature").agg(F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
+        return listed.where(F.col("total") > 1).orderBy(F.desc("total"), "feature").limit(FEATURES).collect()
+
+    summed = lambda df: df.groupBy("lang", "feature").agg(F.sum("n").alias("n"))
+    words = materialise(summed(rows.select("label", "text").mapInArrow(count_words, schema)))
+    kept_parts = [kept(words), kept(summed(words.mapInArrow(count_grams, schema)))]
+    languages = sorted({lang for part in kept_parts for r in part for lang in r["by"]})
     tables = []
-    for part in kept:
+    for part in kept_parts:
         sums = {lang: sum(r["by"].get(lang, 0) for r in part) for lang in languages}
         tables.append({r["feature"]: [float(np.log((r["by"].get(lang, 0) + 0.1) / (sums[lang] + 0.1 * (len(part) + 1)))) for lang in languages] for r in part})
     return Model(languages, *tables, name=f"{id(tables)}-{docs.sparkSession.sparkContext.applicationId}")
