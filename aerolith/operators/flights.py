@@ -91,3 +91,11 @@ def densify(gridded: DataFrame, flights: DataFrame, value: str, n_slots: int, fi
 def broadcast_windows(rows: DataFrame, windows: DataFrame, key: str, values: list[str]) -> DataFrame:
     """Each row with its window's values; null where it has no window."""
     return rows.join(windows.select(key, *values), key, "left")
+
+
+def select_spans(spans: DataFrame, rows: DataFrame, gap: float = GAP_S) -> DataFrame:
+    """The given envelopes (start_s, end_s) that overlap the rows' time range; sessions of the rows if none does."""
+    limits = rows.agg(F.min("at").alias("_lo"), F.max("at").alias("_hi"))
+    inside = spans.crossJoin(F.broadcast(limits)).where((F.col("end_s") >= F.col("_lo")) & (F.col("start_s") <= F.col("_hi")))  # one row
+    kept = inside.select("start_s", "end_s")
+    return sessions(rows.select("flight_date", "at"), gap).select("start_s", "end_s") if kept.isEmpty() else kept

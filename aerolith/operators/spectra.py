@@ -113,3 +113,17 @@ def common_patterns(df: DataFrame, bins: str, least: int = 5) -> DataFrame:
     """(pattern, n) of patterns with two bins at least that occur least times at least."""
     counted = df.groupBy(pattern(F.col(bins)).alias("pattern")).agg(F.count("*").alias("n"))
     return counted.where((F.col("n") >= least) & (F.size("pattern") >= 2)).orderBy(F.desc("n"), "pattern")
+
+
+def match_bins(columns: DataFrame, headers: DataFrame, packaged: DataFrame) -> DataFrame:
+    """Sizes of bin columns (tag, name, pos): from the header's bin of that name, else by position if the header lists as
+    many bins, else from the packaged table by position if that has as many, else null. headers and packaged: tag, pos,
+    centre (headers: name as well)."""
+    size = lambda df, out: df.groupBy("tag").agg(F.count("*").alias(out))
+    named = headers.select("tag", "name", F.col("centre").alias("_named"))
+    placed = lambda df, out: df.select("tag", "pos", F.col("centre").alias(out))
+    met = columns.join(named, ["tag", "name"], "left").join(placed(headers, "_placed"), ["tag", "pos"], "left").join(placed(packaged, "_packaged"), ["tag", "pos"], "left")
+    for df, out in ((columns, "_n"), (headers, "_h"), (packaged, "_p")):
+        met = met.join(size(df, out), "tag", "left")
+    centre = F.coalesce("_named", F.when(F.col("_n") == F.col("_h"), F.col("_placed")), F.when(F.col("_n") == F.col("_p"), F.col("_packaged")))
+    return met.select("tag", "name", "pos", centre.alias("centre"))

@@ -112,3 +112,10 @@ def test_orphan_day_gets_a_span_but_a_claimed_day_does_not(spark):
     rows = spark.createDataFrame([(0, 1500.0), (1, 50000.0), (2, 90000.0), (3, 95000.0)], "event_id long, at double")
     found = flights.orphan_spans(flights.assign(rows, spans), spans).collect()
     assert [(r["start_s"], r["end_s"]) for r in found] == [(90000.0, 95000.0)]
+
+
+def test_envelopes_outside_the_data_give_way_to_sessions(spark):
+    df = seconds(spark, (0, 600), (5000, 6000))
+    spans = spark.createDataFrame([(500.0, 900.0), (90000.0, 91000.0)], "start_s double, end_s double")
+    assert [tuple(r) for r in flights.select_spans(spans, df).collect()] == [(500.0, 900.0)]
+    assert flights.select_spans(spans.where("start_s > 1000"), df).count() == 2

@@ -131,3 +131,11 @@ def test_drop_and_metadata(spark):
     assert merge.drop_matching(df, ["^a_"]).columns == ["b"]
     facts = spark.createDataFrame([("t", "f", "v")], "title string, field string, value string")
     assert merge.merge_metadata([facts, facts]).count() == 1
+
+
+def test_bins_by_name_then_position_then_package(spark):
+    columns = spark.createDataFrame([(t, f"{t}{i}", i) for t in ("a", "b", "c", "d") for i in (0, 1)], "tag string, name string, pos int")
+    headers = spark.createDataFrame([("a", "a1", 0, 1.0), ("b", "x", 0, 2.0), ("b", "y", 1, 3.0), ("c", "z", 0, 4.0)], "tag string, name string, pos int, centre double")
+    packaged = spark.createDataFrame([("c", 0, 5.0), ("c", 1, 6.0)], "tag string, pos int, centre double")
+    got = {r["name"]: r["centre"] for r in spectra.match_bins(columns, headers, packaged).collect()}
+    assert got == {"a0": None, "a1": 1.0, "b0": 2.0, "b1": 3.0, "c0": 5.0, "c1": 6.0, "d0": None, "d1": None}
