@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from aerolith.llm.common import per_chunk, ragged, ship_package, utf8_data, whole_text
+from aerolith.llm.common import per_chunk, ragged, remembered, ship_package, utf8_data, whole_text
 
 OTHER, LETTER, NUMBER, SPACE = range(4)
 #: Matches and joints remembered by a Python worker; both are emptied when full.
@@ -203,17 +203,23 @@ class PrefixEncoder:
         return b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
 
 
-@lru_cache(4)
 def from_ranks(path: str) -> PrefixEncoder:
-    """From a file of base64 tokens and ranks."""
+    """From a file of base64 tokens and ranks; remembered."""
+    return remembered("bpe", path, lambda: _read_ranks(path))
+
+
+def from_json(path: str) -> tuple[PrefixEncoder, dict[str, int]]:
+    """From a byte-level BPE tokenizer's JSON file: the encoder and the special tokens; remembered."""
+    return remembered("bpe", path, lambda: _read_json(path))
+
+
+def _read_ranks(path: str) -> PrefixEncoder:
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     return PrefixEncoder(ranks)
 
 
-@lru_cache(4)
-def from_json(path: str) -> tuple[PrefixEncoder, dict[str, int]]:
-    """From a byte-level BPE tokenizer's JSON file: the encoder and the special tokens."""
+def _read_json(path: str) -> tuple[PrefixEncoder, dict[str, int]]:
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]

@@ -85,6 +85,22 @@ def utf8_data(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+_remembered: dict[str, dict[str, object]] = {}
+
+
+def remembered(kind: str, name: str, make: Callable, full: Callable = lambda held: False) -> object:
+    """What this worker remembers for a model of a kind: two models at most, made anew when full, and dropped when
+    another kind's turn comes, so that the stages of a pipeline don't add up in a worker that they share."""
+    if kind not in _remembered:
+        _remembered.clear()
+    held = _remembered.setdefault(kind, {})
+    if name not in held or full(held[name]):
+        if len(held) > 1:
+            held.clear()
+        held[name] = make()
+    return held[name]
+
+
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 

@@ -13,6 +13,7 @@ be learnt. Ties go to the language that comes first by name. Repeated rows each
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -21,13 +22,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aerolith.llm.common import column, materialise, per_chunk, ship_package, whole_text
+from aerolith.llm.common import column, materialise, per_chunk, remembered, ship_package, whole_text
 from aerolith.llm.samples import labelled_sample
 
-LONGEST, FEATURES, SAMPLE, REMEMBERED = 4, 60_000, 3_000, 600_000
+LONGEST, FEATURES, SAMPLE, REMEMBERED = 4, 60_000, 3_000, 400_000
 WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
-_memo: dict[str, dict[str, int]] = {}
 
 
 def ngrams(word: str) -> list[str]:
@@ -95,7 +95,7 @@ def learn(docs: DataFrame, trains: Column, sample: int = SAMPLE) -> Model:
     for part in kept_parts:
         sums = {lang: sum(r["by"].get(lang, 0) for r in part) for lang in languages}
         tables.append({r["feature"]: [float(np.log((r["by"].get(lang, 0) + 0.1) / (sums[lang] + 0.1 * (len(part) + 1)))) for lang in languages] for r in part})
-    return Model(languages, *tables, name=f"{id(tables)}-{docs.sparkSession.sparkContext.applicationId}")
+    return Model(languages, *tables, name=uuid.uuid4().hex)
 
 
 def identify(docs: DataFrame, model: Model, keep_text: bool = False) -> DataFrame:
@@ -128,12 +128,8 @@ def identify(docs: DataFrame, model: Model, keep_text: bool = False) -> DataFram
 
 
 def _remembered(model: Model) -> tuple[dict[str, int], list[np.ndarray]]:
-    """The worker's numbers of words and their rows, emptied when full."""
-    held = _memo.get(model.name)
-    if held is None or len(held[0]) > REMEMBERED:
-        _memo.clear()
-        held = _memo[model.name] = ({}, [np.zeros((1024, len(model.languages)), np.float64)])
-    return held
+    """The worker's numbers of words and their rows."""
+    return remembered("language", model.name, lambda: ({}, [np.zeros((1024, len(model.languages)), np.float64)]), lambda held: len(held[0]) > REMEMBERED)
 
 
 def _number(model: Model, number: dict[str, int], table: list[np.ndarray], word: str) -> int:

@@ -58,7 +58,7 @@ def picked_runs(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
         strings = hashes(p, p + gram)
         picks = sliding_min((strings & ~LOW) | p.astype(np.uint64), length - gram + 1) & LOW
         valid = np.zeros(len(own), bool)
-        shift = np.zeros(len(own), np.int64)
+        shift = np.zeros(len(own), np.int32)
         at = 0
         for a, b in chunk:
             valid[at : max(at, at + b - a - length + 1)] = True
