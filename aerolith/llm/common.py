@@ -101,6 +101,11 @@ def remembered(kind: str, name: str, make: Callable, full: Callable = lambda hel
     return held[name]
 
 
+def forget() -> None:
+    """Drop what this worker remembers for models, before work that needs the memory."""
+    _remembered.clear()
+
+
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 

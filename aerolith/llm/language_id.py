@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from aerolith.llm.common import column, materialise, per_chunk, remembered, ship_package, whole_text
 from aerolith.llm.samples import labelled_sample
 
-LONGEST, FEATURES, SAMPLE, REMEMBERED = 4, 60_000, 3_000, 400_000
+LONGEST, FEATURES, SAMPLE, REMEMBERED = 4, 60_000, 3_000, 250_000
 WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 

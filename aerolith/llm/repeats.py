@@ -22,13 +22,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from aerolith.llm.common import utf8_data
+from aerolith.llm.common import forget, utf8_data
 from aerolith.llm.hashing import Ranges
 from aerolith.llm.shards import SHARD_BYTES, answer, answered, ask, by_bucket, rows, segments, sharded, text_bytes
 
 LENGTH, GRAM = 200, 50
 #: Bytes of text hashed at once (positions must fit in the low 24 bits of a key).
-STEP = 1 << 20
+STEP = 1 << 19
 LOW = np.uint64((1 << 24) - 1)
 SINGLE, ALIKE, DIFFERENT = 0, 1, 2
 QUESTION = "bucket int, shard int, kind int, keys binary, spans binary, flags binary"
@@ -100,6 +100,7 @@ def removal(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_bytes
     others = [c for c in docs.columns if c != "text"]
 
     def shard_data(table: pa.Table) -> tuple[int, np.ndarray, np.ndarray]:
+        forget()
         data, offsets = utf8_data(table["text"].combine_chunks())
         return table["shard"][0].as_py(), data, offsets
 

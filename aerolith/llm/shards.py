@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from aerolith.llm.common import ship_package, whole_text
 
 #: Bytes of text in a shard, about.
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 
 
 def text_bytes(docs: DataFrame) -> int:

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aerolith.llm.common import column, materialise, ship_package, whole_text
+from aerolith.llm.common import column, forget, materialise, ship_package, whole_text
 from aerolith.llm.graph import components
 
 RADIUS, BITS, LIMIT, SHINGLE = 3, 64, 1024, 3
@@ -55,6 +55,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     ship_package(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             fps = np.array([text_simhash(t.as_py(), shingle) for t in column(batch, "text")], np.uint64)
             yield pa.record_batch([column(batch, "doc_id"), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
