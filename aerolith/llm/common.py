@@ -18,13 +18,13 @@ from pyspark.sql import functions as F
 CHUNK_BYTES = 4 << 20
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
     """One of the given tables; read by Spark alone, so any store that Spark knows will do. A table of fewer
-    partitions than the cluster has cores (one small file) is dealt out to all of them."""
+    partitions than the cluster has cores (one small file) is dealt out to all of them, if it is to be spread."""
     ship_package(spark)
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if spread and df.rdd.getNumPartitions() < cores else df
 
 
 def ship_package(spark: SparkSession) -> None:
