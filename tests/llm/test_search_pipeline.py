@@ -67,3 +67,41 @@ def test_near_duplicate_stage_keeps_one_of_each_group(spark, frame, small):
     docs = frame([texts[0], *texts[1:]], [1, 2, 3, 4])
     found = sorted(r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, docs, small).collect())
     assert found == [1, 3, 4]
+
+
+def edited(rng, words, n):
+    """The words with n single words replaced, far enough apart that each changes five shingles."""
+    out = list(words)
+    for i in rng.choice(len(words) // 10, n, replace=False):
+        out[10 * i + 5] = f"edit{rng.integers(1 << 40)}"
+    return " ".join(out)
+
+
+def jaccard(x, y):
+    a, b = ({tuple(t.lower().split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in (x, y))
+    return len(a & b) / len(a | b)
+
+
+def test_near_duplicate_stage_finds_edited_copies(spark, frame, small):
+    rng = np.random.default_rng(6)
+    texts, want = [], []
+    for k, edits in enumerate([1, 2, 3, 4, 4, 4, 4, 4, 6, 9] * 4):  # of 200 words: Jaccard 0.95 to 0.81; 0.73 and 0.63 stay
+        words = [f"w{x}" for x in rng.integers(0, 1 << 30, 200)]
+        copy = edited(rng, words, edits)
+        want += [2 * k] + ([2 * k + 1] if jaccard(" ".join(words), copy) < 0.8 else [])
+        texts += [" ".join(words), copy]
+    assert len(want) == 48
+    found = corpus_pipeline.drop_near_duplicates(spark, frame(texts), small)
+    assert sorted(r["doc_id"] for r in found.collect()) == want
+
+
+def test_near_duplicate_stage_on_a_large_group(spark, frame, small):
+    """A chain of copies, each like its neighbours only, is one group, in whichever buckets its links are."""
+    rng = np.random.default_rng(7)
+    words = [f"w{x}" for x in rng.integers(0, 1 << 30, 400)]
+    texts = []
+    for i in range(40):
+        words[10 * i + 5] = f"edit{i}"
+        texts.append(" ".join(words))
+    assert jaccard(texts[0], texts[39]) < 0.5
+    assert [r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, frame(texts), small).collect()] == [0]
