@@ -105,3 +105,11 @@ def test_near_duplicate_stage_on_a_large_group(spark, frame, small):
         texts.append(" ".join(words))
     assert jaccard(texts[0], texts[39]) < 0.5
     assert [r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, frame(texts), small).collect()] == [0]
+
+
+def test_near_duplicate_stage_keeps_texts_that_share_an_id(spark, frame, small):
+    """Null and repeated ids don't make dissimilar texts copies; of each group one row stays, one with an id if there is one."""
+    texts = [f"text {k} " + " ".join(f"w{k}x{i}" for i in range(20)) for k in range(6)]
+    docs = frame([*texts, texts[0], texts[1], texts[3], texts[5]], [None, None, None, 7, 7, 7, None, 3, 7, None])
+    found = [(r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_duplicates(spark, docs, small).collect()]
+    assert sorted(found, key=str) == sorted([(None, texts[0]), (3, texts[1]), (None, texts[2]), (7, texts[3]), (7, texts[4]), (7, texts[5])], key=str)
