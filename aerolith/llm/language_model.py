@@ -5,7 +5,8 @@ its discounted share of that context's continuations; the discount goes to the d
 probability, and the unigrams' discount to unknown words. Contexts are dealt to buckets by hash;
 each bucket builds the trie of its contexts and answers what shards of documents ask about their
 distinct pairs. Contexts with over 1/2048 of all bytes (at most 1024 words can be) are dealt to all
-buckets by their continuations' hashes; their totals come with the corpus counts.
+buckets by their continuations' hashes; their totals come with the corpus counts, and the numbers of
+their distinct continuations from an aggregation over the whole corpus.
 
 Null and empty texts are one end token. A document's rows are scored each. Without training
 documents every text scores 0. Hashes are of 62 bits (contexts) and 40 bits (after a context).
@@ -73,6 +74,31 @@ def corpus_counts(docs: DataFrame, limit: int) -> tuple[int, int, dict[int, int]
     return found["total"] or 0, found["distinct"], {r["word"]: r["n"] for r in found["frequent"]}
 
 
+def continuation_counts(docs: DataFrame, contexts: np.ndarray) -> np.ndarray:
+    """How many distinct tokens follow each of the sorted contexts in the training documents."""
+    out = np.zeros(len(contexts), np.int64)
+    if not len(contexts):
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = column(batch, "text")
+            for a, b in text_chunks(texts, CHUNK_BYTES * 2):
+                context, token, _ = sequences(*utf8_data(texts.slice(a, b - a)))
+                at = np.minimum(np.searchsorted(contexts, context), len(contexts) - 1)
+                own = contexts[at] == context
+                at, successor = at[own], token[own] & SUCCESSOR_MASK
+                order = np.lexsort((successor, at))
+                at, successor = at[order], successor[order]
+                new = np.append(True, (at[1:] != at[:-1]) | (successor[1:] != successor[:-1]))[: len(at)]
+                yield pa.record_batch([pa.array(at[new], pa.int64()), pa.array(successor[new].view(np.int64))], names=["place", "successor"])
+
+    pairs = docs.where("trains").select("text").mapInArrow(run, "place long, successor long").distinct()
+    for r in pairs.groupBy("place").agg(F.count("*").alias("n")).collect():  # at most one row for each context
+        out[r["place"]] = r["n"]
+    return out
+
+
 def score(docs: DataFrame, trains, shard_bytes: int = 2 * SHARD_BYTES) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score of every document; trains: column that marks training documents."""
     ship_package(docs.sparkSession)
@@ -84,6 +110,7 @@ def score(docs: DataFrame, trains, shard_bytes: int = 2 * SHARD_BYTES) -> DataFr
     n_all, v_all = total + ends, n_distinct + (ends > 0)
     hot_words = np.array(sorted(hot), np.uint64)
     hot_counts = np.array([hot[w] for w in sorted(hot)], np.int64)
+    hot_kinds = continuation_counts(docs, hot_words)
     documents = sharded(docs, n)
 
     def is_hot(contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -146,7 +173,7 @@ def score(docs: DataFrame, trains, shard_bytes: int = 2 * SHARD_BYTES) -> DataFr
         kinds = np.diff(np.append(first, len(c)))
         frequent, at = is_hot(c[first])
         totals[frequent] = hot_counts[at[frequent]]
-        kinds[frequent] *= n  # a hot context's other continuations are in the other buckets
+        kinds[frequent] = hot_kinds[at[frequent]]
         codes = quantise((k - DISCOUNT) / np.repeat(totals, np.diff(np.append(first, len(c)))))
         return Trie(c[first], first, s, codes, {"totals": totals.astype(np.int64), "kinds": kinds.astype(np.int64)})
 
@@ -160,7 +187,7 @@ def score(docs: DataFrame, trains, shard_bytes: int = 2 * SHARD_BYTES) -> DataFr
             totals, kinds = np.zeros(len(contexts), np.int64), np.zeros(len(contexts), np.int64)
             totals[known], kinds[known] = trie.fields["totals"][number[known]], trie.fields["kinds"][number[known]]
             frequent, at = is_hot(contexts)
-            totals[frequent] = hot_counts[at[frequent]]
+            totals[frequent], kinds[frequent] = hot_counts[at[frequent]], hot_kinds[at[frequent]]
             codes = trie.find(np.repeat(number, runs), successors)
             made.append((r["shard"], r["bucket"], 1, totals.tobytes(), np.minimum(kinds, 2**32 - 1).astype(np.uint32).tobytes(), codes.tobytes()))
         return rows(ANSWER, made)

@@ -115,6 +115,22 @@ def test_model(documents, shard_bytes):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
+@pytest.mark.parametrize("shard_bytes", [1_000, 4_000, 1 << 23])
+def test_back_off_of_a_frequent_word(frame, shard_bytes):
+    """The mass that a word with many continuations gives up doesn't hang on the number of shards."""
+    follow = [f"w{i % 2000}" for i in range(3000)]
+    texts = [" ".join(f"the {w}" for w in follow[i : i + 50]) for i in range(0, 3000, 50)] + ["solo", "the solo"]
+    ids = list(range(len(texts)))
+    found = {r["doc_id"]: r for r in language_model.score(frame(texts, ids), F.col("doc_id") != ids[-1], shard_bytes).collect()}
+    ends = len(texts) - 1
+    n, v, kinds = 6000 + 1 + ends, 2000 + 3, 2000
+    unigram = lambda c: (c - 0.75) / n
+    begin = language_model.probability(language_model.quantise(np.array([(60 - 0.8) / ends])))[0] + 0.8 * 2 / ends * unigram(3000)
+    want = math.log10(begin) + math.log10(0.8 * kinds / 3000 * unigram(1))
+    end = language_model.probability(language_model.quantise(np.array([(1 - 0.8) / 1])))[0] + 0.8 * unigram(ends)
+    assert v == 2003 and found[ids[-1]]["score"] == pytest.approx(want + math.log10(end), rel=1e-9)
+
+
 def test_model_of_odd_texts(frame):
     found = {r["doc_id"]: r for r in language_model.score(frame(EDGES), id_remainder(10) != 0).collect()}
     check_model(found, dict(enumerate(EDGES)))
