@@ -4,8 +4,8 @@ The model is learnt from all training documents: a word's probability after the
 its discounted share of that context's continuations; the discount goes to the discounted unigram
 probability, and the unigrams' discount to unknown words. Contexts are dealt to buckets by hash;
 each bucket builds the trie of its contexts and answers what shards of documents ask about their
-distinct pairs. Contexts with over 1/2048 of all bytes (at most 1024 words can be) are dealt to all
-buckets by their continuations' hashes; their totals come with the corpus counts, and the numbers of
+distinct pairs. The beginning of texts and words with over 1/2048 of all bytes (at most 1024 can be) are
+contexts dealt to all buckets by their continuations' hashes; their totals come with the corpus counts, and the numbers of
 their distinct continuations from an aggregation over the whole corpus.
 
 Null and empty texts are one end token. A document's rows are scored each. Without training
@@ -108,6 +108,8 @@ def score(docs: DataFrame, trains, shard_bytes: int = 2 * SHARD_BYTES) -> DataFr
     total, n_distinct, hot = corpus_counts(docs, max(1000, size // 2048))
     ends = docs.where("trains").count()
     n_all, v_all = total + ends, n_distinct + (ends > 0)
+    if ends:
+        hot[int(BEGIN)] = ends  # the context of every training document's first token
     hot_words = np.array(sorted(hot), np.uint64)
     hot_counts = np.array([hot[w] for w in sorted(hot)], np.int64)
     hot_kinds = continuation_counts(docs, hot_words)

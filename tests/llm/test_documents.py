@@ -131,6 +131,15 @@ def test_back_off_of_a_frequent_word(frame, shard_bytes):
     assert v == 2003 and found[ids[-1]]["score"] == pytest.approx(want + math.log10(end), rel=1e-9)
 
 
+def test_first_words_are_spread_over_buckets(frame, monkeypatch):
+    asked, answer = [], language_model.answer
+    monkeypatch.setattr(language_model, "answer", lambda questions, *rest: asked.append(questions) or answer(questions, *rest))
+    texts = [f"first{i} word" for i in range(400)]
+    language_model.score(frame(texts), F.lit(True), 800)
+    holding = {r["bucket"] for r in asked[0].collect() if language_model.BEGIN in np.frombuffer(r["contexts"], np.uint64)}
+    assert len(holding) > 5
+
+
 def test_model_of_odd_texts(frame):
     found = {r["doc_id"]: r for r in language_model.score(frame(EDGES), id_remainder(10) != 0).collect()}
     check_model(found, dict(enumerate(EDGES)))
