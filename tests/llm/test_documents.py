@@ -188,6 +188,21 @@ def test_disguises_and_odd_texts(spark, frame):
     assert toxicity.score(frame(["x"]).select("doc_id", "text"), nothing).first()["score"] == 0.5
 
 
+@pytest.fixture(scope="module")
+def toxicity_model(spark):
+    sf = "/root/testdata/sf0.01"
+    return toxicity.learn(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet"), id_remainder(3) != 1)
+
+
+def test_long_and_joined_disguises(toxicity_model):
+    spaced = "y o u a r e a n i d i o t a n d m o r e"
+    for text in (spaced, " ".join([spaced] * 3), " ".join([spaced] * 40), "1d1" + "o" * 50 + "7", "y.o.u.a.r.e.a.n.i.d.i.o.t.a.n.d.m.o.r.e", "a i d i o t", "-".join("you are an idiot and much more of this".replace(" ", ""))):
+        assert toxicity_model.count(text, {}) >= 1, text
+    assert toxicity_model.count(" ".join([spaced] * 40), {}) >= 30  # windows lose next to nothing
+    for text in ("t h e w e a t h e r i s v e r y n i c e t o d a y", "https://www.example.org/some/long/path/of-words-2024/page-17.html", "x1" * 30_000, "ab-" * 20_000):
+        assert toxicity_model.count(text, {}) == 0, text[:60]
+
+
 # --- 9: near-duplicates ------------------------------------------------------------------------
 
 
