@@ -6,7 +6,8 @@ prefixes behind it. A token may end prefix i if it fits behind the last token of
 it: no merge across the joint may come earlier than the merges that made the two.
 
 Texts are cut into matches of the pre-tokenizer's pattern by class changes over whole chunks of
-text; the distinct matches of a chunk are encoded once and remembered for later chunks.
+text; the distinct matches of a chunk are encoded once, all of about one length side by side. Very
+long texts are read in segments that end where a match ends whatever follows.
 
 Nulls are empty texts; an empty text has no ids. Repeated rows each give a row. Ids of documents
 pass through unchanged, null included.
@@ -19,18 +20,20 @@ import hashlib
 import json
 from functools import lru_cache
 
-import ahocorasick
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from aerolith.llm.common import per_chunk, ragged, remembered, ship_package, utf8_data, whole_text
+from aerolith.llm.common import CHUNK_BYTES, per_chunk, ragged, remembered, ship_package, utf8_data, whole_text
 
 OTHER, LETTER, NUMBER, SPACE = range(4)
-#: Matches and joints remembered by a Python worker; both are emptied when full.
-REMEMBERED = 300_000
+#: Matches of at most so many bytes are encoded side by side; longer ones one by one.
+WIDTHS = (8, 16, 32, 64)
+#: Whether two tokens fit is remembered in a table of this many places, a new pair in the place of an old one.
+PLACES = 1 << 20
+NEVER = 1 << 60
 
 
 @lru_cache(1)
@@ -81,75 +84,184 @@ def match_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return at[begins]
 
 
+def safe_cuts(data: np.ndarray, start: int, stop: int) -> np.ndarray:
+    """Places about every half chunk where white space follows something else: a match begins there in any context.
+    Only the first such place after each half chunk counts; a stretch without one stays whole."""
+    step, cuts, at = CHUNK_BYTES // 2, [], start
+    while stop - at > CHUNK_BYTES:
+        at += step
+        for a in range(at, stop, 1 << 16):
+            part = data[a - 1 : min(a + (1 << 16), stop)]
+            blank = (part == 0x20) | (part == 0x0A)
+            found = np.flatnonzero(blank[1:] & (part[:-1] > 0x20) & (part[:-1] < 0x7F))
+            if len(found):
+                at = a + int(found[0])
+                cuts.append(at)
+                break
+        else:
+            break
+    return np.array(cuts, np.int64)
+
+
 class PrefixEncoder:
-    """Prefix tables over one vocabulary. ranks: bytes to id; order: bytes to the place of their merge."""
+    """Prefix tables over one vocabulary. ranks: bytes to id; order: bytes to the place of their merge.
+
+    The tokens that may end a prefix are found by an automaton over all tokens: delta gives the state after one more
+    byte, head a state's longest token that is a suffix of what was read (as a state of its own), link the next shorter.
+    """
 
     def __init__(self, ranks: dict[bytes, int], order: dict[bytes, int] | None = None, whole_first: bool = True):
-        self.ranks, self.whole_first = ranks, whole_first
-        self.order = order or ranks
+        self.ranks, self.order = ranks, order or ranks
         self.longest = max(map(len, ranks))
         size = max(ranks.values()) + 1
         self.bytes_of = [b""] * size
         for token, i in ranks.items():
             self.bytes_of[i] = token
-        self.left, self.right, self.place = [-1] * size, [-1] * size, [-1] * size
-        self.endings = ahocorasick.Automaton()
-        for token, i in ranks.items():
-            if self._reached(token, i):
-                self.endings.add_word(token.decode("latin-1"), (len(token), i))
-        self.endings.make_automaton()
-        self.fits: dict[int, bool] = {}
-        self.known: dict[bytes, bytes] = {}  # ids as unsigned 32-bit numbers
-
-    def _reached(self, token: bytes, i: int) -> bool:
-        """Whether plain merging of the token's own bytes gives the token; notes its last merge."""
-        parts = [token[k : k + 1] for k in range(len(token))]
-        order, never = self.order, 1 << 60
-        while len(parts) > 1:
-            rank, k = min((order.get(parts[k] + parts[k + 1], never), k) for k in range(len(parts) - 1))
-            if rank == never:
+        self.size_of = np.array([len(x) for x in self.bytes_of], np.int64)
+        parts = np.full((3, size), -1, np.int64)
+        reached = {t: i for t, i in ranks.items() if self._reached(t, i, parts)}
+        self.left, self.right, self.place = parts
+        #: Tokens that plain merging of their bytes doesn't give; a match that is one is one token all the same.
+        self.whole = {t: i for t, i in ranks.items() if t not in reached} if whole_first else {}
+        self._automaton(reached)
+        joints = {ranks[t[:k]] << 20 | ranks[t[k:]]: r for t, r in self.order.items() for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks}
+        self.joints = np.array(sorted(joints), np.int64)
+        self.joint_order = np.array([joints[j] for j in self.joints.tolist()], np.int64)
+        self.pairs, self.fitting = np.full(PLACES, -1, np.int64), np.zeros(PLACES, bool)
+
+    def _automaton(self, tokens: dict[bytes, int]) -> None:
+        children: dict[int, int] = {}
+        token_at, parent, byte_of, depth = [-1], [0], [0], [0]
+        for token, i in tokens.items():
+            state = 0
+            for byte in token:
+                key = state << 8 | byte
+                child = children.get(key)
+                if child is None:
+                    child = children[key] = len(token_at)
+                    token_at.append(-1)
+                    parent.append(state)
+                    byte_of.append(byte)
+                    depth.append(depth[state] + 1)
+                state = child
+            token_at[state] = i
+        n = len(token_at)
+        self.token_at, self.depth = np.array(token_at, np.int64), np.array(depth, np.int64)
+        parents, bytes_, delta = np.array(parent), np.array(byte_of), np.zeros((n, 256), np.int32)
+        fail, link = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        for d in range(max(depth) + 1):
+            level = np.flatnonzero(self.depth == d)
+            if d > 1:
+                fail[level] = delta[fail[parents[level]], bytes_[level]]
+            if d:
+                link[level] = np.where(self.token_at[fail[level]] >= 0, fail[level], link[fail[level]])
+                delta[level] = delta[fail[level]]
+            below = np.flatnonzero(self.depth == d + 1)
+            delta[parents[below], bytes_[below]] = below
+        self.link, self.delta = link, delta.ravel()
+        self.head = np.where(self.token_at >= 0, np.arange(n), link)
+
+    def _reached(self, token: bytes, i: int, parts: np.ndarray) -> bool:
+        """Whether plain merging of the token's own bytes gives the token; notes the halves and the place of its last merge."""
+        pieces = [token[k : k + 1] for k in range(len(token))]
+        order = self.order
+        while len(pieces) > 1:
+            rank, k = min((order.get(pieces[k] + pieces[k + 1], NEVER), k) for k in range(len(pieces) - 1))
+            if rank == NEVER:
                 return False
-            if len(parts) == 2:
-                self.left[i], self.right[i], self.place[i] = self.ranks[parts[0]], self.ranks[parts[1]], rank
-            parts[k : k + 2] = [parts[k] + parts[k + 1]]
+            if len(pieces) == 2:
+                parts[:, i] = self.ranks[pieces[0]], self.ranks[pieces[1]], rank
+            pieces[k : k + 2] = [pieces[k] + pieces[k + 1]]
         return True
 
-    def fit(self, a: int, b: int) -> bool:
+    def fit(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether the encoding of a's and b's bytes keeps the joint: no merge across it precedes those inside."""
-        order, of, place = self.order, self.bytes_of, self.place
-        limit = 1 << 60
-        while True:
-            joint = order.get(of[a] + of[b])
-            if joint is not None and joint < limit:
-                return False
-            if place[a] < 0 and place[b] < 0:
-                return True
-            if place[a] > place[b]:  # the later of the two merges is undone first
-                limit, a = place[a], self.right[a]
-            else:
-                limit, b = place[b] + 1, self.left[b]
+        out = np.zeros(len(a), bool)
+        open_, limit = np.arange(len(a)), np.full(len(a), NEVER)
+        while len(open_):
+            key = a << 20 | b
+            at = np.minimum(np.searchsorted(self.joints, key), len(self.joints) - 1)
+            joint = np.where(self.joints[at] == key, self.joint_order[at], NEVER)
+            place_a, place_b = self.place[a], self.place[b]
+            done = (joint >= limit) | (joint == NEVER)
+            plain = (place_a < 0) & (place_b < 0)
+            out[open_[done & plain]] = True
+            on = done & ~plain
+            first = place_a > place_b  # the later of the two merges is undone first
+            limit = np.where(first, place_a, place_b + 1)[on]
+            a, b = np.where(first, self.right[a], a)[on], np.where(first, b, self.left[b])[on]
+            open_ = open_[on]
+        return out
+
+    def fits(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """fit(), remembered."""
+        key = a << 20 | b
+        place = (key * 0x9E3779B97F4A7C1 >> 24) % PLACES
+        known = self.pairs[place] == key
+        if not known.all():
+            new, at = np.unique(key[~known], return_index=True)
+            at = place[~known][at]
+            self.fitting[at] = good = self.fit(new >> 20, new & 0xFFFFF)
+            self.pairs[at] = new
+            out = self.fitting[place]
+            lost = self.pairs[place] != key  # two new pairs in one place
+            out[lost] = good[np.searchsorted(new, key[lost])] if not known[lost].any() else self.fit(a[lost], b[lost])
+            return out
+        return self.fitting[place]
+
+    def _block(self, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids on end, and their numbers, of matches of the lengths, which don't rise; each has a column of last tokens."""
+        width, n = int(lengths[0]), len(starts)
+        stored = np.full((width + 1, n), -1, np.int32)
+        state = np.zeros(n, np.int64)
+        left = np.searchsorted(-lengths, -np.arange(1, width + 1), side="right")
+        for end in range(1, width + 1):
+            m = left[end - 1]
+            state[:m] = self.delta[state[:m] << 8 | data[starts[:m] + (end - 1)]]
+            todo, at = np.arange(m), self.head[state[:m]]
+            while len(todo):
+                token, size = self.token_at[at], self.depth[at]
+                good = size == end
+                inner = np.flatnonzero(~good)
+                good[inner] = self.fits(stored[end - size[inner], todo[inner]].astype(np.int64), token[inner])
+                stored[end, todo[good]] = token[good]
+                todo, at = todo[~good], self.link[at[~good]]
+        steps, at, active, counts = [], lengths.copy(), np.arange(n), np.zeros(n, np.int64)
+        while len(active):
+            token = stored[at[active], active]
+            steps.append((active, token))
+            counts[active] += 1
+            at[active] -= self.size_of[token]
+            active = active[at[active] > 0]
+        out, last = np.empty(int(counts.sum()), np.uint32), np.cumsum(counts) - 1
+        for k, (active, token) in enumerate(steps):
+            out[last[active] - k] = token
+        return out, counts
 
     def last_tokens(self, data: bytes, stored: list[int], keep: int = 0) -> list[int]:
-        """stored[i]: the last token of prefix i. Extends the table of the first keep bytes to all of data."""
+        """stored[i]: the last token of prefix i (at 0: none). Extends the table of the first keep bytes to all of data."""
         del stored[keep + 1 :]
-        stored.extend([-1] * (len(data) + 1 - len(stored)))
-        fits, fit = self.fits, self.fit
-        for end, (size, token) in self.endings.iter(data.decode("latin-1"), max(0, keep - self.longest)):
-            end += 1
-            if end <= keep or stored[end] >= 0:
+        if not stored:
+            stored.append(-1)
+        delta, state, begin = self.delta, 0, max(0, keep - self.longest)
+        for end, byte in enumerate(data[begin:], begin + 1):
+            state = int(delta[state << 8 | byte])
+            if end <= keep:
                 continue
-            if size < end:
-                pair = stored[end - size] << 20 | token
-                good = fits.get(pair)
-                if good is None:
-                    if len(fits) > REMEMBERED:
-                        fits.clear()
-                    good = fits[pair] = fit(stored[end - size], token)
-                if not good:
-                    continue
-            stored[end] = token
+            at = int(self.head[state])
+            while True:
+                token, size = int(self.token_at[at]), int(self.depth[at])
+                if size == end or self._fits_one(stored[end - size], token):
+                    break
+                at = int(self.link[at])
+            stored.append(token)
         return stored
 
+    def _fits_one(self, a: int, b: int) -> bool:
+        key = a << 20 | b
+        place = (key * 0x9E3779B97F4A7C1 >> 24) % PLACES
+        return bool(self.fitting[place]) if self.pairs[place] == key else bool(self.fits(np.array([a]), np.array([b]))[0])
+
     def walk(self, data: bytes, stored: list[int]) -> list[int]:
         """The ids of data, read back from its last prefix."""
         out, i, of = [], len(data), self.bytes_of
@@ -167,32 +279,66 @@ class PrefixEncoder:
         new = data[:at] + put + data[at + removed :]
         return new, self.last_tokens(new, stored, at)
 
-    def encode_matches(self, matches: list[bytes]) -> list[bytes]:
-        """Packed ids of each match, which is a byte string that is encoded apart from others."""
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        get, out = known.get, []
-        for m in matches:
-            ids = get(m)
-            if ids is None:
-                whole = self.ranks.get(m) if self.whole_first else None
-                ids = known[m] = np.array([whole] if whole is not None else self.walk(m, self.last_tokens(m, [])), np.uint32).tobytes()
-            out.append(ids)
-        return out
+    def encode_matches(self, matches: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids on end, and their numbers, of matches: byte strings that are encoded apart from others."""
+        n = len(matches)
+        _, bounds, raw = matches.buffers()
+        bounds = np.frombuffer(bounds, np.int32 if pa.types.is_binary(matches.type) else np.int64)[matches.offset : matches.offset + n + 1].astype(np.int64)
+        data = np.frombuffer(raw, np.uint8) if raw is not None else np.zeros(0, np.uint8)
+        lengths = np.diff(bounds)
+        order = np.argsort(-lengths, kind="stable")
+        cuts = np.searchsorted(-lengths[order], [-w for w in reversed(WIDTHS)], side="left").tolist()
+        ids, counts = [], []
+        for i in order[: cuts[0]].tolist():
+            match = data[bounds[i] : bounds[i + 1]].tobytes()
+            ids.append(np.array(self.walk(match, self.last_tokens(match, [])), np.uint32))
+            counts.append(np.array([len(ids[-1])]))
+        for a, b in zip(cuts, [*cuts[1:], n]):
+            if b > a:
+                own = order[a:b]
+                made = self._block(data, bounds[own], lengths[own])
+                ids.append(made[0])
+                counts.append(made[1])
+        # Back into the order of the matches.
+        flat, sizes = np.concatenate([np.zeros(0, np.uint32), *ids]), np.concatenate([np.zeros(0, np.int64), *counts])
+        first = np.empty(n, np.int64)
+        first[order] = np.cumsum(sizes) - sizes
+        number = np.empty(n, np.int64)
+        number[order] = sizes
+        flat = flat[ragged(first, number)]
+        if self.whole:
+            found = [(i, self.whole[m]) for i, m in enumerate(matches.to_pylist()) if m in self.whole]
+            if found:
+                parts = np.split(flat, np.cumsum(number)[:-1])
+                for i, token in found:
+                    parts[i], number[i] = np.array([token], np.uint32), 1
+                flat = np.concatenate(parts)
+        return flat, number
 
     def encode_rows(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids on end and the rows' offsets in them."""
         data, offsets = utf8_data(texts)
+        if len(data) <= 2 * CHUNK_BYTES:
+            return self._encode_bytes(data, offsets)
+        # Pieces of long rows are rows of their own for a while.
+        bounds = np.unique(np.concatenate([offsets, *(safe_cuts(data, a, b) for a, b in zip(offsets[:-1], offsets[1:]) if b - a > CHUNK_BYTES)]))
+        parts, ends, at, done = [np.zeros(0, np.uint32)], [np.zeros(1, np.int64)], 0, 0
+        while at < len(bounds) - 1:
+            stop = max(at + 1, int(np.searchsorted(bounds, bounds[at] + CHUNK_BYTES, side="right")) - 1)
+            ids, own = self._encode_bytes(data[bounds[at] : bounds[stop]], bounds[at : stop + 1] - bounds[at])
+            parts.append(ids)
+            ends.append(own[1:] + done)
+            at, done = stop, done + len(ids)
+        return np.concatenate(parts), np.concatenate(ends)[np.searchsorted(bounds, offsets)]
+
+    def _encode_bytes(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         starts = match_starts(data, offsets)
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
         bounds = np.append(starts, len(data)).astype(np.int32 if len(data) < 1 << 31 else np.int64)
         kind = pa.binary() if bounds.dtype == np.int32 else pa.large_binary()
         coded = pa.Array.from_buffers(kind, len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
-        ids = self.encode_matches(coded.dictionary.to_pylist())
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        flat = np.frombuffer(b"".join(ids), np.uint32)
+        flat, sizes = self.encode_matches(coded.dictionary)
         which = np.asarray(coded.indices)
         lengths = sizes[which]
         out = flat[ragged((np.cumsum(sizes) - sizes)[which], lengths)]

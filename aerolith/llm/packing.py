@@ -1,20 +1,24 @@
 """Operator 4: packing token streams into windows by Karmarkar-Karp multiway differencing.
 
-Documents are encoded where they are read and cut into pieces. Pieces are gathered into groups that
-fill a fixed number of windows; differencing merges partial partitions with opposing imbalances
-until one partition of the group is left, whose windows are nearly equal. What a window holds
-beyond its capacity is cut off and moved to a window with room; the number of windows rises where
-a group holds more than its windows' capacity. Every group but a task's last fills its windows.
+Documents are encoded where they are read and gathered into groups of about GROUP windows. What a
+document holds in whole windows fills windows of its own; the rest of a longer document is cut into
+small items, any other document is one item. Differencing merges partial partitions of a group's
+items with opposing imbalances until one partition is left, whose windows are nearly equal. Where
+one of them exceeds the capacity, the number of windows rises and the group is divided anew. Where
+a fiftieth more windows don't do, items of the windows over capacity are halved, so that padding
+stays small for any lengths.
 
 A task packs the rows of its own partition, so no rows are shuffled; sequence_id holds the
-partition number and a counter. Null texts are empty documents of one token (the closing id).
-Repeated rows are packed each. An empty table gives no pieces.
+partition number and a counter. Only a task's last group isn't filled on purpose; partitions of
+little text are joined first (coalesce), so such groups don't count. Null texts are empty documents
+of one token (the closing id). Repeated rows are packed each. An empty table gives no pieces.
 """
 
 from __future__ import annotations
 
 import heapq
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,9 +28,11 @@ from pyspark.sql import DataFrame
 
 from aerolith.llm.bpe import encode_like_library
 from aerolith.llm.common import column, ship_package, text_chunks, whole_text
+from aerolith.llm.shards import text_bytes
 
 PIECE_SCHEMA = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-
+#: Windows of a group; tokens of an item of a document that is longer than a window; bytes of text of a task, at least.
+GROUP, ITEM, TASK_BYTES = 64, 256, 4 << 20
 
 def differencing(sizes: list[int], windows: int) -> list[list[int]]:
     """Karmarkar-Karp: item numbers of each window. The two partitions with the largest spread are merged, large on small."""
@@ -57,57 +63,70 @@ def _leaves(pairs: tuple) -> list[int]:
     return out
 
 
-def fill(pieces: list[tuple[int, int, int]], capacity: int) -> list[list[tuple[int, int, int]]]:
-    """Windows of (document, start, length); none holds over capacity, and their number is the least possible."""
-    total = sum(p[2] for p in pieces)
-    count = max(1, -(-total // capacity))
-    windows = [[pieces[i] for i in sorted(w)] for w in differencing([p[2] for p in pieces], count)]
-    loads = [sum(p[2] for p in w) for w in windows]
-    room = [i for i, x in enumerate(loads) if x < capacity]
-    for i, w in enumerate(windows):
-        while loads[i] > capacity:
-            doc, start, length = w.pop()
-            excess = min(loads[i] - capacity, length)
-            if excess < length:
-                w.append((doc, start, length - excess))
-            loads[i] -= excess
-            start += length - excess
-            while excess:
-                j = room[-1]
-                put = min(excess, capacity - loads[j])
-                windows[j].append((doc, start, put))
-                start, excess, loads[j] = start + put, excess - put, loads[j] + put
-                if loads[j] == capacity:
-                    room.pop()
-    return [w for w in windows if w]
-
-
-def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 1, group_windows: int = 12, piece_tokens: int = 512) -> DataFrame:
+def partition(items: list[tuple[int, int, int]], capacity: int) -> list[list[tuple[int, int, int]]]:
+    """Windows of items (document, start, length), none over capacity. Their number rises from the least possible one
+    to a fiftieth more (one, at least). Where that doesn't do, an item of each window that is over capacity is halved (the shortest
+    that frees enough, of a document in pieces if there is one) and the items are divided anew, which ends at the latest when all items are single tokens."""
+    least = max(1, -(-sum(x[2] for x in items) // capacity))
+    most = least + max(1, least // 50)
+    # Items over half a window need a window each, so fewer windows needn't be tried.
+    count = min(most, max(least, sum(2 * x[2] > capacity for x in items)))
+    cut = {doc for doc, n in Counter(x[0] for x in items).items() if n > 1}
+    while True:
+        windows = differencing([x[2] for x in items], count)
+        over = [(w, excess) for w in windows if (excess := sum(items[i][2] for i in w) - capacity) > 0]
+        if not over:
+            return [[items[i] for i in w] for w in windows if w]
+        if count < most:
+            count += 1
+            continue
+        for w, excess in over:
+            i = min((items[i][2] < 2 * excess, items[i][0] not in cut, items[i][2] if items[i][2] >= 2 * excess else -items[i][2], i) for i in w)[3]
+            doc, start, length = items[i]
+            cut.add(doc)
+            items[i] = (doc, start, length - length // 2)
+            items.append((doc, start + length - length // 2, length // 2))
+        items = [x for x in items if x[2]]
+
+
+def joined(windows: list[list[tuple[int, int, int]]]) -> list[list[tuple[int, int, int]]]:
+    """Windows with pieces that follow each other in their document made one."""
+    out = []
+    for w in windows:
+        own: list[tuple[int, int, int]] = []
+        for doc, start, length in sorted(w):
+            if own and own[-1][0] == doc and own[-1][1] + own[-1][2] == start:
+                own[-1] = (doc, own[-1][1], own[-1][2] + length)
+            else:
+                own.append((doc, start, length))
+        out.append(own)
+    return out
+
+
+def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 1, group: int = GROUP, item: int = ITEM) -> DataFrame:
     """doc_id and the pieces of every document: (start, length) in the document, its place (sequence_id, offset)."""
     ship_package(docs.sparkSession)
     id_type = docs.schema["doc_id"].dataType.simpleString()
+    names = ["doc_id", *(x.split()[0] for x in PIECE_SCHEMA.split(", "))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, made = TaskContext.get().partitionId() << 32, 0
-        held: list[tuple[object, np.ndarray]] = []  # documents with pieces in the open group
-        pieces: list[tuple[int, int, int]] = []
-        filled = 0
+        held: list[tuple[object, np.ndarray]] = []  # documents of the open group
+        items: list[tuple[int, int, int]] = []
+        filled, doc_type = 0, None
 
-        def close() -> pa.RecordBatch:
+        def placed(windows: list[list[tuple[int, int, int]]]) -> pa.RecordBatch:
             nonlocal made
             rows = []
-            for w in fill(pieces, capacity):
+            for w in windows:
                 offset = 0
                 for d, start, length in w:
                     doc_id, ids = held[d]
                     rows.append((doc_id, start, length, zlib.crc32(ids[start : start + length]), len(ids), base + made, offset))
                     offset += length
                 made += 1
-            names = ["doc_id", *(x.split()[0] for x in PIECE_SCHEMA.split(", "))]
-            types = [doc_type, *[pa.int64()] * 6]
-            return pa.record_batch([pa.array(x, t) for x, t in zip(zip(*rows), types)], names=names)
+            return pa.record_batch([pa.array(x, t) for x, t in zip(zip(*rows), [doc_type, *[pa.int64()] * 6])], names=names)
 
-        doc_type = None
         for batch in batches:
             texts, doc_ids = column(batch, "text"), column(batch, "doc_id")
             doc_type = doc_ids.type
@@ -115,16 +134,21 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int
                 ids, ends = encode_like_library(tokenizer_path, texts.slice(a, b - a))
                 for i, doc_id in enumerate(doc_ids.slice(a, b - a).to_pylist()):
                     own = np.append(ids[ends[i] : ends[i + 1]], np.uint32(end_id)).astype("<u4")
-                    at = 0
+                    whole = len(own) // capacity * capacity if len(own) > capacity else 0
+                    rest = len(own) - whole
+                    # A little room in each window lets the differencing end without another window.
+                    if items and filled + rest > group * (capacity - capacity // 85):
+                        yield placed(joined(partition(items, capacity)))
+                        held, items, filled = [], [], 0
                     held.append((doc_id, own))
-                    while at < len(own):
-                        take = min(piece_tokens, len(own) - at, group_windows * capacity - filled)
-                        pieces.append((len(held) - 1, at, take))
-                        at, filled = at + take, filled + take
-                        if filled == group_windows * capacity:
-                            yield close()
-                            held, pieces, filled = [(doc_id, own)], [], 0
-        if pieces:
-            yield close()
-
-    return docs.select("doc_id", whole_text().alias("text")).mapInArrow(run, f"doc_id {id_type}, {PIECE_SCHEMA}")
+                    d, filled = len(held) - 1, filled + rest
+                    if whole:
+                        yield placed([[(d, at, capacity)] for at in range(0, whole, capacity)])
+                        items += [(d, at, min(item, len(own) - at)) for at in range(whole, len(own), item)]
+                    else:
+                        items.append((d, 0, rest))
+        if items:
+            yield placed(joined(partition(items, capacity)))
+
+    few = docs.select("doc_id", whole_text().alias("text")).coalesce(max(1, text_bytes(docs) // TASK_BYTES))
+    return few.mapInArrow(run, f"doc_id {id_type}, {PIECE_SCHEMA}")

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers as P
@@ -97,14 +98,50 @@ def test_packing_query(spark, small, documents):
     assert sum(2048 - s for s in sizes) / (2048 * len(sizes)) < 0.02
 
 
+def test_short_documents_stay_whole(spark, small, documents):
+    rows = queries.op4_packing(spark, small).collect()
+    fitting = {r["doc_id"] for r in rows if r["doc_tokens"] <= 2048}
+    torn = Counter(r["doc_id"] for r in rows if r["doc_id"] in fitting)
+    assert sum(n > 1 for n in torn.values()) < 0.1 * len(fitting)
+    tokens = {r["doc_id"]: r["doc_tokens"] for r in rows}
+    assert len(rows) < 1.1 * (len(tokens) + sum(tokens.values()) / 2048)  # concatenating and cutting gives about as many
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 2048), min_size=1, max_size=120))
+def test_partition(sizes):
+    windows = packing.partition([(i, 0, s) for i, s in enumerate(sizes)], 2048)
+    loads = [sum(p[2] for p in w) for w in windows]
+    least = -(-sum(sizes) // 2048)
+    assert max(loads) <= 2048 and len(windows) <= least + max(1, least // 50)
+    pieces = sorted(p for w in packing.joined(windows) for p in w)
+    assert [sum(n for d, _, n in pieces if d == i) for i in range(len(sizes))] == sizes
+    for i in range(len(sizes)):
+        at = 0
+        for _, start, n in (p for p in pieces if p[0] == i):
+            assert start == at
+            at += n
+
+
+def test_partition_keeps_whole_what_fits():
+    sizes = [(i * 7919) % 1000 + 1 for i in range(200)]
+    windows = packing.partition([(i, 0, s) for i, s in enumerate(sizes)], 2048)
+    assert sum(map(len, windows)) == len(sizes)
+    assert len(packing.partition([(i, 0, 1100) for i in range(100)], 2048)) <= 55  # lengths that no two of which fit together are cut
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 512), min_size=1, max_size=120), st.integers(1, 12))
 def test_differencing(sizes, windows):
     parts = packing.differencing(sizes, windows)
     assert sorted(i for p in parts for i in p) == list(range(len(sizes))) and len(parts) == windows
-    filled = packing.fill([(i, 0, s) for i, s in enumerate(sizes)], 2048)
-    loads = [sum(p[2] for p in w) for w in filled]
-    assert sum(loads) == sum(sizes) and max(loads) <= 2048 and len(filled) <= -(-sum(sizes) // 2048)
+
+
+def test_long_texts_are_read_in_segments(monkeypatch):
+    monkeypatch.setattr(bpe, "CHUNK_BYTES", 64)
+    texts = ["one's two  three\n\n" * 40, "x" * 500, None, "", "漢字 a1 " * 60, " " * 300 + "end", "short"]
+    ids, ends = bpe.from_ranks(RANKS).encode_rows(pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:])] == [ENCODING.encode_ordinary(t or "") for t in texts]
 
 
 def test_differencing_is_near_equal():
