@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import shutil
 import tempfile
 import uuid
@@ -18,13 +19,17 @@ from pyspark.sql import functions as F
 CHUNK_BYTES = 4 << 20
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """One of the given tables; read by Spark alone, so any store that Spark knows will do. A table of fewer
-    partitions than the cluster has cores (one small file) is dealt out to all of them, if it is to be spread."""
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the given tables; read by Spark alone, so any store that Spark knows will do. A table whose rows lie in
+    fewer partitions than the cluster has cores is dealt out to all of them. A file's row group is read by one task, so
+    where there are few partitions those that hold rows are counted (from the files' footers)."""
     ship_package(spark)
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if spread and df.rdd.getNumPartitions() < cores else df
+    filled = df.rdd.getNumPartitions()
+    if cores <= filled < 4 * cores:
+        filled = df.select(F.spark_partition_id().alias("part")).distinct().count()
+    return df.repartition(cores) if filled < cores else df
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -39,9 +44,12 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder in the shared checkpoint folder; a temporary one only where none is configured."""
+    """A new folder in the shared checkpoint folder. Where none is configured, a temporary one will do on one machine;
+    on a cluster that is an error, as executors and driver don't see each other's temporary folders."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir isn't set: it must name a folder that all executors share")
         base = f"file://{tempfile.mkdtemp(prefix='spark-')}"
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"

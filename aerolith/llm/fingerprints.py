@@ -4,13 +4,15 @@ A text's UTF-8 bytes are parsed into dictionary phrases: each phrase is the long
 the byte behind it, and is then known itself. The distinct phrases are hashed; the smallest hashes
 are the fingerprint. Two fingerprints' likeness estimates the Jaccard likeness of the phrase sets.
 
-A dictionary that reaches PHRASES entries starts anew, which bounds memory for very long texts.
+A text's dictionary holds all its phrases; hashes are taken a few megabytes of phrases at a time.
 Null and empty texts have the empty fingerprint; two of those are alike (1), one and another are
 not (0). Rows with equal ids follow each other by text, descending; null ids come last.
 """
 
 from __future__ import annotations
 
+import hashlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,14 +23,16 @@ from pyspark.sql import functions as F
 
 from aerolith.llm.common import column, ship_package, whole_text
 from aerolith.llm.hashing import Ranges
+from aerolith.llm.shards import text_bytes
 
-#: Hashes of a fingerprint, and phrases of a dictionary.
-KEPT, PHRASES = 64, 1 << 20
+#: Hashes of a fingerprint; bytes of phrases hashed at once; bytes of text in a bucket, about.
+KEPT, STEP, BUCKET_BYTES = 64, 4 << 20, 16 << 20
 NULL_ID = -(1 << 63)
 
 
-def parse(data: bytes, book: dict[int, int], node: int, at: int, ends: list[int]) -> int:
-    """Parse data, which begins at position at of its text, onwards from node; notes where phrases end."""
+def parse(data: bytes, book: dict[int, int], node: int, at: int, ends: array) -> int:
+    """Parse data, which begins at position at of its text, onwards from node; notes where phrases end. The book's
+    entries are in the order of the phrases."""
     get, put = book.get, ends.append
     size = len(book) + 1 << 8
     for i, c in enumerate(data, at + 1):
@@ -38,23 +42,27 @@ def parse(data: bytes, book: dict[int, int], node: int, at: int, ends: list[int]
             size += 256
             node = 0
             put(i)
-            if size >> 8 > PHRASES:
-                book.clear()
-                size = 256
         else:
             node = child
     return node
 
 
-def signature(data: bytes, ends: list[int]) -> np.ndarray:
+def signature(data: bytes, ends: array) -> np.ndarray:
     """The smallest distinct hashes of the phrases that end at ends (and of what is left behind the last)."""
+    out = np.zeros(0, np.uint32)
     if not data:
-        return np.zeros(0, np.uint32)
-    if not ends or ends[-1] < len(data):
-        ends = [*ends, len(data)]
+        return out
     b = np.array(ends, np.int64)
-    hashes = (Ranges(np.frombuffer(data, np.uint8))(np.append(0, b[:-1]), b) >> np.uint64(32)).astype(np.uint32)
-    return np.unique(hashes)[:KEPT]
+    if not len(b) or b[-1] < len(data):
+        b = np.append(b, len(data))
+    raw, at, start = np.frombuffer(data, np.uint8), 0, 0
+    while at < len(b):
+        stop = max(at + 1, int(np.searchsorted(b, start + STEP, side="right")))
+        own = b[at:stop] - start
+        hashes = (Ranges(raw[start : b[stop - 1]])(np.append(0, own[:-1]), own) >> np.uint64(32)).astype(np.uint32)
+        out = np.unique(np.append(out, hashes))[:KEPT]
+        at, start = stop, int(b[stop - 1])
+    return out
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
@@ -75,13 +83,17 @@ class Parsed:
     def __init__(self, text: str):
         kept = len(text) - len(text) // 2
         self.text, self.kept_bytes = text, text[:kept].encode()
-        book: dict[int, int] = {}
-        ends: list[int] = []
-        self.node = parse(self.kept_bytes, book, 0, 0, ends)
-        self.book, self.ends = book.copy(), ends.copy()
+        self.book: dict[int, int] = {}
+        self.ends = array("q")
+        self.node = parse(self.kept_bytes, self.book, 0, 0, self.ends)
+        n = len(self.ends)
         tail = text[kept:].encode()
-        parse(tail, book, self.node, len(self.kept_bytes), ends)
-        self.signature = signature(self.kept_bytes + tail, ends)
+        parse(tail, self.book, self.node, len(self.kept_bytes), self.ends)
+        self.signature = signature(self.kept_bytes + tail, self.ends)
+        # What the later half added is forgotten again, for the edit.
+        for _ in range(len(self.ends) - n):
+            self.book.popitem()
+        del self.ends[n:]
 
     def edited(self, following: str) -> tuple[bytes, np.ndarray]:
         """The text with its later half replaced by the beginning of another, and that text's fingerprint."""
@@ -104,11 +116,11 @@ def fingerprint(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", whole_text().alias("text")).mapInArrow(run, "doc_id long, n_chars long, fingerprint string")
 
 
-def with_following(docs: DataFrame, buckets: int = 512) -> DataFrame:
+def with_following(docs: DataFrame, buckets: int) -> DataFrame:
     """Rows (bucket, guest, id, text) such that, in the order (guest, id descending, text descending) of a
     bucket, each own row is followed by the next document: the last of a bucket by a guest, the first of the
     next bucket's. After the last document comes the first. Buckets are id ranges of about equal counts;
-    their greatest ids, one number for each of a fixed number of buckets, are all that the driver sees."""
+    their limits and greatest ids, two numbers for each bucket of about BUCKET_BYTES, are all that the driver sees."""
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"), whole_text().alias("text"))
     ids = rows.select("id")
     bounds = sorted(set(ids.withColumn("id", F.col("id").cast("double")).approxQuantile("id", [i / buckets for i in range(1, buckets)], 1 / (4 * buckets)))) if buckets > 1 else []
@@ -119,20 +131,27 @@ def with_following(docs: DataFrame, buckets: int = 512) -> DataFrame:
         return pd.Series(np.searchsorted(limits, id.to_numpy().astype(np.float64), side="right").astype(np.int32))
 
     heads = sorted((r["bucket"], r["head"]) for r in ids.groupBy(bucket_of("id").alias("bucket")).agg(F.max("id").alias("head")).collect())
-    own = rows.select(bucket_of("id").alias("bucket"), "id", "text")
     if not heads:
-        return own.select("bucket", F.lit(False).alias("guest"), "id", "text")
-    targets = {head: heads[(i + 1) % len(heads)][0] for i, (_, head) in enumerate(heads)}
-    guest_of = F.create_map(*[F.lit(x) for pair in targets.items() for x in pair])
-    places = F.array_compact(F.array(F.struct("bucket", F.lit(False).alias("guest")), F.when(F.col("id").isin(list(targets)), F.struct(guest_of[F.col("id")].alias("bucket"), F.lit(True).alias("guest")))))
-    return own.select(F.explode(places).alias("place"), "id", "text").select("place.bucket", "place.guest", "id", "text")
+        return rows.select(F.lit(0).alias("bucket"), F.lit(False).alias("guest"), "id", "text")
+    first = np.array([head for _, head in heads], np.int64)
+    next_bucket = np.array([heads[(i + 1) % len(heads)][0] for i in range(len(heads))], np.int32)
+
+    @F.pandas_udf("int")
+    def guest_of(id: pd.Series) -> pd.Series:
+        """The bucket that needs the row as a guest (-1: none)."""
+        at = np.minimum(np.searchsorted(first, id.to_numpy()), len(first) - 1)
+        return pd.Series(np.where(first[at] == id.to_numpy(), next_bucket[at], -1).astype(np.int32))
 
+    placed = rows.select(bucket_of("id").alias("bucket"), guest_of("id").alias("other"), "id", "text")
+    places = F.array_compact(F.array(F.struct("bucket", F.lit(False).alias("guest")), F.when(F.col("other") >= 0, F.struct(F.col("other").alias("bucket"), F.lit(True).alias("guest")))))
+    return placed.select(F.explode(places).alias("place"), "id", "text").select("place.bucket", "place.guest", "id", "text")
 
-def compare_edits(docs: DataFrame, buckets: int = 512) -> DataFrame:
-    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
-    import hashlib
 
+def compare_edits(docs: DataFrame, buckets: int | None = None) -> DataFrame:
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next. doc_id must be a whole
+    number (it is ordered and cast to long). buckets: by the text's size, if not given."""
     ship_package(docs.sparkSession)
+    buckets = buckets or max(1, -(-text_bytes(docs) // BUCKET_BYTES))
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
     types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
 
@@ -154,5 +173,5 @@ def compare_edits(docs: DataFrame, buckets: int = 512) -> DataFrame:
             if out:
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
 
-    ordered = with_following(docs, buckets).repartition("bucket").sortWithinPartitions("bucket", "guest", F.desc("id"), F.desc("text"))
+    ordered = with_following(docs, buckets).repartition(buckets, "bucket").sortWithinPartitions("bucket", "guest", F.desc("id"), F.desc("text"))
     return ordered.mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")

@@ -1,7 +1,7 @@
 """Operator 2: language identification by words first, then shorter character n-grams.
 
-Learning counts the words of a bounded sample of labelled documents, and the n-grams inside the
-distinct ones. A known word scores its smoothed log frequency in each language. A word
+Learning counts the words of a bounded sample of labelled documents, and the n-grams inside them
+(those of a word once, times the word's count). A known word scores its smoothed log frequency in each language. A word
 that isn't known is read n-gram by n-gram: at each position the longest known n-gram counts, from
 LONGEST characters down to one. The scores of a text's words add up; the softmax of the sums is the
 score. A vocabulary is the FEATURES most frequent of its kind, so the model's size is bounded.
@@ -79,8 +79,10 @@ def learn(docs: DataFrame, trains: Column, sample: int = SAMPLE) -> Model:
     def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             grams: dict[str, Counter] = defaultdict(Counter)
-            for lang, word in zip(column(batch, "lang").to_pylist(), column(batch, "feature").to_pylist()):
-                grams[lang].update(ngrams(word))
+            for lang, word, n in zip(*(column(batch, c).to_pylist() for c in ("lang", "feature", "n"))):
+                own = grams[lang]
+                for g in ngrams(word):
+                    own[g] += n
             yield batch_of(grams)
 
     def kept(counted: DataFrame) -> list:
@@ -99,7 +101,8 @@ def learn(docs: DataFrame, trains: Column, sample: int = SAMPLE) -> Model:
 
 
 def identify(docs: DataFrame, model: Model, keep_text: bool = False) -> DataFrame:
-    """docs' columns (text only if it is to be kept), lang_pred and score of every whole text."""
+    """docs' columns (text only if it is to be kept), lang_pred and score of every whole text. Columns of docs named
+    lang_pred or score give way to the operator's."""
     ship_package(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # at most 2 * FEATURES rows
     others = [c for c in docs.columns if c not in ("lang_pred", "score") and (keep_text or c != "text")]

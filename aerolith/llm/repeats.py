@@ -21,6 +21,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from aerolith.llm.common import forget, utf8_data
 from aerolith.llm.hashing import Ranges
@@ -94,10 +95,13 @@ def statuses(keys: np.ndarray, answers: pa.Table, kind: int, buckets: int) -> np
 
 def removal(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_bytes: int = SHARD_BYTES, as_text: bool = False) -> DataFrame:
     """docs' columns but text, and n_bytes, n_removed, n_spans, kept: the remaining bytes, or as_text the
-    characters of which every byte remains."""
+    characters of which every byte remains. Columns of docs that have one of these names give way; any other name may occur."""
     n = max(1, -(-text_bytes(docs) // shard_bytes))
-    documents = sharded(docs, n)
-    others = [c for c in docs.columns if c != "text"]
+    shown = [c for c in docs.columns if c not in ("text", "n_bytes", "n_removed", "n_spans", "kept")]
+    # Own names for the caller's columns, so that none clashes with the operator's.
+    docs = docs.select(*(F.col(f"`{c}`").alias(f"own_{i}") for i, c in enumerate(shown)), "text")
+    others = docs.columns[:-1]
+    documents = sharded(docs, n, others[shown.index("doc_id")])
 
     def shard_data(table: pa.Table) -> tuple[int, np.ndarray, np.ndarray]:
         forget()
@@ -213,4 +217,5 @@ def removal(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_bytes
     about_runs = answer(ask(documents, ask_runs, QUESTION), compare_runs, ANSWER)
     about_windows = answer(ask(documents, ask_windows, QUESTION, about_runs), compare_windows, ANSWER)
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text"), f"n_bytes long, n_removed long, n_spans long, kept {'string' if as_text else 'binary'}"])
-    return ask(documents, remove, schema, about_runs.union(about_windows))
+    found = ask(documents, remove, schema, about_runs.union(about_windows))
+    return found.select(*(F.col(o).alias(c) for o, c in zip(others, shown)), "n_bytes", "n_removed", "n_spans", "kept")

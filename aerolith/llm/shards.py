@@ -26,11 +26,11 @@ def text_bytes(docs: DataFrame) -> int:
     return docs.agg(F.sum(F.octet_length(whole_text()))).first()[0] or 0
 
 
-def sharded(docs: DataFrame, n_shards: int) -> DataFrame:
-    """docs with whole texts and shard."""
+def sharded(docs: DataFrame, n_shards: int, key: str = "doc_id") -> DataFrame:
+    """docs with whole texts and shard, dealt by key and text."""
     ship_package(docs.sparkSession)
     docs = docs.withColumn("text", whole_text())
-    return docs.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_shards)).cast("int"))
+    return docs.withColumn("shard", F.pmod(F.xxhash64(key, "text"), F.lit(n_shards)).cast("int"))
 
 
 def segments(offsets: np.ndarray, overlap: int, limit: int) -> Iterator[list[tuple[int, int]]]:

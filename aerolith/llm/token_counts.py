@@ -30,14 +30,14 @@ def tokenizer_version(path: str) -> str:
 
 
 def read_cache(docs: DataFrame, cache_path: str, version: str) -> DataFrame | None:
-    """Stored counts of one tokenizer version; None before the first append."""
+    """Stored counts of one tokenizer version, one for each digest (a retried or doubled append counts once); None before the first append."""
     try:
         stored = docs.sparkSession.read.schema(CACHE_SCHEMA).parquet(cache_path)
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-    return stored.where(F.col("version") == version).select("digest", F.col("n_tokens").alias("stored_tokens"))
+    return stored.where(F.col("version") == version).groupBy("digest").agg(F.min("n_tokens").alias("stored_tokens"))
 
 
 def count_tokens(docs: DataFrame, tokenizer_path: str, cache_path: str) -> DataFrame:

@@ -5,6 +5,7 @@ import hashlib
 import math
 import re
 import zlib
+from array import array
 
 import numpy as np
 import pytest
@@ -24,9 +25,9 @@ lower = lambda t: re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
 
 
 def test_parse_is_lempel_ziv():
-    ends = []
+    ends = array("q")
     fingerprints.parse(b"abababcabc", {}, 0, 0, ends)
-    assert ends == plain_parse(b"abababcabc") == [1, 2, 4, 7]  # a, b, ab, abc; abc is known and left over
+    assert ends.tolist() == plain_parse(b"abababcabc") == [1, 2, 4, 7]  # a, b, ab, abc; abc is known and left over
 
 
 def plain_parse(data):
@@ -41,9 +42,9 @@ def plain_parse(data):
 
 def test_parse_against_plain(documents):
     for r in documents.limit(20).collect():
-        data, ends = r["text"].encode(), []
+        data, ends = r["text"].encode(), array("q")
         fingerprints.parse(data, {}, 0, 0, ends)
-        assert ends == plain_parse(data)
+        assert ends.tolist() == plain_parse(data)
 
 
 def check_edits(rows, texts):
@@ -57,6 +58,34 @@ def check_edits(rows, texts):
         assert r["near_edited"] == fingerprints.likeness(prints[0], prints[1]) and r["near_next"] == fingerprints.likeness(prints[0], prints[2])
 
 
+def plain_likeness(a, b):
+    """Of the phrases of two texts: the share of common ones among the 64 with the least hashes of both."""
+    sets = []
+    for data in (a.encode(), b.encode()):
+        ends = plain_parse(data)
+        ends += [len(data)] if data and (not ends or ends[-1] < len(data)) else []
+        sets.append({data[x:y] for x, y in zip([0, *ends], ends)})
+    if not any(sets):
+        return 1.0
+    every = {p: int(fingerprints.Ranges(np.frombuffer(p, np.uint8))(np.array([0]), np.array([len(p)]))[0]) >> 32 for p in sets[0] | sets[1]}
+    least = sorted(every, key=every.get)[:64]
+    return sum(p in sets[0] and p in sets[1] for p in least) / len(least)
+
+
+def test_likeness_is_that_of_the_phrase_sets(documents):
+    texts = [r["text"] for r in documents.orderBy("doc_id").limit(30).collect()]
+    for a, b in zip(texts, [*texts[1:], texts[0]]):
+        got = fingerprints.likeness(fingerprints.Parsed(a).signature, fingerprints.Parsed(b).signature)
+        assert got == pytest.approx(plain_likeness(a, b), abs=1e-12)
+
+
+def test_signature_does_not_hang_on_steps(monkeypatch):
+    text = "".join(chr(97 + (i * i + i // 7) % 26) for i in range(20_000))
+    whole = fingerprints.Parsed(text).signature
+    monkeypatch.setattr(fingerprints, "STEP", 500)
+    assert (fingerprints.Parsed(text).signature == whole).all()
+
+
 @pytest.mark.parametrize("buckets", [1, 3, 512])
 def test_edits(frame, buckets):
     found = {r["doc_id"]: r for r in fingerprints.compare_edits(frame(EDGES), buckets).collect()}
@@ -94,6 +123,24 @@ def test_undetermined(frame, documents):
     assert {r["lang_pred"] for r in language_id.identify(frame(["some words"]).select("doc_id", "text"), nothing).collect()} == {"und"}
 
 
+def test_languages_of_odd_tables(frame, documents):
+    model = language_id.learn(documents, id_remainder(4) != 2)
+    assert language_id.identify(frame([]), model).count() == 0
+    docs = frame(["the same text"] * 3, [None, 5, 5])
+    found = language_id.identify(docs.withColumn("lang_pred", F.lit("mine")), model)
+    assert found.columns.count("score") == 1 and found.columns.count("lang_pred") == 1 and found.count() == 3
+    assert {r["fingerprint"] for r in found.collect()} == {"x"}
+
+
+def test_ngrams_of_words_count_as_often_as_the_words(frame):
+    docs = frame(["aaa aaa aaa bbb", "ccc ddd ddd ddd ddd"]).withColumn("lang", F.when(F.col("doc_id") == 0, "p").otherwise("q"))
+    model = language_id.learn(docs, F.lit(True))
+    at_p, at_q = model.languages.index("p"), model.languages.index("q")
+    totals = [sum(3 if w in ("aaa",) else 1 for w in ("aaa", "bbb") for _ in language_id.ngrams(w)), 0]
+    share = lambda gram, at: math.exp(model.grams[gram][at])
+    assert share("a", at_p) / share("b", at_p) == pytest.approx((9 + 0.1) / (3 + 0.1)) and share("d", at_q) > share("c", at_q) and totals[0] > 0
+
+
 # --- 5: language model -------------------------------------------------------------------------
 
 
@@ -319,6 +366,17 @@ def test_repeats_of_odd_texts(frame, monkeypatch):
     assert repeats.removal(frame([]).select("doc_id", "text")).count() == 0
 
 
+def test_repeats_beside_clashing_columns(frame):
+    """Columns named like the operator's outputs give way, others stay; null and repeated ids each give a row."""
+    passage = "".join(chr(97 + i * i % 26) for i in range(260))
+    docs = frame([passage, f"a {passage}", passage, None], [None, 7, 7, None]).withColumns({"kept": F.lit(1), "n_bytes": F.lit("x"), "bucket": F.lit(2), "kind": F.lit(3)})
+    found = repeats.removal(docs)
+    assert found.columns == [*(c for c in docs.columns if c not in ("text", "kept", "n_bytes")), "n_bytes", "n_removed", "n_spans", "kept"]
+    rows = found.collect()
+    assert sorted(str(r["doc_id"]) for r in rows) == ["7", "7", "None", "None"] and {r["shard"] for r in rows} == {"y"}
+    assert sorted(bytes(r["kept"]) for r in rows) == [b"", b"", b"", b"a "]
+
+
 def test_repeats_in_long_rows():
     from aerolith.llm.shards import segments
 

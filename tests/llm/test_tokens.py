@@ -164,6 +164,23 @@ def test_counts_and_cache(spark, frame, tmp_path):
     assert token_counts.count_tokens(frame([]), JSON, f"{cache}2").count() == 0
 
 
+def test_doubled_cache_entries_count_once(spark, frame, tmp_path):
+    cache = f"file://{tmp_path}/cache"
+    want = {r["doc_id"]: r["n_tokens"] for r in token_counts.count_tokens(frame(EDGES), JSON, cache).collect()}
+    spark.read.parquet(cache).write.mode("append").parquet(f"{cache}-copy")
+    spark.read.parquet(f"{cache}-copy").write.mode("append").parquet(cache)
+    found = token_counts.count_tokens(frame(EDGES), JSON, cache).collect()
+    assert len(found) == len(EDGES) and {r["doc_id"]: r["n_tokens"] for r in found} == want
+
+
+def test_null_and_repeated_ids_each_give_rows(frame, tmp_path):
+    docs = frame(["one", "two two", None, "one"], [None, 3, 3, None])
+    assert sorted((r["doc_id"] or -1, r["n_tokens"]) for r in bpe.encode_digests(docs, RANKS).collect()) == sorted((i, len(ENCODING.encode_ordinary(t))) for i, t in [(-1, "one"), (3, "two two"), (3, ""), (-1, "one")])
+    assert token_counts.count_tokens(docs, JSON, f"file://{tmp_path}/cache").count() == 4
+    assert sum(r["length"] for r in packing.pack(docs, JSON).collect()) == 4 + sum(len(LIBRARY.encode(t, add_special_tokens=False).ids) for t in ("one", "two two", "", "one"))
+    assert bpe.encode_digests(frame([]), RANKS).count() == 0
+
+
 def test_count_query(spark, small, documents):
     found = {r["doc_id"]: (r["n_tokens"], r["over_limit"]) for r in queries.op8_token_counts(spark, small).collect()}
     want = {r["doc_id"]: len(LIBRARY.encode(r["text"], add_special_tokens=False).ids) for r in documents.collect()}
