@@ -241,6 +241,55 @@ def toxicity_model(spark):
     return toxicity.learn(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet"), id_remainder(3) != 1)
 
 
+def test_viterbi_is_the_best_reading(toxicity_model):
+    """Against all readings of the lattice, one by one."""
+    model = toxicity_model.characters
+    for word in ("1d10t", "st*pid", "m0r0n", "idiooot", "s.c.u.m", "h3||o", "c00l", "a+b"):
+        found = []
+
+        def read(i, text, context, cost, leaving, word=word, found=found):
+            if i == len(word):
+                found.append((cost - model.log_probability(context, " "), text))
+                return
+            for to, letters, extra in leaving[i]:
+                own, now = cost + extra, context
+                for x in letters:
+                    own -= model.log_probability(now, x)
+                    now = (now + x)[-(toxicity.ORDER - 1) :]
+                read(to, text + letters, now, own, leaving)
+
+        read(0, "", " " * (toxicity.ORDER - 1), 0.0, toxicity.arcs(word))
+        assert toxicity.viterbi(word, model) == min(found)[1], word
+
+
+def test_spacing_accents_and_look_alikes(toxicity_model):
+    for text in ("i  d  i  o  t", "i\nd\ni\no\nt", "ídïöt", "іdіоt", "IDIÓT", "y o u  a r e  a n  i d i o t"):
+        assert toxicity_model.count(text, {}) >= 1, text
+    for text in ("élève à l'école", "größer und schöner", "москва", "a  b\nc"):
+        assert toxicity_model.count(text, {}) == 0, text
+
+
+def test_scores_rise_with_marks_and_odds(frame, toxicity_model):
+    words = sorted((f[1:] for f in toxicity_model.marks if f[0] == "="), key=lambda w: toxicity_model.marked(w))
+    texts = ["clean text", words[0], words[-1], f"{words[0]} {words[0]}", f"{words[-1]} {words[-1]}"]
+    docs = frame(texts, [None, 1, 1, 2, 3]).withColumn("odds", F.lit("mine"))
+    found = toxicity.score(docs, toxicity_model)
+    assert found.columns.count("score") == 1 and found.columns.count("odds") == 1
+    by = {(r["marks"], round(r["odds"], 9)): r["score"] for r in found.collect()}
+    ranked = [by[k] for k in sorted(by)]
+    assert ranked == sorted(ranked) and len(ranked) >= 3 and all(0 <= x <= 1 for x in ranked)
+    assert toxicity.score(frame([]), toxicity_model).count() == 0
+
+
+def test_copies_agree_and_others_do_not():
+    rng = np.random.default_rng(5)
+    base = [f"w{i}" for i in rng.integers(0, 1 << 30, 300)]
+    shared = [f"s{i}" for i in range(60)]
+    assert toxicity.signature(" ".join(base)) == toxicity.signature(" ".join(base).upper())
+    others = {toxicity.signature(" ".join(shared + [f"w{i}" for i in rng.integers(0, 1 << 30, 200)])) for _ in range(50)}
+    assert len(others) >= 45  # a fifth of their pairs of words is common
+
+
 def test_long_and_joined_disguises(toxicity_model):
     spaced = "y o u a r e a n i d i o t a n d m o r e"
     for text in (spaced, " ".join([spaced] * 3), " ".join([spaced] * 40), "1d1" + "o" * 50 + "7", "y.o.u.a.r.e.a.n.i.d.i.o.t.a.n.d.m.o.r.e", "a i d i o t", "-".join("you are an idiot and much more of this".replace(" ", ""))):
