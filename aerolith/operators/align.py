@@ -12,21 +12,35 @@ LAGS, MIN_ROWS = 30, 90
 SIGMA, RADIUS = 3.0, 12
 EXCLUDED, CONCAVITY = 5, 10
 KEY = ("flight_date", "grp")
+#: Reasons of dates and groups that have no curve (fixed values).
+NO_CANDIDATE, TOO_FEW_ROWS = "no alignment_variable candidate present in DataFrame", "insufficient data for cross-correlation"
 
 
-def lag_pairs(df: DataFrame, reference: str, targets: dict[str, str], date: str = "flight_date", order: str = "rn", lags: int = LAGS, min_rows: int = MIN_ROWS) -> DataFrame:
-    """(date, grp, rn, lag, r, t) for the rows whose every lag lies inside their date, so that all lags use the same
-    reference rows; dates with fewer than min_rows give none. One window pass serves all lags and targets."""
+def _led(df: DataFrame, reference: str, columns: Sequence[str], date: str, order: str, lags: int, min_rows: int) -> DataFrame:
+    """(date, order, r, all) of the rows whose every lag lies inside their date; all: the columns' values at each lag, column
+    by column. One window pass serves all lags and columns."""
     ordered = Window.partitionBy(date).orderBy(order)
     shifted = lambda c, k: F.lead(c, k).over(ordered) if k >= 0 else F.lag(c, -k).over(ordered)
-    spread = [F.struct(F.lit(g).alias("grp"), F.lit(k).alias("lag"), shifted(c, k).alias("t")) for g, c in targets.items() for k in range(-lags, lags + 1)]
-    rows = df.select(date, order, F.col(reference).alias("r"), F.count("*").over(Window.partitionBy(date)).alias("n"), F.array(*spread).alias("all"))
-    inside = rows.where((F.col("n") >= min_rows) & (F.col(order) > lags) & (F.col(order) <= F.col("n") - lags))
-    return inside.select(date, order, "r", F.explode("all").alias("x")).select(date, "x.grp", F.col(order).alias("rn"), "x.lag", "r", "x.t")
+    values = [shifted(c, k).cast("double") for c in columns for k in range(-lags, lags + 1)]
+    rows = df.select(date, order, F.col(reference).alias("r"), F.count("*").over(Window.partitionBy(date)).alias("n"), F.array(*values).alias("all"))
+    return rows.where((F.col("n") >= min_rows) & (F.col(order) > lags) & (F.col(order) <= F.col("n") - lags)).select(date, order, "r", "all")
 
 
-def correlation(pairs: DataFrame, by: Sequence[str] = (*KEY, "lag")) -> DataFrame:
-    """n_valid, the population correlation (null under two pairs or without variance) and the mean product of each lag."""
+def _named(groups: Sequence[str], lags: int) -> tuple[Column, Column]:
+    """Group and lag of a place in all."""
+    each = 2 * lags + 1
+    return F.element_at(F.array(*[F.lit(g) for g in groups]), (F.col("pos") / each).cast("int") + 1), F.col("pos") % each - lags
+
+
+def lag_pairs(df: DataFrame, reference: str, targets: dict[str, str], date: str = "flight_date", order: str = "rn", lags: int = LAGS, min_rows: int = MIN_ROWS) -> DataFrame:
+    """(date, grp, rn, lag, r, t) for the rows whose every lag lies inside their date, so that all lags use the same
+    reference rows; dates with fewer than min_rows give none."""
+    rows = _led(df, reference, list(targets.values()), date, order, lags, min_rows).select(date, order, "r", F.posexplode("all").alias("pos", "t"))
+    grp, lag = _named(list(targets), lags)
+    return rows.select(date, grp.alias("grp"), F.col(order).alias("rn"), lag.alias("lag"), "r", "t")
+
+
+def _sums(pairs: DataFrame, by: Sequence[str]) -> DataFrame:
     both = F.col("r").isNotNull() & F.col("t").isNotNull()
     r, t = F.when(both, F.col("r")), F.when(both, F.col("t"))
     sums = pairs.groupBy(*by).agg(F.count(r).alias("n_valid"), F.covar_pop(r, t).alias("cov"), F.stddev_pop(r).alias("sr"), F.stddev_pop(t).alias("st"), F.avg(r * t).alias("dot"))
@@ -34,6 +48,19 @@ def correlation(pairs: DataFrame, by: Sequence[str] = (*KEY, "lag")) -> DataFram
     return sums.select(*by, "n_valid", F.when(usable, F.try_divide("cov", F.col("sr") * F.col("st"))).alias("corr"), "dot")
 
 
+def correlation(pairs: DataFrame, by: Sequence[str] = (*KEY, "lag")) -> DataFrame:
+    """n_valid, the population correlation (null under two pairs or without variance) and the mean product of each lag."""
+    return _sums(pairs, by)
+
+
+def lag_curves(df: DataFrame, reference: str, targets: dict[str, str], date: str = "flight_date", order: str = "rn", lags: int = LAGS, min_rows: int = MIN_ROWS) -> DataFrame:
+    """correlation() of lag_pairs(), by date, grp and lag. Pairs are summed under a number for group and lag, so that what is
+    exploded is two numbers wide and a partition sends one row for each number."""
+    rows = _led(df, reference, list(targets.values()), date, order, lags, min_rows).select(date, "r", F.posexplode("all").alias("pos", "t"))
+    grp, lag = _named(list(targets), lags)
+    return _sums(rows, (date, "pos")).select(date, grp.alias("grp"), lag.alias("lag"), "n_valid", "corr", "dot")
+
+
 def interpolated(curve: DataFrame, value: str = "corr", out: str = "filled", key: Sequence[str] = KEY) -> DataFrame:
     """Gaps of a curve filled linearly between neighbours, flat at the ends."""
     ordered = Window.partitionBy(*key).orderBy("lag")
@@ -107,37 +134,50 @@ def decide(diagnostics: DataFrame, min_valid: int = 300, min_r: float = 0.2, min
     return diagnostics.withColumn("reason", reason).withColumn("decision", F.when(F.col("reason") == "", "SHIFT").otherwise("SKIP"))
 
 
-def diagnose(df: DataFrame, reference: str, targets: dict[str, str], min_valid: int = 300) -> DataFrame:
+def diagnose(df: DataFrame, reference: str, targets: dict[str, str], min_valid: int = 300, min_rows: int = MIN_ROWS) -> DataFrame:
     """One row per date and group: peak, shape and decision."""
-    return decide(shapes(smoothed(interpolated(correlation(lag_pairs(df, reference, targets))))), min_valid)
-
-
-def diagnostics_table(df: DataFrame, reference: str, targets: dict[str, str], variables: dict[str, int], min_valid: int = 300, date: str = "flight_date") -> DataFrame:
-    """diagnose() for every date and group, those without enough rows included; floats rounded to four places.
-    variables: how many variables each group shifts."""
-    groups = F.explode(F.array(*[F.struct(F.lit(g).alias("grp"), F.lit(n).alias("_n")) for g, n in variables.items()]))
-    every = df.select(date).distinct().select(date, groups.alias("g")).select(date, "g.grp", "g._n")
-    joined = every.join(diagnose(df, reference, targets, min_valid), [date, "grp"], "left")
-    empty = F.col("decision").isNull() | F.col("peak_r").isNull()
+    return decide(shapes(smoothed(interpolated(lag_curves(df, reference, targets, min_rows=min_rows)))), min_valid)
+
+
+def diagnostics_table(
+    df: DataFrame, reference: str, candidates: dict[str, Sequence[str]], variables: dict[str, Sequence[str]], min_valid: int = 300, min_rows: int = MIN_ROWS, date: str = "flight_date"
+) -> DataFrame:
+    """diagnose() for every date and group, floats rounded to four places. candidates: each group's alignment variables, of
+    which the first that df has is used; variables: what each group shifts. Dates with fewer than min_rows rows, and groups
+    none of whose candidates df has (alignment_variable then lists them), are skipped with that reason."""
+    picked = {g: next((c for c in names if c in df.columns), None) for g, names in candidates.items()}
+    facts = [(g, picked[g] or "|".join(names), picked[g] is not None, sum(v in df.columns for v in variables.get(g, ()))) for g, names in candidates.items()]
+    groups = F.explode(F.array(*[F.struct(*[F.lit(x).alias(n) for n, x in zip(("grp", "alignment_variable", "present", "n"), fact)]) for fact in facts]))
+    every = df.select(date).distinct().select(date, groups.alias("g")).select(date, "g.grp", "g.alignment_variable", F.col("g.present").alias("_present"), F.col("g.n").alias("_n"))
+    found = {g: c for g, c in picked.items() if c is not None}
+    joined = every.join(diagnose(df, reference, found or {"": reference}, min_valid, min_rows), [date, "grp"], "left")
     floats = ("peak_r", "peak_r_raw", "zero_lag_r", "second_peak_r", "peak_margin", "concavity_fraction")
     shifted = (F.col("decision") == "SHIFT") & (F.col("optimal_shift_s") != 0)
+    reason = F.when(~F.col("_present"), F.lit(NO_CANDIDATE)).otherwise(F.coalesce("reason", F.lit(TOO_FEW_ROWS)))
     return joined.select(
-        date, "grp", F.coalesce("n_valid", F.lit(0)).alias("n_valid"), "optimal_shift_s", *[F.round(c, 4).alias(c) for c in floats],
+        date, "grp", "alignment_variable", F.coalesce("n_valid", F.lit(0)).alias("n_valid"), "optimal_shift_s", *[F.round(c, 4).alias(c) for c in floats],
         "monotonic_halfwidth_s", "left_halfwidth_s", "right_halfwidth_s", F.coalesce("decision", F.lit("SKIP")).alias("decision"),
-        F.when(empty, F.lit("insufficient data")).otherwise(F.col("reason")).alias("reason"), F.when(shifted, F.col("_n")).otherwise(0).alias("n_vars_shifted"),
+        reason.alias("reason"), F.when(shifted, F.col("_n")).otherwise(0).alias("n_vars_shifted"),
     )
 
 
 def apply_shift(df: DataFrame, decisions: DataFrame, groups: dict[str, Sequence[str]], date: str = "flight_date", order: str = "rn") -> DataFrame:
     """Columns of each group moved so that row r holds the value of row r + shift of its date; nulls enter at the edge.
-    Only groups decided SHIFT with another shift than 0 move. A group's moved columns are joined back by (date, row)."""
-    moves = decisions.where("decision = 'SHIFT'").select(date, "grp", F.col("optimal_shift_s").alias("_k"))
-    out = df
-    for g, columns in groups.items():
-        k = moves.where(F.col("grp") == g).select(date, "_k")
-        moved = df.join(k, date, "left").select(date, (F.col(order) - F.coalesce("_k", F.lit(0))).alias(order), *columns)
-        out = out.drop(*columns).join(moved, [date, order], "left")
-    return out.select(*df.columns)
+    Only groups decided SHIFT with another shift than 0 move. Each row sends its own columns to its place and each group's
+    columns to theirs, and one aggregation by (date, place) puts them together: one pass, whatever the number of groups.
+    (date, order) must be unique. decisions has a row for each date and group."""
+    moves = decisions.where("decision = 'SHIFT'").groupBy(date).agg(*[F.max(F.when(F.col("grp") == g, F.col("optimal_shift_s"))).alias(f"_k{i}") for i, g in enumerate(groups)])
+    moving = [c for columns in groups.values() for c in columns]
+    staying = [c for c in df.columns if c not in (date, order, *moving)]
+    nothing = {c: F.lit(None).cast(df.schema[c].dataType) for c in (*staying, *moving)}
+
+    def part(place: Column, own: Sequence[str], base: bool) -> Column:
+        return F.struct(place.cast("long").alias("_at"), F.lit(base).alias("_base"), *[(F.col(c) if c in own else nothing[c]).alias(c) for c in (*staying, *moving)])
+
+    parts = [part(F.col(order), staying, True), *[part(F.col(order) - F.coalesce(f"_k{i}", F.lit(0)), columns, False) for i, columns in enumerate(groups.values())]]
+    sent = df.join(moves, date, "left").select(date, F.explode(F.array(*parts)).alias("_p")).select(date, "_p.*")
+    met = sent.groupBy(date, "_at").agg(F.bool_or("_base").alias("_base"), *[F.first(c, ignorenulls=True).alias(c) for c in (*staying, *moving)]).where("_base")
+    return met.withColumn(order, F.col("_at").cast(df.schema[order].dataType)).select(*df.columns)
 
 
 def pick_alignment(groups: DataFrame, present: DataFrame) -> DataFrame:

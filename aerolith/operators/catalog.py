@@ -27,12 +27,15 @@ def clean_title(title: Column) -> Column:
 
 def families(names: DataFrame, titles: DataFrame, name: str = "name") -> DataFrame:
     """Each name with the family of the longest title that it begins with (title and underscore), else `other` and its
-    first token. titles: title, family (null: the cleaned title)."""
+    first token. titles: title, family (null: the cleaned title). Distinct names are looked up, each by its beginnings up to an
+    underscore, and joined back, so repeated rows stay and no name meets titles that it doesn't begin with."""
     prefixes = titles.select("title", F.coalesce("family", clean_title(F.col("title"))).alias("family"))
-    hit = F.col(name).startswith(F.concat("title", F.lit("_")))
-    met = names.join(prefixes, hit, "left")
-    best = met.groupBy(*names.columns).agg(F.max_by(F.struct("family", "title"), F.length("title")).alias("b"))
-    return best.select(*names.columns, F.coalesce("b.family", F.lit("other")).alias("family"), F.coalesce("b.title", F.split(F.col(name), "_")[0]).alias("title"))
+    distinct = names.select(F.col(name).alias("_name")).where("_name is not null").distinct()
+    ends = F.filter(F.sequence(F.lit(1), F.length("_name")), lambda i: F.substring(F.col("_name"), i, F.lit(1)) == "_")
+    begun = distinct.select("_name", F.explode(F.transform(ends, lambda i: F.substring(F.col("_name"), F.lit(1), i - 1))).alias("title"))
+    best = begun.join(prefixes, "title").groupBy("_name").agg(F.max_by(F.struct("family", "title"), F.length("title")).alias("_b"))
+    met = names.join(best, F.col(name) == F.col("_name"), "left")
+    return met.select(*[names[c] for c in names.columns], F.coalesce("_b.family", F.lit("other")).alias("family"), F.coalesce("_b.title", F.split(names[name], "_")[0]).alias("title"))
 
 
 def family_order(present: DataFrame, configured: Sequence[str]) -> DataFrame:
@@ -62,6 +65,11 @@ def guess_units(short: Column) -> Column:
     return out
 
 
+#: Units, and words of the header's notes, that tell a basis (fixed values).
+NO_BASIS_UNITS = ("ppm", "ppb", "ppt", "unitless", "percent", "fraction", "second", "degree", "none")
+STP_NOTES, AMBIENT_NOTE = ("standard temperature", "stp"), "ambient temperature"
+
+
 def measurement_basis(standard: Column, name: Column, units: Column, info: Column) -> Column:
     """STP, ambient, not_applicable or unspecified; the first rule that holds decides."""
     text = lambda c: F.lower(F.coalesce(c, F.lit("")))
@@ -72,9 +80,9 @@ def measurement_basis(standard: Column, name: Column, units: Column, info: Colum
         F.when((last == "STP") | F.replace(std, F.lit("_"), F.lit("")).contains("MASSSTP"), "STP")
         .when(last == "AMB", "ambient")
         .when(n.endswith("_stp") | n.contains("stdpt"), "STP")
-        .when(has(u, "ppm", "ppb", "ppt", "unitless", "percent", "fraction", "second", "degree", "none") | n.contains("frac"), "not_applicable")
-        .when(has(i, "standard temperature", "stp"), "STP")
-        .when(i.contains("ambient temperature"), "ambient")
+        .when(has(u, *NO_BASIS_UNITS) | n.contains("frac"), "not_applicable")
+        .when(has(i, *STP_NOTES), "STP")
+        .when(i.contains(AMBIENT_NOTE), "ambient")
         .otherwise("unspecified")
     )
 

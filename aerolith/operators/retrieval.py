@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerolith.operators.spectra import pattern
@@ -20,17 +20,31 @@ def inputs(windows: DataFrame, spectrum: str, scattering: Sequence[str], absorpt
     return windows.where(F.col(flag) == 0).select("window_start", radii.alias("radii_um"), F.col(spectrum).alias("spectrum"), si(scattering).alias("sca_per_m"), si(absorption).alias("abs_per_m"))
 
 
-def grid_search(windows: DataFrame, measured: Sequence[str], spectrum: str, kernels: DataFrame, tolerance: float) -> DataFrame:
+def grid_search(windows: DataFrame, measured: Sequence[str], spectrum: str, kernels: DataFrame, tolerance: float, chunk: int = 64) -> DataFrame:
     """Best candidate of each window. kernels: candidate, channel (position in measured), kernel (array over bins).
     A candidate's optics are the dot product of kernel and spectrum, where missing bins give nothing; the residual is the
-    sum of squared relative deviations; ties go to the smaller candidate. Kernels are a lookup table of a chosen size, so
-    the caller bounds them; Spark broadcasts them if they are under its own size limit."""
-    dot = F.aggregate(F.zip_with(F.col(spectrum), F.col("kernel"), lambda x, k: F.coalesce(x * k, F.lit(0.0))), F.lit(0.0), lambda a, x: a + x)
-    values = F.array(*[F.col(c) for c in measured])
-    long = windows.select("window_start", spectrum, F.posexplode(values).alias("channel", "measured"))
-    pairs = long.join(kernels, "channel").withColumn("_d", F.try_divide(dot - F.col("measured"), F.col("measured")))
-    residuals = pairs.groupBy("window_start", "candidate").agg(F.sum(F.col("_d") * F.col("_d")).alias("residual"))
-    best = residuals.groupBy("window_start").agg(F.min_by(F.struct("candidate", "residual"), F.struct("residual", "candidate")).alias("b"))
+    sum of squared relative deviations over the channels that the candidate has; ties go to the smaller candidate.
+
+    Kernels are gathered into rows of about chunk candidates, so a window meets a few rows, works out their residuals in the
+    row and keeps one; partial minima are all that is shuffled. Kernels are a lookup table of a chosen size; Spark broadcasts
+    the gathered rows if they are under its own size limit."""
+    by_channel = F.map_from_entries(F.collect_list(F.struct("channel", "kernel")))
+    listed = kernels.groupBy("candidate").agg(by_channel.alias("kernels"))
+    parts = F.greatest(F.ceil(F.count("*").over(Window.partitionBy()) / chunk), F.lit(1))  # one row for each candidate
+    chunks = listed.withColumn("_c", F.pmod(F.xxhash64("candidate"), parts)).groupBy("_c").agg(F.collect_list(F.struct("candidate", "kernels")).alias("candidates"))
+
+    def residual(kernels: Column) -> Column:
+        out = F.lit(0.0)
+        for i, c in enumerate(measured):
+            own = F.element_at(kernels, F.lit(i))
+            dot = F.aggregate(F.zip_with(F.col(spectrum), own, lambda x, k: F.coalesce(x * k, F.lit(0.0))), F.lit(0.0), lambda a, x: a + x)
+            off = F.try_divide(dot - F.col(c), F.col(c))
+            out = out + F.coalesce(off * off, F.lit(0.0))
+        return out
+
+    tried = F.transform("candidates", lambda x: F.struct(residual(x["kernels"]).alias("residual"), x["candidate"].alias("candidate")))
+    met = windows.select("window_start", spectrum, *measured).join(chunks.select("candidates"))  # every window tries every candidate
+    best = met.select("window_start", F.array_min(tried).alias("b")).groupBy("window_start").agg(F.min("b").alias("b"))
     return best.select("window_start", "b.candidate", "b.residual", F.when(F.col("b.residual") <= tolerance, 2).otherwise(1).alias("attempt_flag_cri"))
 
 

@@ -55,7 +55,7 @@ def edges(centres: Column) -> Column:
 
 def bin_name(name: Column) -> tuple[Column, Column]:
     """Tag and number of TAG_BinNN and dNdlogD_NNN_TAG names (null for others)."""
-    plain, inverse = r"(?:^|_)([A-Za-z0-9]+)_[Bb]in0*(\d+)$", r"^dNdlogD_0*(\d+)_([A-Za-z0-9]+)"
+    plain, inverse = r"(?:^|_)([A-Za-z0-9]+)_Bin(\d+)$", r"^dNdlogD_0*(\d+)_([A-Za-z0-9]+)$"  # fixed by the format
     is_plain, is_inverse = name.rlike(plain), name.rlike(inverse)
     tag = F.when(is_plain, F.lower(F.regexp_extract(name, plain, 1))).when(is_inverse, F.lower(F.regexp_extract(name, inverse, 2)))
     number = F.when(is_plain, F.regexp_extract(name, plain, 2)).when(is_inverse, F.regexp_extract(name, inverse, 1)).cast("int")

@@ -9,12 +9,15 @@ from aerolith.operators import align, spectra
 from aerolith.plans import frames
 from aerolith.plans.registry import query
 
-TARGETS, VARIABLES, LEAST = {"a": "tgt_a", "b": "tgt_b"}, {"a": 3, "b": 1}, 200
+TARGETS, LEAST = {"a": "tgt_a", "b": "tgt_b"}, 200
+#: A third group has no candidate among the columns; dates under ROWS rows are too short (a few are, at the small scale).
+CANDIDATES = {"a": ("absent_a", "tgt_a", "tgt_b"), "b": ("tgt_b",), "c": ("absent_c", "absent_d")}
+VARIABLES, ROWS = {"a": ("tgt_a", "ref", "event_id"), "b": ("tgt_b", "absent_b"), "c": ("tgt_b",)}, 320
 KEY = list(align.KEY)
 
 
 def curve(spark, sf) -> DataFrame:
-    return align.correlation(align.lag_pairs(frames.lag_pairs(spark, sf), "ref", TARGETS))
+    return align.lag_curves(frames.lag_pairs(spark, sf), "ref", TARGETS)
 
 
 def smooth(spark, sf) -> DataFrame:
@@ -22,7 +25,7 @@ def smooth(spark, sf) -> DataFrame:
 
 
 def table(spark, sf) -> DataFrame:
-    return align.diagnostics_table(frames.lag_pairs(spark, sf), "ref", TARGETS, VARIABLES, LEAST)
+    return align.diagnostics_table(frames.lag_pairs(spark, sf), "ref", CANDIDATES, VARIABLES, LEAST, ROWS)
 
 
 @query
@@ -113,13 +116,13 @@ def skip_reasons(spark, sf):
 
 @query
 def shift_pivot(spark, sf):
-    return align.provenance(table(spark, sf), ("a", "b"))
+    return align.provenance(table(spark, sf), ("a", "b", "c"))
 
 
 @query
 def align_var_pick(spark, sf):
     groups = spark.createDataFrame([("optical", ["missing_var", "n_error", "n_click"]), ("micro", ["n_refund"]), ("nav", ["n_purchase", "n_view"])], "grp string, candidates array<string>")
-    present = frames.sensor(spark, sf).where("value > 250").select("flight_date", F.concat(F.lit("n_"), "event_type").alias("variable"))
+    present = frames.sensor(spark, sf).select("flight_date", F.concat(F.lit("n_"), "event_type").alias("variable"))
     return align.pick_alignment(groups, present)
 
 

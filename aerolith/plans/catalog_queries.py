@@ -35,7 +35,7 @@ def channel_preference(spark, sf):
 @query
 def wavelength_match(spark, sf):
     best = catalog.channel_preference(channels(spark, sf, "Sc"))
-    return catalog.wavelength_match(best, channels(spark, sf, "Ext").where("pos % 5 = 0"))
+    return catalog.wavelength_match(best, channels(spark, sf, "Ext"))
 
 
 @query
@@ -77,7 +77,7 @@ def measurement_basis(spark, sf):
 @query
 def dedupe_names(spark, sf):
     title = F.when(F.col("p_size") % 2 == 0, F.concat(F.lit("XY "), "p_brand", F.lit(" LAS"))).otherwise(F.col("p_brand"))
-    entries = parts(spark, sf).where("p_partkey % 9 = 0").select("p_partkey", F.col("p_type").alias("family"), title.alias("title"), F.col("p_name").alias("short"))
+    entries = parts(spark, sf).select("p_partkey", F.col("p_type").alias("family"), title.alias("title"), F.col("p_name").alias("short"))
     return catalog.unique_names(entries).select("p_partkey", "unique_name")
 
 

@@ -22,12 +22,9 @@ def spans(spark, sf) -> DataFrame:
     return found.where((F.col("n_rows") >= LARGE) & (F.day(F.timestamp_seconds("start_s")) % 5 != 0)).select("start_s", "end_s")
 
 
-def assigned(spark, sf) -> tuple[DataFrame, DataFrame]:
-    """Rows assigned to spans and orphan days' spans, and all spans."""
-    own = spans(spark, sf)
-    first = flights.assign(rows(spark, sf).select("event_id", "at", "value"), own)
-    every = own.unionByName(flights.orphan_spans(first, own).select("start_s", "end_s"))
-    return flights.assign(rows(spark, sf).select("event_id", "at", "value"), every), every
+def cut(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Flights by the large sessions as markers; days without one get a flight of their own."""
+    return flights.segment(rows(spark, sf), STEP, spans(spark, sf))
 
 
 @query
@@ -53,13 +50,12 @@ def orphan_days(spark, sf):
 
 @query
 def flight_table(spark, sf):
-    return flights.flight_table(*assigned(spark, sf))
+    return cut(spark, sf)[1]
 
 
 @query
 def flight_grid(spark, sf):
-    given, every = assigned(spark, sf)
-    return flights.grid(given, flights.flight_table(given, every), STEP).select("event_id", "flight_no", "sod", "slot")
+    return cut(spark, sf)[0].select("event_id", "flight_no", "sod", "slot")
 
 
 @query
@@ -67,11 +63,25 @@ def dropped_rows(spark, sf):
     return flights.dropped(flights.assign(rows(spark, sf).select("event_id", "at"), spans(spark, sf)))
 
 
+@query
+def segment_dropped(spark, sf):
+    return cut(spark, sf)[2]
+
+
+@query
+def envelope_select(spark, sf):
+    """Marker envelopes of dates long before the data and of every second hour of it; those beside the data go."""
+    own = rows(spark, sf)
+    hour = F.floor(F.col("at") / 3600)
+    given = own.groupBy(hour.alias("hour")).agg(F.min("at").alias("start_s"), F.max("at").alias("end_s"))
+    early = given.select((F.col("start_s") - 10_000_000).alias("start_s"), (F.col("end_s") - 10_000_000).alias("end_s"))
+    return flights.select_spans(given.select("start_s", "end_s").unionByName(early), own)
+
+
 @query
 def densify(spark, sf):
-    given, every = assigned(spark, sf)
-    table = flights.flight_table(given, every)
-    return flights.densify(flights.grid(given, table, STEP), table, "value", SLOTS, -999.0)
+    gridded, table, _ = cut(spark, sf)
+    return flights.densify(gridded, table, "value", SLOTS, -999.0)
 
 
 @query

@@ -172,16 +172,17 @@ dg AS (SELECT * FROM peaks LEFT JOIN second USING (flight_date, grp) LEFT JOIN (
 rs AS (SELECT *, concat_ws('; ', CASE WHEN n_valid < 200 THEN 'n_valid=' || n_valid || '<200' END, CASE WHEN coalesce(peak_r < 0.2, TRUE) THEN 'peak_r<0.2' END,
   CASE WHEN coalesce(monotonic_halfwidth_s < 5, TRUE) THEN 'monotonic_halfwidth_s<5' END) AS reason FROM dg),
 dec AS (SELECT *, CASE WHEN reason = '' THEN 'SHIFT' ELSE 'SKIP' END AS decision FROM rs),
-ev AS (SELECT DISTINCT flight_date, grp, CASE WHEN grp = 'a' THEN 3 ELSE 1 END AS nv FROM l, (VALUES ('a'), ('b')) AS x(grp)),
-tab AS (SELECT flight_date, grp, coalesce(n_valid, 0) AS n_valid, optimal_shift_s, round(peak_r, 4) AS peak_r, round(peak_r_raw, 4) AS peak_r_raw, round(zero_lag_r, 4) AS zero_lag_r,
+ev AS (SELECT DISTINCT flight_date, n, grp, av, nv FROM l, (VALUES ('a', 'tgt_a', 3), ('b', 'tgt_b', 1), ('c', 'absent_c|absent_d', 1)) AS x(grp, av, nv)),
+ok AS (SELECT dec.* FROM dec JOIN ev USING (flight_date, grp) WHERE ev.n >= 320),
+tab AS (SELECT flight_date, grp, av AS alignment_variable, coalesce(n_valid, 0) AS n_valid, optimal_shift_s, round(peak_r, 4) AS peak_r, round(peak_r_raw, 4) AS peak_r_raw, round(zero_lag_r, 4) AS zero_lag_r,
   round(second_peak_r, 4) AS second_peak_r, round(peak_margin, 4) AS peak_margin, round(concavity_fraction, 4) AS concavity_fraction, monotonic_halfwidth_s, left_halfwidth_s, right_halfwidth_s,
-  coalesce(decision, 'SKIP') AS decision, CASE WHEN decision IS NULL OR peak_r IS NULL THEN 'insufficient data' ELSE reason END AS reason,
-  (CASE WHEN decision = 'SHIFT' AND optimal_shift_s <> 0 THEN nv ELSE 0 END)::BIGINT AS n_vars_shifted FROM ev LEFT JOIN dec USING (flight_date, grp))"""
+  coalesce(decision, 'SKIP') AS decision, CASE WHEN grp = 'c' THEN 'no alignment_variable candidate present in DataFrame' WHEN n < 320 THEN 'insufficient data for cross-correlation' ELSE reason END AS reason,
+  (CASE WHEN decision = 'SHIFT' AND optimal_shift_s <> 0 THEN nv ELSE 0 END)::BIGINT AS n_vars_shifted FROM ev LEFT JOIN ok USING (flight_date, grp))"""
 )
 
 _PIVOT = ", ".join(
     f"{x}  AS {g}_{n}"
-    for g in ("a", "b")
+    for g in ("a", "b", "c")
     for n, x in (
         ("applied_shift_s", f"max(CASE WHEN decision = 'SHIFT' THEN optimal_shift_s::DOUBLE ELSE 0 END) FILTER (WHERE grp = '{g}')"),
         ("decision_code", f"max(CASE WHEN decision = 'SHIFT' THEN 1 ELSE 0 END::BIGINT) FILTER (WHERE grp = '{g}')"),
@@ -215,7 +216,7 @@ SQL |= {
     "skip_reasons": f"WITH {_SHAPE} SELECT reason, count(*) AS n FROM tab WHERE decision = 'SKIP' GROUP BY reason",
     "shift_pivot": f"WITH {_SHAPE} SELECT flight_date, {_PIVOT} FROM tab GROUP BY flight_date",
     "align_var_pick": f"""WITH {_SENSOR}, c AS (SELECT * FROM (VALUES ('optical', 1, 'missing_var'), ('optical', 2, 'n_error'), ('optical', 3, 'n_click'), ('micro', 1, 'n_refund'), ('nav', 1, 'n_purchase'), ('nav', 2, 'n_view')) AS x(grp, pos, variable)),
-pr AS (SELECT DISTINCT flight_date, 'n_' || event_type AS variable FROM s WHERE value > 250),
+pr AS (SELECT DISTINCT flight_date, 'n_' || event_type AS variable FROM s),
 ds AS (SELECT DISTINCT flight_date FROM pr), gs AS (SELECT DISTINCT grp FROM c)
  SELECT ds.flight_date, gs.grp, arg_min(c.variable, c.pos) FILTER (WHERE pr.variable IS NOT NULL) AS picked FROM ds CROSS JOIN gs JOIN c ON c.grp = gs.grp
  LEFT JOIN pr ON pr.flight_date = ds.flight_date AND pr.variable = c.variable GROUP BY ALL""",
@@ -242,8 +243,11 @@ _ORPHANS = (
     + """, orp AS (SELECT strftime(make_timestamp(CAST(t * 1000000 AS BIGINT)), '%Y-%m-%d') AS date, min(t) AS start_s, max(t) AS end_s FROM asg
  WHERE span_s IS NULL AND strftime(make_timestamp(CAST(t * 1000000 AS BIGINT)), '%Y-%m-%d') NOT IN (SELECT strftime(make_timestamp(CAST(start_s * 1000000 AS BIGINT)), '%Y-%m-%d') FROM sp) GROUP BY 1)"""
 )
+#: As the whole segmentation has it: sessions take the envelopes' part where no envelope is left.
 _FLIGHTS = (
-    _ORPHANS
+    _ORPHANS.replace("sp AS (SELECT start_s, end_s FROM ses WHERE", "sp0 AS (SELECT start_s, end_s FROM ses WHERE", 1).replace(
+        "asg_p AS", "sp AS (SELECT * FROM sp0 UNION ALL SELECT start_s, end_s FROM ses WHERE NOT EXISTS (SELECT 1 FROM sp0)), asg_p AS", 1
+    )
     + ", alls AS (SELECT start_s, end_s FROM sp UNION ALL SELECT start_s, end_s FROM orp), "
     + _assigned("alls", "fin")
     + """, ft AS (SELECT row_number() OVER (ORDER BY start_s) AS flight_no, start_s, end_s, n_rows, CAST(floor(start_s / 86400) * 86400 AS BIGINT) AS midnight_s FROM alls
@@ -269,6 +273,8 @@ n AS (SELECT *, CASE WHEN count(*) OVER (PARTITION BY date) > 1 THEN row_number(
     "orphan_days": f"WITH {_ORPHANS} SELECT date, round(start_s, 6) AS start_s, round(end_s, 6) AS end_s FROM orp",
     "flight_table": f"WITH {_FLIGHTS} SELECT flight_no, round(start_s, 6) AS start_s, round(end_s, 6) AS end_s, n_rows, midnight_s, round(start_s - midnight_s, 6) AS takeoff_sod, round(end_s - midnight_s, 6) AS landing_sod FROM ft",
     "flight_grid": f"WITH {_FLIGHTS} SELECT event_id, flight_no, round(sod, 6) AS sod, slot FROM gr",
+    "segment_dropped": f"WITH {_FLIGHTS} SELECT count(*) AS n_rows, count(*) FILTER (WHERE span_s IS NULL) AS n_dropped, round(count(*) FILTER (WHERE span_s IS NULL) * 100.0 / count(*), 6) AS percent_dropped FROM fin",
+    "envelope_select": f"WITH {_ROWS}, h AS (SELECT floor(t / 3600) AS hour, min(t) AS start_s, max(t) AS end_s FROM r GROUP BY 1) SELECT round(start_s, 6) AS start_s, round(end_s, 6) AS end_s FROM h",
     "dropped_rows": f"WITH {_SPANS} SELECT count(*) AS n_rows, count(*) FILTER (WHERE span_s IS NULL) AS n_dropped, round(count(*) FILTER (WHERE span_s IS NULL) * 100.0 / count(*), 6) AS percent_dropped FROM asg",
     "densify": f"""WITH {_FLIGHTS}, ls AS (SELECT flight_no, slot, arg_max(value, t) AS value FROM gr GROUP BY ALL)
  SELECT ft.flight_no, x.slot, round(coalesce(ls.value, -999), 6) AS value FROM ft CROSS JOIN range(0, 200) AS x(slot) LEFT JOIN ls ON ls.flight_no = ft.flight_no AND ls.slot = x.slot""",
@@ -290,7 +296,9 @@ n AS (SELECT *, CASE WHEN count(*) OVER (PARTITION BY date) > 1 THEN row_number(
     "bin_pattern_counts": f"""WITH {_SENSOR}{_SPECTRUM.format(of='s')}, k AS (SELECT [i - 1 FOR i IN range(1, 13) IF psd[i] IS NOT NULL] AS pt FROM p)
  SELECT array_to_string(pt, ',') AS pattern, count(*) AS n FROM k GROUP BY pt HAVING count(*) >= 5 AND len(pt) >= 2""",
     "lut_grid_search": """WITH e AS (SELECT vec_id, [x::DOUBLE FOR x IN embedding] AS v FROM embeddings),
-w AS (SELECT vec_id AS window_start, v, [v[1] + 2, v[2] + 2] AS m FROM e), k AS (SELECT vec_id // 2 AS candidate, vec_id % 2 AS channel, v FROM e WHERE vec_id < 40),
+w AS (SELECT vec_id AS window_start, v, [v[1] + 2, v[2] + 2] AS m FROM e),
+p AS (SELECT vec_id % 20 AS candidate, (vec_id // 20) % 2 AS channel, unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM e), a AS (SELECT candidate, channel, pos, avg(x) AS x FROM p GROUP BY ALL),
+k AS (SELECT candidate, channel, list(x ORDER BY pos) AS v FROM a GROUP BY ALL),
 rz AS (SELECT window_start, candidate, sum(pow((10 * list_inner_product(w.v, k.v) - m[channel + 1]) / m[channel + 1], 2)) AS residual FROM w CROSS JOIN k GROUP BY ALL),
 bs AS (SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY residual, candidate) AS place FROM rz)
  SELECT window_start, candidate, round(residual, 6) AS residual, (CASE WHEN residual <= 0.5 THEN 2 ELSE 1 END)::BIGINT AS attempt_flag_cri FROM bs WHERE place = 1""",
@@ -300,8 +308,8 @@ _FILES = """f AS (SELECT event_type || '_HU25_' || strftime(ts, '%Y%m%d') || '_R
   row_number() OVER (PARTITION BY event_type, CAST(ts AS DATE) ORDER BY event_id) - 1 AS pos, floor((epoch_us(ts) / 1000000.0) % 86400)::DOUBLE AS seconds, CASE WHEN event_id % 31 <> 0 THEN value END AS value, user_id FROM events)"""
 
 _SLOTS = """ds AS (SELECT DISTINCT CAST(CAST(ts AS DATE) AS VARCHAR) AS flight_date FROM events),
-v AS (SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS flight_date, floor(((epoch_us(ts) / 1000000.0) % 86400) / 900)::BIGINT * 900 AS slot_s, avg(value) AS value FROM events WHERE event_id % 3 = 0 GROUP BY 1, 2),
-tl AS (SELECT ds.flight_date, x.slot_s, v.value FROM ds CROSS JOIN range(0, 86400, 900) AS x(slot_s) LEFT JOIN v ON v.flight_date = ds.flight_date AND v.slot_s = x.slot_s),
+v AS (SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS flight_date, floor(((epoch_us(ts) / 1000000.0) % 86400) / 180)::BIGINT * 180 AS slot_s, avg(value) FILTER (WHERE event_id % 31 <> 0) AS value FROM events GROUP BY 1, 2),
+tl AS (SELECT ds.flight_date, x.slot_s, v.value FROM ds CROSS JOIN range(0, 86400, 180) AS x(slot_s) LEFT JOIN v ON v.flight_date = ds.flight_date AND v.slot_s = x.slot_s),
 nb AS (SELECT *, last_value(value IGNORE NULLS) OVER p AS v0, last_value(CASE WHEN value IS NOT NULL THEN slot_s END IGNORE NULLS) OVER p AS t0,
   first_value(value IGNORE NULLS) OVER n AS v1, first_value(CASE WHEN value IS NOT NULL THEN slot_s END IGNORE NULLS) OVER n AS t1 FROM tl
  WINDOW p AS (PARTITION BY flight_date ORDER BY slot_s ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), n AS (PARTITION BY flight_date ORDER BY slot_s ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))"""
@@ -323,22 +331,22 @@ SQL |= {
  SELECT file, flight_date, pos, seconds, variable, round(value, 6) AS value FROM u""",
     "icartt_header_vars": f"""WITH {_FILES}, d AS (SELECT DISTINCT file, 'Probe ' || event_type AS title FROM f)
  SELECT file, title, v.* FROM d CROSS JOIN (VALUES (0::BIGINT, 'value', 'counts', 'std_STP', 'the value, in counts'), (1::BIGINT, 'user', 'none', '', '')) AS v(pos, name, units, standard, description)""",
-    "file_select": r"""WITH m AS (SELECT page_id, regexp_extract(url, '^https?://([a-z.]+)/([a-z]{2})/(\d+)', 1) AS host, regexp_extract(url, '^https?://([a-z.]+)/([a-z]{2})/(\d+)', 2) AS token, regexp_extract(url, '^https?://([a-z.]+)/([a-z]{2})/(\d+)', 3) AS number FROM pages)
- SELECT * FROM m WHERE token IN ('fr', 'de') AND CAST(number AS BIGINT) BETWEEN 100 AND 800""",
+    "file_select": r"""WITH f AS (SELECT page_id, regexp_extract(url, '^https?://[a-z.]+/([a-z]{2})/', 1) AS instr, lpad((page_id % 40 + 1)::VARCHAR, 2, '0') AS dd, regexp_extract(url, '/(\d+)', 1) AS nr FROM pages)
+ SELECT page_id, instr || '_HU25_202401' || dd || '_R' || nr || '.ict' AS file, instr, '2024-01-' || dd AS flight_date FROM f WHERE instr IN ('fr', 'de') AND nr <> '' AND dd::INT BETWEEN 5 AND 25""",
     "timeline": "SELECT flight_date, slot_s FROM (SELECT DISTINCT CAST(CAST(ts AS DATE) AS VARCHAR) AS flight_date FROM events) CROSS JOIN range(0, 86400, 600) AS x(slot_s)",
     "merge_beside": "SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS flight_date, (epoch_us(ts) // 600000000) * 600 AS slot, "
-    + ", ".join(f"round(avg(value) FILTER (WHERE event_type = '{t}'), 6) AS {t}" for t in ("click", "error", "purchase", "signup"))
-    + " FROM events WHERE event_type <> 'view' AND value IS NOT NULL GROUP BY 1, 2",
-    "gap_fill_linear": f"WITH {_SLOTS} SELECT flight_date, slot_s, round(coalesce(value, CASE WHEN t1 - t0 <= 3600 THEN v0 + (v1 - v0) * (slot_s - t0) / (t1 - t0) END), 6) AS filled FROM nb",
-    "gap_fill_nearest": f"""WITH {_SLOTS} SELECT flight_date, slot_s, round(CASE WHEN coalesce(slot_s - t0 <= 1800, FALSE) AND (NOT coalesce(t1 - slot_s <= 1800, FALSE) OR slot_s - t0 <= t1 - slot_s) THEN v0
- WHEN coalesce(t1 - slot_s <= 1800, FALSE) THEN v1 END, 6) AS filled FROM nb""",
-    "stack_on_top": "SELECT event_id, " + ", ".join(f"round(CASE WHEN event_type = '{t}' THEN value END, 6) AS {t}_value" for t in ("click", "error", "view")) + " FROM events WHERE event_type IN ('click', 'error', 'view')",
+    + ", ".join(f"round(avg(value) FILTER (WHERE event_type = '{t}'), 6) AS {t}" for t in ("click", "error", "purchase", "signup", "view"))
+    + " FROM events WHERE value IS NOT NULL GROUP BY 1, 2",
+    "gap_fill_linear": f"WITH {_SLOTS} SELECT flight_date, slot_s, round(coalesce(value, CASE WHEN t1 - t0 <= 720 THEN v0 + (v1 - v0) * (slot_s - t0) / (t1 - t0) END), 6) AS filled FROM nb",
+    "gap_fill_nearest": f"""WITH {_SLOTS} SELECT flight_date, slot_s, round(CASE WHEN coalesce(slot_s - t0 <= 360, FALSE) AND (NOT coalesce(t1 - slot_s <= 360, FALSE) OR slot_s - t0 <= t1 - slot_s) THEN v0
+ WHEN coalesce(t1 - slot_s <= 360, FALSE) THEN v1 END, 6) AS filled FROM nb""",
+    "stack_on_top": "SELECT event_id, " + ", ".join(f"round(CASE WHEN event_type = '{t}' THEN value END, 6) AS {t}_value" for t in ("click", "error", "purchase", "signup", "view")) + " FROM events",
     "dedupe_keep_first": "SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS flight_date, epoch_us(ts) // 600000000 AS slot, min(event_id) AS event_id, round(arg_min(value, event_id), 6) AS value FROM events GROUP BY 1, 2",
     "clean_title": f"SELECT p_partkey, {_CLEAN.format(x="' ' || p_name || ' 5% (a_+_b) --> ' || p_brand || '.x '")} AS title FROM part",
     "provenance_text": """SELECT field, string_agg(line, chr(10) ORDER BY line) AS text FROM (SELECT DISTINCT 'field' || (user_id % 3) AS field, event_type || ': ' || (user_id % 7) AS line FROM events) GROUP BY field""",
     "channel_preference": f"WITH {_CHANNELS} SELECT wavelength::BIGINT AS wavelength, col AS \"column\" FROM pf",
     "wavelength_match": f"""WITH {_CHANNELS}, sc AS (SELECT wavelength AS w, CASE WHEN k = '' THEN 'total' ELSE substr(k, 2) END AS kind FROM pf),
-ex AS (SELECT pos, wavelength AS w2, 'Ext' || wavelength || k || '_' || pos AS col, CASE WHEN k = '' THEN 'unknown' ELSE substr(k, 2) END AS kind2 FROM ch WHERE pos % 5 = 0),
+ex AS (SELECT pos, wavelength AS w2, 'Ext' || wavelength || k || '_' || pos AS col, CASE WHEN k = '' THEN 'unknown' ELSE substr(k, 2) END AS kind2 FROM ch),
 mm AS (SELECT w, w2, col, row_number() OVER (PARTITION BY w, w2 ORDER BY CASE WHEN kind = kind2 THEN 0 WHEN kind2 = 'total' THEN 1 ELSE 2 END, pos) AS place FROM sc JOIN ex ON abs(w - w2) <= 50)
  SELECT w::BIGINT AS wavelength, w2::BIGINT AS other_wavelength, col AS other_column FROM mm WHERE place = 1""",
     "longest_prefix_family": f"WITH {_FAMILY} SELECT p_partkey, name, family, title FROM fam",
@@ -355,7 +363,7 @@ mm AS (SELECT w, w2, col, row_number() OVER (PARTITION BY w, w2 ORDER BY CASE WH
   CASE WHEN p_partkey % 11 = 0 THEN p_name || '_stp' WHEN p_partkey % 13 = 0 THEN 'frac_x' ELSE p_name END AS nm FROM part)
  SELECT p_partkey, CASE WHEN std = 'X_STP' OR std = 'Mass_STP_y' THEN 'STP' WHEN std = 'X_AMB' THEN 'ambient' WHEN nm LIKE '%!_stp' ESCAPE '!' THEN 'STP'
   WHEN u IN ('ppmv', 'unitless', 'degrees') OR nm LIKE '%frac%' THEN 'not_applicable' WHEN i LIKE '%standard temperature%' OR i LIKE '%stp%' THEN 'STP' WHEN i LIKE '%ambient temperature%' THEN 'ambient' ELSE 'unspecified' END AS basis FROM n""",
-    "dedupe_names": """WITH n AS (SELECT p_partkey, p_type, p_name, count(*) OVER (PARTITION BY p_type, p_name) AS k, CASE WHEN p_size % 2 = 0 THEN 'XY' || CASE WHEN length(p_brand) > 7 THEN substr(p_brand, 7) ELSE '' END || 'LAS' WHEN length(p_brand) > 7 THEN substr(p_brand, 7) ELSE replace(p_brand, '#', '') END AS tag FROM part WHERE p_partkey % 9 = 0)
+    "dedupe_names": """WITH n AS (SELECT p_partkey, p_type, p_name, count(*) OVER (PARTITION BY p_type, p_name) AS k, CASE WHEN p_size % 2 = 0 THEN 'XY' || CASE WHEN length(p_brand) > 7 THEN substr(p_brand, 7) ELSE '' END || 'LAS' WHEN length(p_brand) > 7 THEN substr(p_brand, 7) ELSE replace(p_brand, '#', '') END AS tag FROM part)
  SELECT p_partkey, CASE WHEN k > 1 THEN p_name || '_' || tag ELSE p_name END AS unique_name FROM n""",
     "metadata_resolve": """WITH h AS (SELECT p_type, p_name, min(p_brand) AS units, min(p_size)::VARCHAR AS standard FROM part WHERE p_size < 25 GROUP BY ALL),
 o AS (SELECT p_name, arg_min(units, p_type) AS units, arg_min(standard, p_type) AS standard FROM h GROUP BY p_name)

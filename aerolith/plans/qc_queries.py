@@ -9,6 +9,7 @@ from aerolith.functions.timekeys import epoch_seconds
 from aerolith.operators import qc, report, retrieval, windows
 from aerolith.plans import frames
 from aerolith.plans.registry import query
+from aerolith.sources import products
 
 HOUR, LEAST = 3600, 5
 SIGNALS, ABSORPTION, SCATTERING = ("sc450_dry", "sc550", "abs532"), ("abs470", "abs532", "abs660"), ("sc450", "sc550", "sc700")
@@ -192,8 +193,7 @@ def retrieval_qc_flag(spark, sf):
 def retrieval_select_si(spark, sf):
     """Selected, renamed and scaled channels, shown in per Gm so that rounding keeps their digits."""
     w = hourly(spark, sf)
-    si = {f"sca_{n}": F.col(c) * retrieval.PER_MM * 1e9 for n, c in (("450", "sc450_dry_mean"), ("550", "sc550_mean"))}
-    return w.withColumns(si).select("window_start", *si)
+    return products.select_scaled(w, {f"sca_{n}": (c, retrieval.PER_MM * 1e9) for n, c in (("450", "sc450_dry_mean"), ("550", "sc550_mean"))}, ["window_start"])
 
 
 @query

@@ -40,15 +40,19 @@ def icartt_header_vars(spark, sf):
 @query
 def file_select(spark, sf):
     pages = spark.read.parquet(f"{sf}/pages.parquet")
-    named = tables.by_name(pages, "url", r"^https?://([a-z.]+)/([a-z]{2})/(\d+)", {"host": 1, "token": 2, "number": 3})
-    return named.where(F.col("token").isin("fr", "de") & F.col("number").cast("long").between(100, 800)).select("page_id", "host", "token", "number")
+    """Pages as files named after their language, day and number; two instruments (languages) and a range of days."""
+    number = F.regexp_extract("url", r"/(\d+)", 1)
+    day = F.lpad((F.col("page_id") % 40 + 1).cast("string"), 2, "0")
+    name = F.concat(F.regexp_extract("url", r"^https?://[a-z.]+/([a-z]{2})/", 1), F.lit("_HU25_202401"), day, F.lit("_R"), number, F.lit(".ict"))
+    chosen = icartt.select_files(pages.select("page_id", name.alias("file")), instruments=("fr", "de"), dates=("2024-01-05", "2024-01-25"), year=2024)
+    return chosen.select("page_id", "file", "instr", "flight_date")
 
 
 def fifteen_minutes(spark, sf) -> DataFrame:
-    """The timeline of every date in steps of 900 s with each step's mean value (null: none)."""
+    """The timeline of every date in steps of 180 s with each step's mean of sc450 (null: none; events are minutes apart)."""
     e = frames.sensor(spark, sf)
-    slots = e.where("event_id % 3 = 0").groupBy("flight_date", (F.floor(epoch_seconds("ts") % 86_400 / 900) * 900).cast("int").alias("slot_s")).agg(F.avg("value").alias("value"))
-    return merge.timeline(e, 900).join(slots, ["flight_date", "slot_s"], "left")
+    slots = e.groupBy("flight_date", (F.floor(epoch_seconds("ts") % 86_400 / 180) * 180).cast("int").alias("slot_s")).agg(F.avg("sc450").alias("value"))
+    return merge.timeline(e, 180).join(slots, ["flight_date", "slot_s"], "left")
 
 
 @query
@@ -58,24 +62,24 @@ def timeline(spark, sf):
 
 @query
 def merge_beside(spark, sf):
-    long = frames.sensor(spark, sf).where("event_type <> 'view'").select("flight_date", "ts", F.col("event_type").alias("variable"), "value")
-    return merge.beside(long, 600, [t for t in TYPES if t != "view"])
+    long = frames.sensor(spark, sf).select("flight_date", "ts", F.col("event_type").alias("variable"), "value")
+    return merge.beside(long, 600, TYPES)
 
 
 @query
 def gap_fill_linear(spark, sf):
-    return merge.fill_linear(fifteen_minutes(spark, sf), "value", "filled", 3600).select("flight_date", "slot_s", "filled")
+    return merge.fill_linear(fifteen_minutes(spark, sf), "value", "filled", 720).select("flight_date", "slot_s", "filled")
 
 
 @query
 def gap_fill_nearest(spark, sf):
-    return merge.fill_nearest(fifteen_minutes(spark, sf), "value", "filled", 1800).select("flight_date", "slot_s", "filled")
+    return merge.fill_nearest(fifteen_minutes(spark, sf), "value", "filled", 360).select("flight_date", "slot_s", "filled")
 
 
 @query
 def stack_on_top(spark, sf):
     e = frames.sensor(spark, sf)
-    parts = [e.where(F.col("event_type") == t).select("event_id", F.col("value").alias(f"{t}_value")) for t in ("click", "error", "view")]
+    parts = [e.where(F.col("event_type") == t).select("event_id", F.col("value").alias(f"{t}_value")) for t in TYPES]
     return merge.stack(parts)
 
 
