@@ -30,6 +30,11 @@ def stack(frames: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
+def concat_dates(frames: Sequence[DataFrame], order: Sequence[str], date: str = "flight_date") -> DataFrame:
+    """The frames of single dates as one, each date in one partition and in order there."""
+    return stack(frames).repartition(date).sortWithinPartitions(date, *order)
+
+
 def keep_first(df: DataFrame, key: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """The first row of each key in the given (total) order."""
     place = F.row_number().over(Window.partitionBy(*key).orderBy(*order))

@@ -370,3 +370,57 @@ o AS (SELECT p_name, arg_min(units, p_type) AS units, arg_min(standard, p_type)
  SELECT p_partkey, coalesce(h.units, o.units) AS units, coalesce(h.standard, o.standard) AS standard FROM part LEFT JOIN h USING (p_type, p_name) LEFT JOIN o ON o.p_name = part.p_name WHERE p_size >= 25""",
     "shift_group_lookup": """WITH t AS (SELECT p_name, arg_min(p_type, p_partkey) AS shift_group FROM part WHERE p_size < 4 GROUP BY p_name) SELECT p_name AS name, p_partkey, coalesce(shift_group, 'none') AS shift_group FROM part LEFT JOIN t USING (p_name)""",
 }
+
+_VARIED = _FILES + """, vf AS (SELECT DISTINCT file, event_type AS instr, flight_date, replace(flight_date, '-', '') AS dd, day(CAST(flight_date AS DATE)) % 4 = 0 AS broken FROM f)"""
+
+
+def _bins_rows(lower: str, upper: str, centre: str) -> str:
+    return f"SELECT p_partkey, i AS pos, round({centre}, 6) AS centre, round({lower}, 6) AS lower, round({upper}, 6) AS upper FROM part, range(3) AS x(i)"
+
+
+_RUN = (
+    _QC
+    + """, a AS (SELECT window_start, count(*) FILTER (WHERE valid) AS n_valid, avg(sc450_dry) FILTER (WHERE valid) AS m0, avg(sc550_dry) FILTER (WHERE valid) AS m1,
+  avg(abs532) FILTER (WHERE valid) AS ab, avg(ae) FILTER (WHERE valid) AS ae_mean, stddev_samp(ae) FILTER (WHERE valid) AS ae_std FROM q GROUP BY 1),
+w AS (SELECT *, (CASE WHEN n_valid < 5 THEN 1 ELSE 0 END + CASE WHEN coalesce(ae_std > 0.3 * abs(ae_mean), TRUE) THEN 2 ELSE 0 END + CASE WHEN m0 IS NULL OR m1 IS NULL OR ab IS NULL THEN 4 ELSE 0 END)::BIGINT AS window_qc_flag FROM a)"""
+)
+
+SQL |= {
+    "header_union": f"""WITH {_VARIED}, g AS (SELECT * FROM vf WHERE NOT broken), e AS (SELECT instr, min(dd) AS d0, max(dd) AS d1 FROM g GROUP BY 1)
+ SELECT instr, 'value' AS name, 'u' || d0 AS units, 'std_STP' AS standard, 'the value, in counts' AS description FROM e
+ UNION SELECT instr, 'user_' || d0, 'none', '', '' FROM e UNION SELECT instr, 'user_' || d1, 'none', '', '' FROM e""",
+    "bad_files": f"WITH {_VARIED} SELECT file, (count(*) * 2 * CASE WHEN bool_or(broken) THEN 0 ELSE 1 END)::BIGINT AS n_values FROM f JOIN vf USING (file) GROUP BY file",
+    "bins_from_descriptions": "SELECT p_partkey AS pos, p_name AS name, round(p_size / 10.0::DOUBLE, 6) AS centre FROM part WHERE p_size > 10",
+    "bins_from_edges": _bins_rows("(p_size + i)::DOUBLE", "(p_size + i + 1)::DOUBLE", "sqrt((p_size + i)::DOUBLE * (p_size + i + 1))"),
+    "bins_from_bounds": _bins_rows("(p_size * 10 + 10 * i)::DOUBLE / 1000", "(p_size * 10 + 10 * i + 10)::DOUBLE / 1000", "(p_size * 10 + 10 * i + 5)::DOUBLE / 1000"),
+    "bin_match": """WITH p AS (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1 AS pos, count(*) OVER (PARTITION BY p_brand) AS n, count(*) FILTER (WHERE p_type <> 'PROMO') OVER (PARTITION BY p_brand) AS h FROM part)
+ SELECT p_brand AS tag, 'c' || p_partkey AS name, pos, (CASE WHEN p_type = 'SMALL' THEN p_size WHEN n = h THEN p_size ELSE p_size * 2 END)::DOUBLE AS centre FROM p""",
+    "synthetic_bins": f"""WITH {_SENSOR}{_SPECTRUM.format(of='s')}, k AS (SELECT pow(5.0::DOUBLE * 0.99, 0.25) AS g), b AS (SELECT {_KEY}, psd, [psd[1] * pow(g, i) / 5 FOR i IN range(5)] AS made, g FROM p, k)
+ SELECT {_KEY}, 17::BIGINT AS n_bins, round(made[1], 6) AS bin_0, round(made[5], 6) AS bin_4, round(CASE WHEN psd[1] IS NULL THEN list_sum(psd) ELSE list_sum(made) + list_sum(psd) END, 6) AS total, round(pow(g, 4), 6) AS radius_4 FROM b""",
+    "bin_table": "SELECT DISTINCT p_size - 0.5::DOUBLE AS dpl, p_size::DOUBLE AS dpg, p_size + 0.5::DOUBLE AS dpu FROM part",
+    "shift_table_load": "SELECT p_name AS variable, p_brand AS shift_group, p_type || '|' || p_name AS alignment_variable, CASE WHEN p_size % 3 = 0 THEN 'YES' ELSE 'NO' END AS apply_time_shift FROM part",
+    "family_map": "SELECT p_brand AS title, min(p_type) AS family FROM part GROUP BY 1",
+    "diagnostics_load": f"WITH {_SHAPE} SELECT flight_date AS date, grp AS shift_group, alignment_variable, n_valid, optimal_shift_s::DOUBLE AS optimal_shift_s, peak_r, monotonic_halfwidth_s::DOUBLE AS monotonic_halfwidth_s, decision, nullif(reason, '') AS reason, n_vars_shifted FROM tab",
+    "merged_table": f"WITH {_SENSOR} SELECT {_KEY}, round(sc450, 6) AS sc450, round(abs470, 6) AS abs470, round(ssa550, 6) AS ssa550 FROM s",
+    "observation_product": f"WITH {_QC} SELECT {_KEY}, round(sc450::FLOAT::DOUBLE, 6) AS sc450, round(sc550_dry::FLOAT::DOUBLE, 6) AS sc550_dry, (cloudy::INT + 2 * inlet_bad::INT + 4 * low_signal::INT + 8 * low_ssa::INT)::BIGINT AS row_qc_flag, 'Mm-1' AS units FROM q",
+    "windowed_product": f"WITH {_WINDOWS} SELECT window_start, n_valid, window_qc_flag, round(ae_mean, 6) AS ae_mean, 12::BIGINT AS n_bins, 20480::DOUBLE AS largest FROM w",
+    "rename_coefficients": f"WITH {_WINDOWS} SELECT window_start, round(sc450_dry_mean, 6) AS dry_calculated_sca_coef_450nm, round(ae_mean, 6) AS wet_calculated_ssa_550nm, round(abs532_mean, 6) AS other FROM w",
+    "narrow_floats": f"WITH {_SENSOR} SELECT {_KEY}, round(sc450::FLOAT::DOUBLE, 6) AS sc450, round(abs470::FLOAT::DOUBLE, 6) AS abs470, round(rh::FLOAT::DOUBLE, 6) AS rh FROM s",
+    "stage_by_date": f"WITH {_SENSOR} SELECT {_KEY}, round(sc450 * CASE WHEN day(CAST(flight_date AS DATE)) % 2 = 0 THEN 10 ELSE 1 END, 6) AS sc450 FROM s",
+    "result_checkpoint": f"WITH {_WINDOWS}{_ATTEMPTS} SELECT window_start, attempt_flag_cri, round(rri, 6) AS rri, 3600::BIGINT AS window_s, 'relative' AS mode FROM t",
+    "provenance_row": f"""WITH {_SPANS} SELECT 'Events' AS title, '{{"min_valid": 5, "mode": "relative"}}' AS config_json, 'data-presence gaps' AS segmentation_source, 'click, error, purchase, signup, view' AS instruments, 'r2' AS version, 3600::BIGINT AS window_s,
+ count(*) FILTER (WHERE span_s IS NULL) AS n_dropped, round(count(*) FILTER (WHERE span_s IS NULL) * 100.0 / count(*), 6) AS percent_dropped FROM asg""",
+    "concat_dates": f"WITH {_SENSOR} SELECT {_KEY}, round(sc450, 6) AS sc450, round(CASE WHEN day(CAST(flight_date AS DATE)) % 2 = 0 THEN abs470 END, 6) AS abs470, row_number() OVER (PARTITION BY flight_date ORDER BY ts, event_id) AS place FROM s",
+    "drop_columns": f"WITH {_SENSOR} SELECT {_KEY}, user_id, event_type, round(value, 6) AS value, round(sc450, 6) AS sc450, round(sc700, 6) AS sc700, round(rh, 6) AS rh, round(gamma, 6) AS gamma, round(ae, 6) AS ae, inlet FROM s",
+    "metadata_merge": "SELECT DISTINCT event_type AS title, 'field' || (user_id % 3) AS field, (user_id % 7)::VARCHAR AS value FROM events",
+    "campaign_merge": f"WITH {_FILES} SELECT flight_date, (floor(seconds / 600) * 600)::BIGINT AS slot_s, "
+    + ", ".join(f"round(avg(value) FILTER (WHERE event_type = '{t}'), 6) AS Probe_{t}_value" for t in ("click", "error", "purchase", "signup", "view"))
+    + " FROM f GROUP BY 1, 2",
+    "campaign_run": f"""WITH {_RUN}{_SPECTRUM.format(of='q')}{_bin_means(5)},
+g AS (SELECT window_start, m0, m1, psd FROM w JOIN b USING (window_start) WHERE window_qc_flag = 0),
+c AS (SELECT window_start, cand, pow((list_sum([(cand + 1) * i * 0.01::DOUBLE * coalesce(psd[i], 0) FOR i IN range(1, 13)]) - m0) / m0, 2) + pow((list_sum([(cand + 1) * 2 * i * 0.01::DOUBLE * coalesce(psd[i], 0) FOR i IN range(1, 13)]) - m1) / m1, 2) AS residual,
+  len([x FOR x IN psd IF x IS NOT NULL]) < 2 AS few FROM g, range(3) AS r(cand)),
+t AS (SELECT window_start, few, arg_min(cand, (residual, cand)) AS cand, min(residual) AS residual FROM c GROUP BY ALL),
+u AS (SELECT window_start, CASE WHEN NOT few THEN cand END AS candidate, CASE WHEN NOT few THEN residual END AS residual, (CASE WHEN few THEN 0 WHEN residual <= 0.5 THEN 2 ELSE 1 END)::BIGINT AS attempt_flag_cri, CASE WHEN few THEN 'fewer than 2 valid bins' END AS retrieval_error FROM t)
+ SELECT window_start, window_qc_flag, candidate, round(residual, 6) AS residual, attempt_flag_cri, retrieval_error, (CASE WHEN window_qc_flag <> 0 THEN 1 WHEN coalesce(attempt_flag_cri, 0) = 2 THEN 0 ELSE 2 END)::BIGINT AS retrieval_qc_flag FROM w LEFT JOIN u USING (window_start)""",
+}

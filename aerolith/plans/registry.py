@@ -34,4 +34,4 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
     return f
 
 
-from aerolith.plans import align_queries, catalog_queries, flight_queries, qc_queries, source_queries, spectrum_queries  # noqa: E402, F401
+from aerolith.plans import align_queries, catalog_queries, flight_queries, product_queries, qc_queries, source_queries, spectrum_queries  # noqa: E402, F401

@@ -119,3 +119,64 @@ def test_envelopes_outside_the_data_give_way_to_sessions(spark):
     spans = spark.createDataFrame([(500.0, 900.0), (90000.0, 91000.0)], "start_s double, end_s double")
     assert [tuple(r) for r in flights.select_spans(spans, df).collect()] == [(500.0, 900.0)]
     assert flights.select_spans(spans.where("start_s > 1000"), df).count() == 2
+
+
+def test_each_reason_of_the_diagnostics(spark):
+    """A date that is too short, a group without a candidate, an empty target and a weak one."""
+    rows = series(spark, 400).unionByName(series(spark, 60).withColumn("flight_date", F.lit(DAY + dt.timedelta(days=1))))
+    df = rows.withColumns({"empty": F.lit(None).cast("double"), "noise": F.sin(F.col("rn") * F.col("rn"))})
+    candidates = {"good": ("missing", "tgt"), "none": ("x", "y"), "empty": ("empty",), "noise": ("noise",)}
+    table = align.diagnostics_table(df, "ref", candidates, {"good": ("tgt", "flat", "other"), "none": ("tgt",)})
+    found = {(r["flight_date"], r["grp"]): r for r in table.collect()}
+    assert len(found) == 8
+    good = found[DAY, "good"]
+    assert (good["alignment_variable"], good["decision"], good["reason"], good["n_vars_shifted"], good["optimal_shift_s"]) == ("tgt", "SHIFT", "", 2, 4)
+    assert found[DAY, "none"]["alignment_variable"] == "x|y" and found[DAY, "none"]["reason"] == "no alignment_variable candidate present in DataFrame"
+    assert found[DAY, "empty"]["reason"] == "n_valid=0<300; peak_r<0.2; monotonic_halfwidth_s<5"
+    assert "peak_r<0.2" in found[DAY, "noise"]["reason"] and found[DAY, "noise"]["n_valid"] == 340
+    short = DAY + dt.timedelta(days=1)
+    assert {found[short, g]["reason"] for g in ("good", "empty", "noise")} == {"insufficient data for cross-correlation"}
+    assert found[short, "none"]["reason"] == "no alignment_variable candidate present in DataFrame" and found[short, "good"]["n_valid"] == 0
+
+
+def test_lag_curves_are_the_correlation_of_the_pairs(spark):
+    df = series(spark, 200, missing=(50, 51, 120))
+    targets = {"g": "tgt", "h": "flat"}
+    shown = lambda x: sorted((r["grp"], r["lag"], r["n_valid"], None if r["corr"] is None else round(r["corr"], 9), None if r["dot"] is None else round(r["dot"], 9)) for r in x.collect())
+    assert shown(align.lag_curves(df, "ref", targets)) == shown(align.correlation(align.lag_pairs(df, "ref", targets)))
+
+
+def test_shift_keeps_other_columns_and_row_numbers(spark):
+    df = series(spark, 50).withColumn("name", F.concat(F.lit("n"), "rn"))
+    decisions = spark.createDataFrame([(DAY, "g", -2, "SHIFT"), (DAY, "h", 4, "SHIFT")], "flight_date date, grp string, optimal_shift_s int, decision string")
+    before = {r["rn"]: r for r in df.collect()}
+    after = align.apply_shift(df, decisions, {"g": ["tgt"], "h": ["ref"]})
+    assert after.columns == df.columns and after.count() == 50
+    for r in after.collect():
+        assert r["name"] == f"n{r['rn']}" and r["flat"] == 1.0
+        assert r["tgt"] == (before[r["rn"] - 2]["tgt"] if r["rn"] > 2 else None) and r["ref"] == (before[r["rn"] + 4]["ref"] if r["rn"] <= 46 else None)
+
+
+def test_repeated_rows_are_each_assigned(spark):
+    spans = spark.createDataFrame([(1000.0, 2000.0)], "start_s double, end_s double")
+    rows = spark.createDataFrame([(1, 1500.0)] * 3 + [(2, 9e4)] * 2, "event_id long, at double")
+    assert sorted((r["event_id"], r["span_s"]) for r in flights.assign(rows, spans).collect()) == [(1, 1000.0)] * 3 + [(2, None)] * 2
+
+
+def test_sessions_over_several_dates(spark):
+    """A session over three dates, the one between with a single island; another starts on the last date."""
+    df = seconds(spark, (80_000, 86_400), (86_400, 2 * 86_400), (2 * 86_400, 2 * 86_400 + 3600), (2 * 86_400 + 50_000, 2 * 86_400 + 60_000), (4 * 86_400, 4 * 86_400 + 600))
+    found = sorted((r["start_s"], r["end_s"]) for r in flights.sessions(df).collect())
+    assert found == [(80_000.0, 2 * 86_400 + 3540.0), (2 * 86_400 + 50_000.0, 2 * 86_400 + 59_960.0), (4 * 86_400.0, 4 * 86_400 + 540.0)]
+    with pytest.raises(ValueError):
+        flights.sessions(df, 90_000)
+
+
+def test_segmentation(spark):
+    """Marker envelopes drop the rows between; a day without an envelope gets a flight; without any, sessions do."""
+    df = seconds(spark, (3600, 7200), (36_000, 40_000), (86_400 + 5000, 86_400 + 9000))
+    markers = spark.createDataFrame([(3600.0, 7140.0)], "start_s double, end_s double")
+    gridded, table, lost = flights.segment(df, 60.0, markers)
+    assert [(r["flight_no"], r["start_s"]) for r in table.orderBy("flight_no").collect()] == [(1, 3600.0), (2, 86_400 + 5000.0)]
+    assert lost.first()["n_dropped"] == 67 and gridded.count() == df.count() - 67
+    assert flights.segment(df, 60.0)[1].count() == 3 and flights.segment(df, 60.0, markers.where("start_s > 1e9"))[1].count() == 3

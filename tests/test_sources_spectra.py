@@ -126,6 +126,54 @@ def test_prefix_families(spark):
     assert sorted((r["name"], r["family"], r["title"]) for r in catalog.families(names, titles).collect()) == [("A_B_x", "g", "A_B"), ("A_y", "f", "A"), ("Z_q", "other", "Z")]
 
 
+def test_repeated_names_keep_their_rows(spark):
+    names = spark.createDataFrame([("A_B_x", 1), ("A_B_x", 1), ("A_B_x", 2), (None, 3), ("plain", 4), ("_x", 5)], "name string, n int")
+    titles = spark.createDataFrame([("A", "f"), ("A_B", None)], "title string, family string")
+    found = sorted((r["n"], r["family"], r["title"]) for r in catalog.families(names, titles).collect() if r["n"] != 3)
+    assert found == [(1, "A_B", "A_B"), (1, "A_B", "A_B"), (2, "A_B", "A_B"), (4, "other", "plain"), (5, "other", "")]
+    assert catalog.families(names, titles).count() == 6
+
+
+def test_bin_names_end_where_the_format_ends_them(spark):
+    df = spark.createDataFrame([(n,) for n in ("X_CDP_Bin07", "dNdlogD_012_LAS", "dNdlogD_012_LAS_x", "X_bin07", "Bin3")], "n string")
+    tag, number = spectra.bin_name(F.col("n"))
+    assert [tuple(r) for r in df.select(tag, number).collect()] == [("cdp", 7), ("las", 12), (None, None), (None, None), (None, None)]
+
+
+def test_loaders_and_product_helpers(spark, tmp_path):
+    (tmp_path / "shift.csv").write_text("variable,shift_group,alignment_variable,apply_time_shift\na,g,x | y,YES\nb,g,z,YES\nc,h,q,NO\n")
+    shifts = tables.shift_table(spark, str(tmp_path / "shift.csv"))
+    assert [(r["variable"], r["pos"]) for r in shifts.orderBy("pos").collect()] == [("a", 0), ("b", 1), ("c", 2)]
+    names = tables.DIAGNOSTICS.split(", ")
+    (tmp_path / "diag.csv").write_text(",".join(n.split()[0] for n in names) + "\n2020-01-01,g,v,400,4,0.5,,0.1,,,6,6,7,1,SHIFT,,2\n")
+    d = tables.diagnostics(spark, str(tmp_path / "diag.csv")).first()
+    assert (d["n_valid"], d["optimal_shift_s"], d["peak_r_raw"], d["decision"], d["reason"], d["n_vars_shifted"]) == (400, 4.0, None, "SHIFT", None, 2)
+    df = spark.createDataFrame([("2021-05-13", float("nan"), 1.0), ("2021-05-14", 2.0, None)], "flight_date string, x double, y double")
+    products.write_dates(df, str(tmp_path / "m"))
+    assert tables.merged(spark, str(tmp_path / "m"), ["2021-05-13"]).select("x", "y").collect() == [(None, 1.0)]
+    products.write_windows(df, df.select("x"), str(tmp_path / "w"))
+    assert spark.read.parquet(str(tmp_path / "w/windows")).count() == 2 and spark.read.parquet(str(tmp_path / "w/psd_bin")).columns == ["x"]
+    assert products.select_scaled(df, {"z": ("y", 1e-6)}, ["flight_date"]).orderBy("flight_date").first()["z"] == pytest.approx(1e-6)
+    lost = spark.createDataFrame([(10, 3, 30.0)], "n_rows long, n_dropped long, percent_dropped double")
+    r = products.provenance_row(lost, "T", 60, {"b": 1, "a": "x"}, "markers", "P, Q", "v1").first()
+    assert (r["title"], r["window_s"], r["config_json"], r["n_dropped"], r["version"]) == ("T", 60, '{"a": "x", "b": 1}', 3, "v1")
+
+
+def test_grid_search_is_the_same_in_any_chunks(spark):
+    kernels = spark.createDataFrame([(c, i, [0.1 * c + i, 0.2, 0.05 * c]) for c in range(10) for i in range(2)] + [(3, 5, [1.0, 1.0, 1.0])], "candidate long, channel int, kernel array<double>")
+    windows = spark.createDataFrame([(w, [1.0 + w, None if w % 3 else 2.0, 0.5], 1.5 + w, 2.0 + w) for w in range(12)], "window_start long, psd array<double>, m0 double, m1 double")
+    want = {}
+    for w in windows.collect():
+        tried = []
+        for c in range(10):
+            dots = [sum((x or 0) * k for x, k in zip(w["psd"], (0.1 * c + i, 0.2, 0.05 * c))) for i in range(2)]
+            tried.append((sum(((d - m) / m) ** 2 for d, m in zip(dots, (w["m0"], w["m1"]))), c))
+        want[w["window_start"]] = min(tried)
+    for chunk in (1, 3, 64):
+        for r in retrieval.grid_search(windows, ("m0", "m1"), "psd", kernels, 0.5, chunk).collect():
+            assert (r["candidate"], r["residual"]) == (want[r["window_start"]][1], pytest.approx(want[r["window_start"]][0]))
+
+
 def test_drop_and_metadata(spark):
     df = spark.createDataFrame([(1, 2)], "a_x int, b int")
     assert merge.drop_matching(df, ["^a_"]).columns == ["b"]
