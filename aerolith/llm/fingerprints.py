@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerolith.llm.common import column, ship_package, whole_text
-from aerolith.llm.hashing import Ranges
+from aerolith.llm.hashing import range_hashes
 from aerolith.llm.shards import text_bytes
 
 #: Hashes of a fingerprint; bytes of phrases hashed at once; bytes of text in a bucket, about.
@@ -59,7 +59,7 @@ def signature(data: bytes, ends: array) -> np.ndarray:
     while at < len(b):
         stop = max(at + 1, int(np.searchsorted(b, start + STEP, side="right")))
         own = b[at:stop] - start
-        hashes = (Ranges(raw[start : b[stop - 1]])(np.append(0, own[:-1]), own) >> np.uint64(32)).astype(np.uint32)
+        hashes = (range_hashes(raw[start : b[stop - 1]], np.append(0, own[:-1]), own) >> np.uint64(32)).astype(np.uint32)
         out = np.unique(np.append(out, hashes))[:KEPT]
         at, start = stop, int(b[stop - 1])
     return out

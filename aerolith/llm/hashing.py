@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import lru_cache
 
 import numpy as np
+import xxhash
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -41,6 +42,15 @@ class Ranges:
         return mix((self.sums[b] - self.sums[a]) * self.back[a] + (b - a).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
+def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, short: int = 64) -> np.ndarray:
+    """Hashes of byte ranges; those over short bytes by XXH64. A polynomial modulo 2^64, as Ranges has it, gives some long
+    strings of a regular build (Thue-Morse words of 512 bytes and more) equal hashes whatever its base."""
+    out = Ranges(data)(starts, ends)
+    for i in np.flatnonzero(ends - starts > short).tolist():
+        out[i] = xxhash.xxh64_intdigest(data[starts[i] : ends[i]].tobytes(), 7)
+    return out
+
+
 def lower_ascii(data: np.ndarray) -> np.ndarray:
     return np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerolith.llm.common import CHUNK_BYTES, column, forget, ship_package, text_chunks, utf8_data, whole_text
-from aerolith.llm.hashing import Ranges, lower_ascii, mix, word_spans
+from aerolith.llm.hashing import lower_ascii, mix, range_hashes, word_spans
 from aerolith.llm.ngram_trie import CONTEXT_BITS, SUCCESSOR_BITS, Trie, probability, quantise
 from aerolith.llm.shards import SHARD_BYTES, answer, answered, ask, by_bucket, rows, sharded, text_bytes
 
@@ -41,7 +41,7 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
         stop = max(at + 1, int(np.searchsorted(offsets, offsets[at] + CHUNK_BYTES // 4, side="right")) - 1)
         own, bounds = lower_ascii(data[offsets[at] : offsets[stop]]), offsets[at : stop + 1] - offsets[at]
         starts, ends, row = word_spans(own, bounds)
-        out.append((Ranges(own)(starts, ends) & CONTEXT_MASK, row + at))
+        out.append((range_hashes(own, starts, ends) & CONTEXT_MASK, row + at))
         at = stop
     return tuple(np.concatenate(x) for x in zip(*out))
 

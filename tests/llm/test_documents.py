@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from aerolith.llm import fingerprints, graph, language_id, language_model, ngram_trie, queries, repeats, simhash, toxicity
 from aerolith.llm.common import id_remainder
+from aerolith.llm.hashing import range_hashes
 
 from .conftest import EDGES
 
@@ -67,7 +68,7 @@ def plain_likeness(a, b):
         sets.append({data[x:y] for x, y in zip([0, *ends], ends)})
     if not any(sets):
         return 1.0
-    every = {p: int(fingerprints.Ranges(np.frombuffer(p, np.uint8))(np.array([0]), np.array([len(p)]))[0]) >> 32 for p in sets[0] | sets[1]}
+    every = {p: int(range_hashes(np.frombuffer(p, np.uint8), np.array([0]), np.array([len(p)]))[0]) >> 32 for p in sets[0] | sets[1]}
     least = sorted(every, key=every.get)[:64]
     return sum(p in sets[0] and p in sets[1] for p in least) / len(least)
 
@@ -187,6 +188,16 @@ def test_first_words_are_spread_over_buckets(frame, monkeypatch):
     assert len(holding) > 5
 
 
+def test_regular_long_words_are_told_apart(frame):
+    """A Thue-Morse word and its complement have equal polynomial hashes modulo 2^64 in any base."""
+    word = "a"
+    while len(word) < 2048:
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    found = {r["doc_id"]: r["n_known"] for r in language_model.score(frame([word, other]), F.col("doc_id") == 0).collect()}
+    assert found == {0: 2, 1: 1}
+
+
 def test_model_of_odd_texts(frame):
     found = {r["doc_id"]: r for r in language_model.score(frame(EDGES), id_remainder(10) != 0).collect()}
     check_model(found, dict(enumerate(EDGES)))
