@@ -107,6 +107,44 @@ def test_near_duplicate_stage_on_a_large_group(spark, frame, small):
     assert [r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, frame(texts), small).collect()] == [0]
 
 
+def test_sketches_estimate_similarity(frame):
+    from aerolith.llm import near_copies
+
+    rng = np.random.default_rng(8)
+    words = [f"w{x}" for x in rng.integers(0, 1 << 30, 300)]
+    texts = [" ".join(words), edited(rng, words, 5), edited(rng, words, 20), " ".join(words[::-1])]
+    rows = near_copies.signatures(frame(texts).withColumn("row_key", F.col("doc_id"))).orderBy("doc_id").collect()
+    sketch = np.stack([np.frombuffer(r["sketch"], np.uint64) for r in rows])
+    found = near_copies.estimates(sketch, sketch)
+    for i in range(4):
+        for j in range(4):
+            assert abs(found[i, j] - jaccard(texts[i], texts[j])) < 0.17
+
+
+def test_near_duplicate_stage_joins_groups_of_one_bucket(spark, frame, small):
+    """Many texts share most of a long passage; the pairs of copies among them are found, without pairs of the others."""
+    rng = np.random.default_rng(9)
+    shared = [f"s{x}" for x in rng.integers(0, 1 << 30, 120)]
+    texts, want = [], []
+    for k in range(60):
+        own = [f"w{x}" for x in rng.integers(0, 1 << 30, 80)]
+        texts += [" ".join(shared + own), " ".join(shared + own[:-2] + ["x", "y"])]
+        want.append(2 * k)
+    assert jaccard(texts[0], texts[2]) < 0.6 < 0.8 < jaccard(texts[0], texts[1])
+    found = corpus_pipeline.drop_near_duplicates(spark, frame(texts), small)
+    assert sorted(r["doc_id"] for r in found.collect()) == want
+
+
+def test_run_on_an_empty_table_and_odd_rows(spark, frame, small, tmp_path):
+    """No row is lost but by the stages' rules; an empty table gives no pieces."""
+    texts = ["Die Sonne scheint heute über dem kleinen Dorf und die Kinder spielen im Garten."] + [None, "", "12 34"]
+    for name, docs in (("odd", frame(texts, [7, None, 3, 3]).select("doc_id", "text", "lang", "source", "n_chars")), ("none", frame([]).select("doc_id", "text", "lang", "source", "n_chars"))):
+        folder = f"{tmp_path}/{name}"
+        docs.write.parquet(f"{folder}/documents.parquet")
+        spark.createDataFrame([(7, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+        assert corpus_pipeline.run(spark, folder).count() == 0  # without learnt languages no document is told
+
+
 def test_near_duplicate_stage_keeps_texts_that_share_an_id(spark, frame, small):
     """Null and repeated ids don't make dissimilar texts copies; of each group one row stays, one with an id if there is one."""
     texts = [f"text {k} " + " ".join(f"w{k}x{i}" for i in range(20)) for k in range(6)]
