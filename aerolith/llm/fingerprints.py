@@ -26,7 +26,7 @@ from aerolith.llm.hashing import range_hashes
 from aerolith.llm.shards import text_bytes
 
 #: Hashes of a fingerprint; bytes of phrases hashed at once; bytes of text in a bucket, about.
-KEPT, STEP, BUCKET_BYTES = 64, 4 << 20, 16 << 20
+KEPT, STEP, BUCKET_BYTES = 64, 4 << 20, 8 << 20
 NULL_ID = -(1 << 63)
 
 
