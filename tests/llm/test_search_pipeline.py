@@ -32,6 +32,21 @@ def test_search(spark):
         assert sorted(map(tuple, found.collect())) == plain_top(rows)
 
 
+def test_clustered_vectors_are_pruned(monkeypatch):
+    """Bounds leave out most pairs where vectors lie in balls far apart, and the answer is that of all pairs."""
+    rng = np.random.default_rng(11)
+    centres = rng.integers(-1000, 1000, (16, 24)) * 20
+    vectors = np.concatenate([c + rng.integers(-20, 21, (500, 24)) for c in centres]).astype(np.int64)
+    ids, queries = np.arange(len(vectors)), vectors[::100]
+    met, products = [], vector_search.exact_products
+    monkeypatch.setattr(vector_search, "exact_products", lambda q, v: met.append(len(q) * len(v)) or products(q, v))
+    scores, _ = vector_search.search(queries, ids[::100], np.full(len(queries), np.iinfo(np.int64).min), vectors, ids, 10)
+    every = queries @ vectors.T
+    every[np.arange(len(queries)), ids[::100]] = np.iinfo(np.int64).min
+    assert (np.sort(every, axis=1)[:, ::-1][:, :10] == scores).all()
+    assert sum(met) < 0.5 * len(queries) * len(vectors)
+
+
 def test_search_of_odd_vectors(spark):
     rows = [(0, [1.0, 2.0]), (1, [None, 1.0]), (2, [float("nan"), 1.0]), (3, [float("inf"), 0.0]), (4, None), (5, []), (6, [-0.0001, 1.0]), (None, [1.0, 1.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
