@@ -78,11 +78,15 @@ def learn(docs: DataFrame, trains: Column, sample: int = SAMPLE) -> Model:
 
     def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            grams: dict[str, Counter] = defaultdict(Counter)
+            # Words of one count together, so that their n-grams are counted by Counter and weighted once.
+            alike: dict[tuple[str, int], list[str]] = defaultdict(list)
             for lang, word, n in zip(*(column(batch, c).to_pylist() for c in ("lang", "feature", "n"))):
+                alike[lang, n] += ngrams(word)
+            grams: dict[str, Counter] = defaultdict(Counter)
+            for (lang, n), found in alike.items():
                 own = grams[lang]
-                for g in ngrams(word):
-                    own[g] += n
+                for g, times in Counter(found).items():
+                    own[g] += n * times
             yield batch_of(grams)
 
     def kept(counted: DataFrame) -> list:
