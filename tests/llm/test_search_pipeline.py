@@ -150,6 +150,31 @@ def test_near_duplicate_stage_joins_groups_of_one_bucket(spark, frame, small):
     assert sorted(r["doc_id"] for r in found.collect()) == want
 
 
+def test_near_copies_against_all_pairs(spark, frame, monkeypatch):
+    """Groups are those of all pairs at 0.8 or more, where buckets mix texts at 0.6 to 0.95, met whole and block by block."""
+    from aerolith.llm import near_copies
+
+    rng = np.random.default_rng(12)
+    texts = []
+    for _ in range(3):
+        words = [f"w{x}" for x in rng.integers(0, 1 << 30, 250)]
+        texts += [" ".join(words)] + [edited(rng, words, int(n)) for n in rng.integers(1, 8, 60)]
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in texts]
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if root[i] != root[j] and both >= 0.8 * (len(sets[i]) + len(sets[j]) - both):
+                root = [root[j] if r == root[i] else r for r in root]
+    want = {frozenset(np.flatnonzero(np.array(root) == r).tolist()) for r in root}
+    assert 3 < len(want) < len(texts)
+    rows = frame(texts).withColumn("row_key", F.col("doc_id"))
+    for size in (near_copies.BLOCK_BYTES, 8_000):
+        monkeypatch.setattr(near_copies, "BLOCK_BYTES", size)
+        groups = near_copies.near_copies(rows).groupBy("root").agg(F.collect_list("doc_id").alias("ids")).collect()
+        assert {frozenset(r["ids"]) for r in groups} == want
+
+
 def test_run_on_an_empty_table_and_odd_rows(spark, frame, small, tmp_path):
     """No row is lost but by the stages' rules; an empty table gives no pieces."""
     texts = ["Die Sonne scheint heute über dem kleinen Dorf und die Kinder spielen im Garten."] + [None, "", "12 34"]
