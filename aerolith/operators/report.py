@@ -7,14 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from aerolith.operators.quantiles import of_series, quantiles
+
 
 def histogram(df: DataFrame, value: str, bins: int = 30) -> DataFrame:
     """(bin, n, n_total, median) between the least and greatest value; the last bin is closed; empty bins have no row."""
-    known = df.where(F.col(value).isNotNull()).select(value)
-    limits = known.agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.count("*").alias("n_total"), F.percentile(value, F.lit(0.5)).alias("median"))
-    placed = known.crossJoin(F.broadcast(limits))  # one row
-    at = F.least(F.coalesce(F.floor(F.try_divide((F.col(value) - F.col("_lo")) * bins, F.col("_hi") - F.col("_lo"))), F.lit(0)), F.lit(bins - 1))
-    return placed.groupBy(at.cast("int").alias("bin"), "n_total", "median").agg(F.count("*").alias("n"))
+    known = df.where(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("_v"))
+    limits = quantiles(known, "_v", [0.5]).first()
+    lo, hi, n, median = (limits["least"], limits["greatest"], limits["n"], limits["q"][0]) if limits else (None, None, 0, None)
+    number = lambda x: F.lit(x).cast("double")
+    at = F.least(F.coalesce(F.floor(F.try_divide((F.col("_v") - number(lo)) * bins, number(hi) - number(lo))), F.lit(0)), F.lit(bins - 1))
+    return known.groupBy(at.cast("int").alias("bin")).agg(F.count("*").alias("n")).withColumns({"n_total": F.lit(n).cast("long"), "median": number(median)})
 
 
 def closure_pairs(df: DataFrame, measured: str, calculated: str, key: Sequence[str]) -> DataFrame:
@@ -28,9 +31,8 @@ def composition(windows: DataFrame, counts: Sequence[str], key: str = "window_st
 
 def spectrum_quartiles(df: DataFrame, spectrum: str) -> DataFrame:
     """25th, 50th and 75th percentile of each bin, missing values skipped."""
-    long = df.select(F.posexplode(spectrum).alias("bin", "v")).where("v is not null")
-    q = long.groupBy("bin").agg(F.percentile("v", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
-    return q.select("bin", F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p75"))
+    long = df.select(F.posexplode(spectrum).alias("bin", "v"))
+    return quantiles(long, "v", [0.25, 0.5, 0.75], ["bin"]).select("bin", *[F.col("q")[i].alias(n) for i, n in enumerate(("p25", "p50", "p75"))])
 
 
 def moving_mean(df: DataFrame, value: str, width: int, out: str, date: str = "flight_date", order: Sequence[str] = ("ts", "event_id")) -> DataFrame:
@@ -60,9 +62,10 @@ def best_window(df: DataFrame, signal: str, others: Sequence[str], seconds: int
 
 
 def statistics(df: DataFrame, columns: dict[str, Column], key: Sequence[str] = ()) -> DataFrame:
-    """Least, greatest and median of derived series."""
-    own = df.select(*key, *[c.alias(n) for n, c in columns.items()])
-    return own.groupBy(*key).agg(*[x for n in columns for x in (F.min(n).alias(f"{n}_min"), F.max(n).alias(f"{n}_max"), F.percentile(n, F.lit(0.5)).alias(f"{n}_median"))])
+    """Least, greatest and median of derived series; a group without any value has no row."""
+    found = of_series(df, columns, [0.5], key)
+    of = lambda n, c: F.max(F.when(F.col("series") == n, c))
+    return found.groupBy(*key).agg(*[x for n in columns for x in (of(n, F.col("least")).alias(f"{n}_min"), of(n, F.col("greatest")).alias(f"{n}_max"), of(n, F.col("q")[0]).alias(f"{n}_median"))])
 
 
 def sufficient_dates(df: DataFrame, series: Sequence[str], least: int = 90, date: str = "flight_date") -> DataFrame:
