@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from aerolith.operators.blocks import ROWS, haloed, within
+
 LAGS, MIN_ROWS = 30, 90
 SIGMA, RADIUS = 3.0, 12
 EXCLUDED, CONCAVITY = 5, 10
@@ -16,14 +18,17 @@ KEY = ("flight_date", "grp")
 NO_CANDIDATE, TOO_FEW_ROWS = "no alignment_variable candidate present in DataFrame", "insufficient data for cross-correlation"
 
 
-def _led(df: DataFrame, reference: str, columns: Sequence[str], date: str, order: str, lags: int, min_rows: int) -> DataFrame:
+def _led(df: DataFrame, reference: str, columns: Sequence[str], date: str, order: str, lags: int, min_rows: int, size: int = ROWS) -> DataFrame:
     """(date, order, r, all) of the rows whose every lag lies inside their date; all: the columns' values at each lag, column
-    by column. One window pass serves all lags and columns."""
-    ordered = Window.partitionBy(date).orderBy(order)
+    by column. order counts a date's rows from 1. One window pass over blocks of size rows serves all lags and columns."""
+    ordered = within(date).orderBy(order)
     shifted = lambda c, k: F.lead(c, k).over(ordered) if k >= 0 else F.lag(c, -k).over(ordered)
-    values = [shifted(c, k).cast("double") for c in columns for k in range(-lags, lags + 1)]
-    rows = df.select(date, order, F.col(reference).alias("r"), F.count("*").over(Window.partitionBy(date)).alias("n"), F.array(*values).alias("all"))
-    return rows.where((F.col("n") >= min_rows) & (F.col(order) > lags) & (F.col(order) <= F.col("n") - lags)).select(date, order, "r", "all")
+    values = [shifted(f"_c{i}", k).cast("double") for i in range(len(columns)) for k in range(-lags, lags + 1)]
+    narrow = df.select(date, order, F.col(reference).alias("r"), *[F.col(c).alias(f"_c{i}") for i, c in enumerate(columns)])
+    # A halo of min_rows shows whether the date has so many, without a count that rows would have to meet.
+    enough, inner = F.max(order).over(within(date)) >= min_rows, F.lead(order, lags).over(ordered).isNotNull() & (F.col(order) > lags)
+    rows = haloed(narrow, F.col(order) - 1, max(lags, min_rows), size).select(date, order, "r", "_home", (enough & inner).alias("_inner"), F.array(*values).alias("all"))
+    return rows.where("_home and _inner").select(date, order, "r", "all")
 
 
 def _named(groups: Sequence[str], lags: int) -> tuple[Column, Column]:

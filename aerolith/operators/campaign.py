@@ -51,7 +51,8 @@ class Settings:
 def quality(df: DataFrame, s: Settings) -> DataFrame:
     """Rows with dried channels and quality masks."""
     optical = qc.derive_optical(df, s.scattering, s.rh, s.gamma).withColumn("cloud_raw", qc.cloud_raw(s.cloud_numbers, s.cloud_waters, df.columns))
-    return qc.row_masks(optical, qc.dilate(F.col("cloud_raw")), s.inlet, f"{s.scattering[0]}_dry", s.ssa)
+    spread = qc.dilated(optical, F.col("cloud_raw"), "_cloud")
+    return qc.row_masks(spread, F.col("_cloud"), s.inlet, f"{s.scattering[0]}_dry", s.ssa).drop("_cloud")
 
 
 def windowed(rows: DataFrame, s: Settings) -> DataFrame:

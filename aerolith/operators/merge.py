@@ -9,6 +9,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerolith.functions.timekeys import bucket
+from aerolith.operators.blocks import at_home, haloed, within
+
+#: Seconds of a block of a date.
+BLOCK = 14_400
 
 
 def timeline(dates: DataFrame, step: int, date: str = "flight_date") -> DataFrame:
@@ -41,26 +45,27 @@ def keep_first(df: DataFrame, key: Sequence[str], order: Sequence[str | Column])
     return df.withColumn("_place", place).where("_place = 1").drop("_place")
 
 
-def _neighbours(df: DataFrame, value: str, date: str, order: str) -> tuple[Column, ...]:
-    along = Window.partitionBy(date).orderBy(order)
+def _neighbours(df: DataFrame, value: str, max_gap: float, date: str, order: str, size: float) -> DataFrame:
+    """df with the last value up to a row and the first one from it on, with their places, as far as max_gap away at least; in
+    blocks of a date with halos of max_gap, so that a date is many tasks."""
+    blocks = haloed(df, F.col(order), max_gap, max(size, max_gap))
+    along = within(date).orderBy(order)
     past, future = along.rowsBetween(Window.unboundedPreceding, 0), along.rowsBetween(0, Window.unboundedFollowing)
     at = F.when(F.col(value).isNotNull(), F.col(order))
-    return F.last(value, True).over(past), F.last(at, True).over(past), F.first(value, True).over(future), F.first(at, True).over(future)
+    return at_home(blocks.withColumns({"_v0": F.last(value, True).over(past), "_t0": F.last(at, True).over(past), "_v1": F.first(value, True).over(future), "_t1": F.first(at, True).over(future)}))
 
 
-def fill_linear(df: DataFrame, value: str, out: str, max_gap: float, date: str = "flight_date", order: str = "slot_s") -> DataFrame:
+def fill_linear(df: DataFrame, value: str, out: str, max_gap: float, date: str = "flight_date", order: str = "slot_s", size: float = BLOCK) -> DataFrame:
     """Gaps between two values of a date that are at most max_gap apart, filled linearly."""
-    v0, t0, v1, t1 = _neighbours(df, value, date, order)
-    df = df.withColumns({"_v0": v0, "_t0": t0, "_v1": v1, "_t1": t1})
+    df = _neighbours(df, value, max_gap, date, order, size)
     line = F.col("_v0") + (F.col("_v1") - F.col("_v0")) * F.try_divide(F.col(order) - F.col("_t0"), F.col("_t1") - F.col("_t0"))
     filled = F.coalesce(F.col(value), F.when(F.col("_t1") - F.col("_t0") <= max_gap, line))
     return df.withColumn(out, filled).drop("_v0", "_t0", "_v1", "_t1")
 
 
-def fill_nearest(df: DataFrame, value: str, out: str, max_gap: float, date: str = "flight_date", order: str = "slot_s") -> DataFrame:
+def fill_nearest(df: DataFrame, value: str, out: str, max_gap: float, date: str = "flight_date", order: str = "slot_s", size: float = BLOCK) -> DataFrame:
     """The nearest value of the date within max_gap; the earlier one on ties."""
-    v0, t0, v1, t1 = _neighbours(df, value, date, order)
-    df = df.withColumns({"_v0": v0, "_t0": t0, "_v1": v1, "_t1": t1})
+    df = _neighbours(df, value, max_gap, date, order, size)
     back, ahead = F.col(order) - F.col("_t0"), F.col("_t1") - F.col(order)
     back_ok, ahead_ok = F.coalesce(back <= max_gap, F.lit(False)), F.coalesce(ahead <= max_gap, F.lit(False))
     filled = F.when(back_ok & (~ahead_ok | (back <= ahead)), F.col("_v0")).when(ahead_ok, F.col("_v1"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerolith.functions.nulls import exceeds, holds, total
+from aerolith.operators.blocks import ROWS, around, positions
 
 ROW_BITS = {"cloudy": 1, "inlet_bad": 2, "low_signal": 4, "low_ssa": 8}
 
@@ -40,10 +41,15 @@ def dilate(flag: Column, date: str = "flight_date", order: Sequence[str] = ("ts"
     return F.max(flag).over(Window.partitionBy(date).orderBy(*order).rowsBetween(-rows, rows))
 
 
+def dilated(df: DataFrame, flag: Column, out: str, date: str = "flight_date", order: Sequence[str] = ("ts", "event_id"), rows: int = 5, size: int = ROWS) -> DataFrame:
+    """df with out: dilate() of the flag, in blocks of size rows, so that a date of any size is many tasks."""
+    return around(df.withColumn("_flag", flag), out, F.max("_flag"), rows, rows, date, order, size=size).drop("_flag")
+
+
 def dilate_global(df: DataFrame, flag: str, out: str, date: str = "flight_date", order: Sequence[str] = ("ts", "event_id"), rows: int = 5) -> DataFrame:
     """Dilation across dates without a window over everything: dates are numbered on by the counts of those before,
     hits are spread to their neighbours' numbers, and rows are marked by a semi-join. Expects order to follow date."""
-    own = df.withColumn("row_in_date", F.row_number().over(Window.partitionBy(date).orderBy(*order)))
+    own = positions(df, date, order, out="row_in_date")
     counts = own.groupBy(date).agg(F.count("*").alias("n"))
     before = counts.select(date, F.coalesce(F.sum("n").over(Window.orderBy(date).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
     numbered = own.join(before, date).withColumn("row_overall", F.col("before") + F.col("row_in_date"))

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from aerolith.operators.blocks import ROWS, around, at_home, haloed, within
+from aerolith.operators.merge import BLOCK
 from aerolith.operators.quantiles import of_series, quantiles
 
 
@@ -35,20 +37,20 @@ def spectrum_quartiles(df: DataFrame, spectrum: str) -> DataFrame:
     return quantiles(long, "v", [0.25, 0.5, 0.75], ["bin"]).select("bin", *[F.col("q")[i].alias(n) for i, n in enumerate(("p25", "p50", "p75"))])
 
 
-def moving_mean(df: DataFrame, value: str, width: int, out: str, date: str = "flight_date", order: Sequence[str] = ("ts", "event_id")) -> DataFrame:
-    """Centred mean over width rows of the date; an even width reaches one row further back."""
-    around = Window.partitionBy(date).orderBy(*order).rowsBetween(-(width // 2), width - width // 2 - 1)
-    return df.withColumn(out, F.avg(value).over(around))
+def moving_mean(df: DataFrame, value: str, width: int, out: str, date: str = "flight_date", order: Sequence[str] = ("ts", "event_id"), size: int = ROWS) -> DataFrame:
+    """Centred mean over width rows of the date, in blocks of size rows; an even width reaches one row further back."""
+    return around(df, out, F.avg(value), width // 2, width - width // 2 - 1, date, order, size=size)
 
 
-def best_window(df: DataFrame, signal: str, others: Sequence[str], seconds: int = 60, date: str = "flight_date", at: str = "at") -> DataFrame:
+def best_window(df: DataFrame, signal: str, others: Sequence[str], seconds: int = 60, date: str = "flight_date", at: str = "at", size: int = BLOCK) -> DataFrame:
     """Per date the row with the greatest signal, at least the date's median, around which (within seconds, ends included)
     nothing is missing: neither in the signal nor in the others; without such a row the last of the others is given up,
-    and so on. priority counts from 1; the first row on ties."""
-    near = Window.partitionBy(date).orderBy(at).rangeBetween(-seconds, seconds)
+    and so on. priority counts from 1; the first row on ties. Neighbourhoods are looked at in blocks of size seconds."""
+    near = within(date).orderBy(at).rangeBetween(-seconds, seconds)
     full = lambda c: F.count(c).over(near) == F.count("*").over(near)
-    medians = df.groupBy(date).agg(F.percentile(signal, F.lit(0.5)).alias("_median"))
-    checked = df.withColumns({f"_full_{c}": full(c) for c in (signal, *others)}).join(medians, date)
+    medians = quantiles(df, signal, [0.5], [date]).select(F.col(date).alias("_date"), F.col("q")[0].alias("_median"))
+    blocks = haloed(df.select(date, at, signal, *others), F.col(at), seconds, max(size, seconds))
+    checked = at_home(blocks.withColumns({f"_full_{c}": full(c) for c in (signal, *others)})).join(medians, F.col(date).eqNullSafe(F.col("_date")))
     priority = None
     for given_up in range(len(others) + 1):
         kept = others[: len(others) - given_up]

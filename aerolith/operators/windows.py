@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerolith.functions.timekeys import bucket, epoch_micros
+from aerolith.operators.blocks import ROWS, around
+from aerolith.operators.quantiles import quantiles
 
 TOO_FEW, UNSTABLE, MISSING = 1, 2, 4
 REASONS = ("cloudy", "inlet_bad", "low_signal", "low_ssa", "valid")
@@ -65,11 +67,12 @@ def funnel(results: DataFrame) -> DataFrame:
     return results.agg(F.count("*").alias("n_windows"), F.count_if(passed).alias("n_pass"), F.count_if(passed & cri).alias("n_cri"), F.count_if(passed & cri & kappa).alias("n_kappa"))
 
 
-def native_step(df: DataFrame, date: str = "flight_date", ts: str = "ts") -> DataFrame:
-    """Median seconds between rows of each date; 1 where there are fewer than two."""
-    before = F.lag("at").over(Window.partitionBy(date).orderBy("at"))
-    steps = df.select(date, epoch_micros(ts).alias("at")).withColumn("step", (F.col("at") - before) / 1e6)
-    return steps.groupBy(date).agg(F.coalesce(F.expr("percentile(step, 0.5)"), F.lit(1.0)).alias("step_s"))
+def native_step(df: DataFrame, date: str = "flight_date", ts: str = "ts", size: int = ROWS) -> DataFrame:
+    """Median seconds between rows of each date; 1 where there are fewer than two. Rows meet the one before in blocks."""
+    rows = df.select(date, ts, epoch_micros(ts).alias("_at"))
+    steps = around(rows, "_before", F.max("_at"), 1, -1, date, (ts,), size=size).select(date, ((F.col("_at") - F.col("_before")) / 1e6).alias("step"))
+    found = quantiles(steps, "step", [0.5], [date]).select(F.col(date).alias("_date"), F.col("q")[0].alias("_step"))
+    return df.select(date).distinct().join(found, F.col(date).eqNullSafe(F.col("_date")), "left").select(date, F.coalesce("_step", F.lit(1.0)).alias("step_s"))
 
 
 def vector_wind(df: DataFrame, speed: str, direction: str, seconds: int = 60, ts: str = "ts") -> DataFrame:

@@ -23,7 +23,7 @@ def cloud(df: DataFrame):
 def masked(spark, sf, spectrum: bool = False) -> DataFrame:
     df = frames.spectrum(spark, sf) if spectrum else frames.sensor(spark, sf)
     df = qc.derive_optical(df, SCATTERING, "rh", "gamma", wet_of="sc550").withColumn("cloud_raw", cloud(df))
-    return qc.row_masks(df, qc.dilate(F.col("cloud_raw")), "inlet", "sc450_dry", "ssa550")
+    return qc.row_masks(qc.dilated(df, F.col("cloud_raw"), "_cloud"), F.col("_cloud"), "inlet", "sc450_dry", "ssa550").drop("_cloud")
 
 
 def hourly(spark, sf, mode: str = "relative", limit: float = 0.3) -> DataFrame:
@@ -52,7 +52,7 @@ def cloud_mask_raw(spark, sf):
 @query
 def cloud_dilate(spark, sf):
     df = frames.sensor(spark, sf)
-    return df.select(*KEY, "ts", cloud(df).alias("cloud_raw")).select(*KEY, qc.dilate(F.col("cloud_raw")).alias("cloudy"))
+    return qc.dilated(df.select(*KEY, "ts", cloud(df).alias("cloud_raw")), F.col("cloud_raw"), "cloudy").select(*KEY, "cloudy")
 
 
 @query
