@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerolith.functions.storage import written
-from aerolith.operators import merge, qc, retrieval, windows
-from aerolith.sources import icartt
+from aerolith.operators import align, merge, qc, retrieval, windows
+from aerolith.sources import icartt, products
 
 
 def merge_files(files: DataFrame, step: int, variables: Sequence[str], prefix_title: bool = True, dropped: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
@@ -62,16 +62,74 @@ def windowed(rows: DataFrame, s: Settings) -> DataFrame:
     return w.join(windows.spectrum_means(rows, s.spectrum, len(s.diameters_um), s.seconds, s.min_per_bin), "window_start", "left")
 
 
-def retrieve(df: DataFrame, kernels: DataFrame, s: Settings, max_windows: int | None = None) -> DataFrame:
-    """From the merged table to flagged windows with their retrieval: quality, windows, gate, failures, grid search over the dry
-    channels, assembly and retrieval flag. Windows are written once, as several steps read them."""
-    w = written(windowed(quality(df, s), s))
+@dataclass(frozen=True)
+class Run:
+    """What a run leaves: rows with masks, all windows that count, and the windows' retrievals (flags included)."""
+
+    rows: DataFrame
+    windows: DataFrame
+    results: DataFrame
+
+
+def retrieve(df: DataFrame, kernels: DataFrame, s: Settings, max_windows: int | None = None, dates: Sequence[str] = ()) -> DataFrame:
+    """run()'s results."""
+    return run(df, kernels, s, max_windows, dates).results
+
+
+def run(df: DataFrame, kernels: DataFrame, s: Settings, max_windows: int | None = None, dates: Sequence[str] = ()) -> Run:
+    """From the merged table (of the given dates, all without) to flagged windows with their retrieval: quality, windows, gate,
+    inputs in SI units, failures, grid search over the dry scattering and the absorption channels, assembly and
+    retrieval flag. kernels: in SI units, their channels are positions in (*dry, *absorption).
+
+    With max_windows the first so many passing windows are tried, and the other passing ones aren't in the results. Windows
+    are written once, as several steps read them."""
+    own = df.where(F.col("flight_date").cast("string").isin(list(dates))) if dates else df
+    rows = quality(own, s)
+    w = written(windowed(rows, s))
     chosen = windows.first_passing(w, max_windows) if max_windows is not None else w
-    tried = retrieval.failures(chosen.where("window_qc_flag = 0"), s.spectrum)
-    failed = tried.where("retrieval_error is not null").select("window_start", F.lit(None).cast("long").alias("candidate"), F.lit(None).cast("double").alias("residual"), "attempt_flag_cri", "retrieval_error")
-    found = retrieval.grid_search(tried.where("retrieval_error is null"), [f"{c}_mean" for c in s.dry], s.spectrum, kernels, s.tolerance)
-    results = failed.unionByName(found.select("window_start", F.col("candidate").cast("long").alias("candidate"), "residual", "attempt_flag_cri", F.lit(None).cast("string").alias("retrieval_error")))
-    return retrieval.assemble(w, results).withColumn("retrieval_qc_flag", retrieval.quality_flag(F.col("window_qc_flag"), F.col("attempt_flag_cri")))
+    si = retrieval.inputs(chosen, s.spectrum, [f"{c}_mean" for c in s.dry], [f"{c}_mean" for c in s.absorption], s.diameters_um)
+    tried = retrieval.failures(si, "spectrum")
+    channels = [F.get("sca_per_m", F.lit(i)) for i in range(len(s.dry))] + [F.get("abs_per_m", F.lit(i)) for i in range(len(s.absorption))]
+    nothing = {"candidate": F.lit(None).cast("long"), "residual": F.lit(None).cast("double")}
+    failed = tried.where("retrieval_error is not null").withColumns(nothing)
+    measured = tried.where("retrieval_error is null").select("window_start", "spectrum", *[c.alias(f"_m{i}") for i, c in enumerate(channels)])
+    found = retrieval.grid_search(measured, [f"_m{i}" for i in range(len(channels))], "spectrum", kernels, s.tolerance).withColumn("retrieval_error", F.lit(None).cast("string"))
+    columns = ("window_start", "candidate", "residual", "attempt_flag_cri", "retrieval_error")
+    joined = retrieval.assemble(chosen, failed.select(*columns).unionByName(found.select(*columns)))
+    results = joined.withColumn("retrieval_qc_flag", retrieval.quality_flag(F.col("window_qc_flag"), F.col("attempt_flag_cri")))
+    return Run(rows, chosen, written(results))
+
+
+def align_clocks(df: DataFrame, shifts: DataFrame, reference: str, date: str = "flight_date", order: str = "rn", min_valid: int = 300, min_rows: int = align.MIN_ROWS) -> tuple[DataFrame, DataFrame]:
+    """(shifted table, diagnostics) of a merged table and a shift table (variable, shift_group, alignment_variable,
+    apply_time_shift, pos): each group's first alignment variable that df has is correlated with the reference, and what the
+    decision shifts are the group's variables that df has. A shift table lists the columns of df, so it is read by the driver.
+    (date, order) numbers the rows of each date from 1."""
+    groups = {r["shift_group"]: r for r in align.shift_groups(shifts).collect()}
+    candidates, variables = ({g: list(r[c]) for g, r in groups.items()} for c in ("candidates", "variables"))
+    if not groups:
+        return df, align.diagnostics_table(df, reference, {"": ["no group"]}, {}, min_valid, min_rows, date).where("false")
+    told = written(align.diagnostics_table(df, reference, candidates, variables, min_valid, min_rows, date))
+    moved = {g: [v for v in variables[g] if v in df.columns] for g in sorted(variables)}
+    return align.apply_shift(df, told, {g: v for g, v in moved.items() if v}, date, order), told
+
+
+def export(
+    done: Run, path: str, members: Mapping[str, Sequence[str]], flights_table: DataFrame, dropped: DataFrame, s: Settings, title: str, source: str, instruments: str,
+    key: Sequence[str] = ("ts",), descriptions: Mapping[str, Mapping[str, str]] | None = None, alignment: DataFrame | None = None, version: str = "",
+) -> None:
+    """The whole product under path: observations/<family> by date, windows and psd_bin, retrievals with their configuration
+    (the checkpoint), flights, provenance and, if given, clock_alignment. flights_table and dropped: of flights.segment()."""
+    spark = done.results.sparkSession
+    known = {f: [c for c in columns if c in done.rows.columns] for f, columns in members.items()}
+    products.write_observations(done.rows.withColumn("row_qc_flag", qc.row_flag()), f"{path}/observations", {f: [*c, "row_qc_flag"] for f, c in known.items() if c}, list(key), descriptions)
+    bins = spark.createDataFrame([(i, float(d)) for i, d in enumerate(s.diameters_um)], "psd_bin int, diameter_um double")
+    products.write_windows(products.narrow(windows.bounds(done.windows, s.seconds)), bins, path)
+    products.write_results(products.rename_coefficients(done.results), facts(s), path)
+    flights_table.write.mode("overwrite").parquet(f"{path}/flights")
+    products.provenance_row(dropped, title, s.seconds, facts(s), source, instruments, version).write.mode("overwrite").parquet(f"{path}/provenance")
+    if alignment is not None:
+        alignment.write.mode("overwrite").parquet(f"{path}/clock_alignment")
 
 
 def facts(settings: Settings) -> Mapping:

@@ -2,15 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from aerolith.functions.packages import ship_package
+from aerolith.functions.storage import written
+from aerolith.operators.lut import Table
 from aerolith.operators.spectra import pattern
 
 OK, SKIPPED, FAILED = 0, 1, 2
 PER_MM = 1e-6
+#: Bytes of kernels that are broadcast at once.
+BLOCK_BYTES = 64 << 20
 
 
 def inputs(windows: DataFrame, spectrum: str, scattering: Sequence[str], absorption: Sequence[str], diameters_um: Sequence[float], flag: str = "window_qc_flag") -> DataFrame:
@@ -20,32 +29,74 @@ def inputs(windows: DataFrame, spectrum: str, scattering: Sequence[str], absorpt
     return windows.where(F.col(flag) == 0).select("window_start", radii.alias("radii_um"), F.col(spectrum).alias("spectrum"), si(scattering).alias("sca_per_m"), si(absorption).alias("abs_per_m"))
 
 
-def grid_search(windows: DataFrame, measured: Sequence[str], spectrum: str, kernels: DataFrame, tolerance: float, chunk: int = 64) -> DataFrame:
-    """Best candidate of each window. kernels: candidate, channel (position in measured), kernel (array over bins).
+def grid_search(windows: DataFrame, measured: Sequence[str], spectrum: str, kernels: DataFrame, tolerance: float, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """window_start, candidate, residual, attempt_flag_cri: the best candidate of each window. kernels: candidate (whole number),
+    channel (position in measured), kernel (array over bins).
+
     A candidate's optics are the dot product of kernel and spectrum, where missing bins give nothing; the residual is the
-    sum of squared relative deviations over the channels that the candidate has; ties go to the smaller candidate.
-
-    Kernels are gathered into rows of about chunk candidates, so a window meets a few rows, works out their residuals in the
-    row and keeps one; partial minima are all that is shuffled. Kernels are a lookup table of a chosen size; Spark broadcasts
-    the gathered rows if they are under its own size limit."""
-    by_channel = F.map_from_entries(F.collect_list(F.struct("channel", "kernel")))
-    listed = kernels.groupBy("candidate").agg(by_channel.alias("kernels"))
-    parts = F.greatest(F.ceil(F.count("*").over(Window.partitionBy()) / chunk), F.lit(1))  # one row for each candidate
-    chunks = listed.withColumn("_c", F.pmod(F.xxhash64("candidate"), parts)).groupBy("_c").agg(F.collect_list(F.struct("candidate", "kernels")).alias("candidates"))
-
-    def residual(kernels: Column) -> Column:
-        out = F.lit(0.0)
-        for i, c in enumerate(measured):
-            own = F.element_at(kernels, F.lit(i))
-            dot = F.aggregate(F.zip_with(F.col(spectrum), own, lambda x, k: F.coalesce(x * k, F.lit(0.0))), F.lit(0.0), lambda a, x: a + x)
-            off = F.try_divide(dot - F.col(c), F.col(c))
-            out = out + F.coalesce(off * off, F.lit(0.0))
-        return out
-
-    tried = F.transform("candidates", lambda x: F.struct(residual(x["kernels"]).alias("residual"), x["candidate"].alias("candidate")))
-    met = windows.select("window_start", spectrum, *measured).join(chunks.select("candidates"))  # every window tries every candidate
-    best = met.select("window_start", F.array_min(tried).alias("b")).groupBy("window_start").agg(F.min("b").alias("b"))
-    return best.select("window_start", "b.candidate", "b.residual", F.when(F.col("b.residual") <= tolerance, 2).otherwise(1).alias("attempt_flag_cri"))
+    mean squared relative deviation over the channels that count: those that the candidate has and whose measurement is
+    neither missing nor zero. Ties go to the smaller candidate. Without a channel that counts, candidate and residual are
+    null and the flag is 1. Rows of one window_start give one row, the better one. No kernels: no candidate.
+
+    Kernels come in blocks of at most block_bytes, counted beforehand, each of which is broadcast; windows are read once
+    for each block and never meet all candidates: leaves of similar kernels are passed by where a norm bound shows that they
+    can't be better than what was found (`lut`).
+    """
+    spark, n_channels = windows.sparkSession, len(measured)
+    ship_package(spark)
+    known = kernels.where(F.col("channel").between(0, n_channels - 1) & F.col("candidate").isNotNull() & F.col("kernel").isNotNull())
+    filled = F.transform("kernel", lambda x: F.coalesce(F.when(~F.isnan(x.cast("double")), x.cast("double")), F.lit(0.0)))
+    known = known.select(F.col("candidate").cast("long").alias("candidate"), F.col("channel").cast("int").alias("channel"), filled.alias("kernel"))
+    n_candidates, n_bins = known.agg(F.count_distinct("candidate"), F.max(F.size("kernel"))).first()
+    n_bins = max(1, n_bins or 1)
+    each = max(1, block_bytes // (8 * n_channels * n_bins))  # candidates of a block
+    blocks = max(1, -(-n_candidates // each))
+    # Twice as many blocks as the bytes need, so that none that the hash makes larger passes the bound.
+    dealt = written(known.withColumn("block", F.pmod(F.xxhash64("candidate"), F.lit(blocks if blocks == 1 else 2 * blocks))))
+    keyed = written(windows.select("window_start", spectrum, *measured)) if blocks > 1 else windows.select("window_start", spectrum, *measured)
+
+    def searched(block: pa.Table) -> DataFrame:
+        shared = spark.sparkContext.broadcast(block)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            lookup = _lookup(shared.value, n_channels, n_bins)
+            for batch in batches:
+                rows = pa.Table.from_batches([batch])
+                spectra = _matrix(rows[spectrum], n_bins)
+                values = np.array([np.asarray(rows[c].cast(pa.float64()).fill_null(np.nan)) for c in measured]).T.reshape(len(spectra), n_channels)
+                values = np.where((values == 0) | ~np.isfinite(values), np.nan, values)
+                residual, candidate = lookup.best(spectra, values) if lookup else (np.full(len(spectra), np.inf), np.zeros(len(spectra), np.int64))
+                none = ~np.isfinite(residual)
+                yield pa.RecordBatch.from_arrays([rows["window_start"].combine_chunks(), pa.array(residual, mask=none), pa.array(candidate, mask=none)], names=["window_start", "residual", "candidate"])
+
+        kind = windows.schema["window_start"].dataType.simpleString()
+        return keyed.mapInArrow(run, f"window_start {kind}, residual double, candidate long")
+
+    parts = [searched(dealt.where(F.col("block") == b).drop("block").toArrow()) for b in range(blocks if blocks == 1 else 2 * blocks)]
+    found = reduce(DataFrame.unionByName, parts)
+    best = F.min(F.when(F.col("residual").isNotNull(), F.struct("residual", "candidate")))
+    return found.groupBy("window_start").agg(best.alias("b")).select("window_start", "b.candidate", "b.residual", F.when(F.col("b.residual") <= tolerance, 2).otherwise(1).alias("attempt_flag_cri"))
+
+
+def _matrix(lists: pa.ChunkedArray, width: int) -> np.ndarray:
+    """Lists as rows of numbers, cut or filled with 0 to width; null and non-finite numbers are 0."""
+    own = lists.combine_chunks()
+    sizes = np.asarray(pc.fill_null(pc.list_value_length(own), 0)).astype(np.int64)
+    flat = np.nan_to_num(np.asarray(pc.list_flatten(own).cast(pa.float64()).fill_null(0.0)), nan=0.0, posinf=0.0, neginf=0.0)
+    out, row = np.zeros((len(own), width)), np.repeat(np.arange(len(own)), sizes)
+    place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    out[row[place < width], place[place < width]] = flat[place < width]
+    return out
+
+
+def _lookup(block: pa.Table, n_channels: int, n_bins: int) -> Table | None:
+    if not block.num_rows:
+        return None
+    candidates, at = np.unique(np.asarray(block["candidate"]), return_inverse=True)
+    channel = np.asarray(block["channel"])
+    kernels, has = np.zeros((len(candidates), n_channels, n_bins)), np.zeros((len(candidates), n_channels), bool)
+    kernels[at, channel], has[at, channel] = _matrix(block["kernel"], n_bins), True
+    return Table(candidates, kernels, has)
 
 
 def failures(windows: DataFrame, spectrum: str) -> DataFrame:

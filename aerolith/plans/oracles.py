@@ -296,12 +296,12 @@ n AS (SELECT *, CASE WHEN count(*) OVER (PARTITION BY date) > 1 THEN row_number(
     "bin_pattern_counts": f"""WITH {_SENSOR}{_SPECTRUM.format(of='s')}, k AS (SELECT [i - 1 FOR i IN range(1, 13) IF psd[i] IS NOT NULL] AS pt FROM p)
  SELECT array_to_string(pt, ',') AS pattern, count(*) AS n FROM k GROUP BY pt HAVING count(*) >= 5 AND len(pt) >= 2""",
     "lut_grid_search": """WITH e AS (SELECT vec_id, [x::DOUBLE FOR x IN embedding] AS v FROM embeddings),
-w AS (SELECT vec_id AS window_start, v, [v[1] + 2, v[2] + 2] AS m FROM e),
+w AS (SELECT vec_id AS window_start, v, [CASE WHEN vec_id % 3 <> 0 THEN v[1] + 2 END, CASE WHEN vec_id % 5 <> 0 THEN v[2] + 2 END] AS m FROM e),
 p AS (SELECT vec_id % 20 AS candidate, (vec_id // 20) % 2 AS channel, unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM e), a AS (SELECT candidate, channel, pos, avg(x) AS x FROM p GROUP BY ALL),
 k AS (SELECT candidate, channel, list(x ORDER BY pos) AS v FROM a GROUP BY ALL),
-rz AS (SELECT window_start, candidate, sum(pow((10 * list_inner_product(w.v, k.v) - m[channel + 1]) / m[channel + 1], 2)) AS residual FROM w CROSS JOIN k GROUP BY ALL),
+rz AS (SELECT window_start, candidate, avg(pow((10 * list_inner_product(w.v, k.v) - m[channel + 1]) / m[channel + 1], 2)) AS residual FROM w CROSS JOIN k WHERE m[channel + 1] IS NOT NULL GROUP BY ALL),
 bs AS (SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY residual, candidate) AS place FROM rz)
- SELECT window_start, candidate, round(residual, 6) AS residual, (CASE WHEN residual <= 0.5 THEN 2 ELSE 1 END)::BIGINT AS attempt_flag_cri FROM bs WHERE place = 1""",
+ SELECT window_start, candidate, round(residual, 6) AS residual, (CASE WHEN residual <= 0.5 THEN 2 ELSE 1 END)::BIGINT AS attempt_flag_cri FROM w LEFT JOIN (FROM bs WHERE place = 1) USING (window_start)""",
 }
 
 _FILES = """f AS (SELECT event_type || '_HU25_' || strftime(ts, '%Y%m%d') || '_R0.ict' AS file, strftime(ts, '%Y-%m-%d') AS flight_date, event_type,
@@ -385,6 +385,15 @@ _RUN = (
 w AS (SELECT *, (CASE WHEN n_valid < 5 THEN 1 ELSE 0 END + CASE WHEN coalesce(ae_std > 0.3 * abs(ae_mean), TRUE) THEN 2 ELSE 0 END + CASE WHEN m0 IS NULL OR m1 IS NULL OR ab IS NULL THEN 4 ELSE 0 END)::BIGINT AS window_qc_flag FROM a)"""
 )
 
+#: Passing windows against three candidates' kernels over two scattering channels and one of absorption, in SI units.
+_OFF = "pow((list_sum([(cand + 1) * {k} * i * 1e-8::DOUBLE * coalesce(psd[i], 0) FOR i IN range(1, 13)]) - {m} * 1e-6) / ({m} * 1e-6), 2)"
+_RETRIEVED = f"""{_RUN}{_SPECTRUM.format(of='q')}{_bin_means(5)},
+g AS (SELECT window_start, m0, m1, ab, psd FROM w JOIN b USING (window_start) WHERE window_qc_flag = 0),
+c AS (SELECT window_start, cand, ({_OFF.format(k=1, m='m0')} + {_OFF.format(k=2, m='m1')} + {_OFF.format(k=3, m='ab')}) / 3 AS residual, len([x FOR x IN psd IF x IS NOT NULL]) < 2 AS few FROM g, range(3) AS r(cand)),
+t AS (SELECT window_start, few, arg_min(cand, (residual, cand)) AS cand, min(residual) AS residual FROM c GROUP BY ALL),
+u AS (SELECT window_start, CASE WHEN NOT few THEN cand END AS candidate, CASE WHEN NOT few THEN residual END AS residual, (CASE WHEN few THEN 0 WHEN residual <= 0.5 THEN 2 ELSE 1 END)::BIGINT AS attempt_flag_cri, CASE WHEN few THEN 'fewer than 2 valid bins' END AS retrieval_error FROM t)"""
+_RESULT = "window_start, window_qc_flag, candidate, round(residual, 6) AS residual, attempt_flag_cri, retrieval_error, (CASE WHEN window_qc_flag <> 0 THEN 1 WHEN coalesce(attempt_flag_cri, 0) = 2 THEN 0 ELSE 2 END)::BIGINT AS retrieval_qc_flag"
+
 SQL |= {
     "header_union": f"""WITH {_VARIED}, g AS (SELECT * FROM vf WHERE NOT broken), e AS (SELECT instr, min(dd) AS d0, max(dd) AS d1 FROM g GROUP BY 1)
  SELECT instr, 'value' AS name, 'u' || d0 AS units, 'std_STP' AS standard, 'the value, in counts' AS description FROM e
@@ -416,11 +425,21 @@ SQL |= {
     "campaign_merge": f"WITH {_FILES} SELECT flight_date, (floor(seconds / 600) * 600)::BIGINT AS slot_s, "
     + ", ".join(f"round(avg(value) FILTER (WHERE event_type = '{t}'), 6) AS Probe_{t}_value" for t in ("click", "error", "purchase", "signup", "view"))
     + " FROM f GROUP BY 1, 2",
-    "campaign_run": f"""WITH {_RUN}{_SPECTRUM.format(of='q')}{_bin_means(5)},
-g AS (SELECT window_start, m0, m1, psd FROM w JOIN b USING (window_start) WHERE window_qc_flag = 0),
-c AS (SELECT window_start, cand, pow((list_sum([(cand + 1) * i * 0.01::DOUBLE * coalesce(psd[i], 0) FOR i IN range(1, 13)]) - m0) / m0, 2) + pow((list_sum([(cand + 1) * 2 * i * 0.01::DOUBLE * coalesce(psd[i], 0) FOR i IN range(1, 13)]) - m1) / m1, 2) AS residual,
-  len([x FOR x IN psd IF x IS NOT NULL]) < 2 AS few FROM g, range(3) AS r(cand)),
-t AS (SELECT window_start, few, arg_min(cand, (residual, cand)) AS cand, min(residual) AS residual FROM c GROUP BY ALL),
-u AS (SELECT window_start, CASE WHEN NOT few THEN cand END AS candidate, CASE WHEN NOT few THEN residual END AS residual, (CASE WHEN few THEN 0 WHEN residual <= 0.5 THEN 2 ELSE 1 END)::BIGINT AS attempt_flag_cri, CASE WHEN few THEN 'fewer than 2 valid bins' END AS retrieval_error FROM t)
- SELECT window_start, window_qc_flag, candidate, round(residual, 6) AS residual, attempt_flag_cri, retrieval_error, (CASE WHEN window_qc_flag <> 0 THEN 1 WHEN coalesce(attempt_flag_cri, 0) = 2 THEN 0 ELSE 2 END)::BIGINT AS retrieval_qc_flag FROM w LEFT JOIN u USING (window_start)""",
+    "campaign_run": f"WITH {_RETRIEVED} SELECT {_RESULT} FROM w LEFT JOIN u USING (window_start)",
+    "campaign_run_first": f"""WITH {_RETRIEVED.replace(' FROM q GROUP BY 1)', ' FROM q WHERE day(CAST(flight_date AS DATE)) >= 3 GROUP BY 1)', 1)},
+og AS (SELECT window_start, row_number() OVER (ORDER BY window_start) AS k FROM w WHERE window_qc_flag = 0)
+ SELECT {_RESULT} FROM w LEFT JOIN u USING (window_start) LEFT JOIN og USING (window_start) WHERE window_qc_flag <> 0 OR k <= 50""",
+    "campaign_products": f"""WITH {_RETRIEVED}, fl AS (SELECT *, cloudy::INT + 2 * inlet_bad::INT + 4 * low_signal::INT + 8 * low_ssa::INT AS flag FROM q),
+rt AS (SELECT *, CASE WHEN window_qc_flag <> 0 THEN 1 WHEN coalesce(attempt_flag_cri, 0) = 2 THEN 0 ELSE 2 END AS flag FROM w LEFT JOIN u USING (window_start)),
+tm AS (SELECT "at", lag("at") OVER (ORDER BY "at") AS p FROM q)
+ SELECT 'scattering flag ' || flag AS part, count(*) AS n, round(sum(sc550_dry::FLOAT::DOUBLE), 6) AS total FROM fl GROUP BY flag
+ UNION ALL SELECT 'absorption flag ' || flag, count(*), round(sum(abs532::FLOAT::DOUBLE), 6) FROM fl GROUP BY flag
+ UNION ALL SELECT 'retrievals flag ' || flag, count(*), round(sum(residual), 6) FROM rt GROUP BY flag
+ UNION ALL SELECT 'windows', count(*), 0.0::DOUBLE FROM w UNION ALL SELECT 'psd_bin', 12, 40.95::DOUBLE
+ UNION ALL SELECT 'flights', count(*) FILTER (WHERE p IS NULL OR "at" - p > 1200), count(*)::DOUBLE FROM tm UNION ALL SELECT 'provenance r3', 0, 3600.0::DOUBLE""",
+    "clock_alignment": f"""WITH {_SHAPE}, ks AS (SELECT flight_date, grp, optimal_shift_s AS k FROM dec WHERE decision = 'SHIFT'),
+ct AS (SELECT dd.flight_date, coalesce(sum(CASE WHEN k <> 0 THEN 1 ELSE 0 END), 0)::BIGINT AS n_shifted, 3 - count(k) AS n_skipped FROM (SELECT DISTINCT flight_date FROM l) dd LEFT JOIN ks ON ks.flight_date = dd.flight_date GROUP BY 1)
+ SELECT l.flight_date, l.rn, l.event_id, round(a.tgt_a, 6) AS tgt_a, round(b.tgt_b, 6) AS tgt_b, ct.n_shifted, ct.n_skipped FROM l JOIN ct ON ct.flight_date = l.flight_date
+ LEFT JOIN ks ka ON ka.flight_date = l.flight_date AND ka.grp = 'a' LEFT JOIN l a ON a.flight_date = l.flight_date AND a.rn = l.rn + coalesce(ka.k, 0)
+ LEFT JOIN ks kb ON kb.flight_date = l.flight_date AND kb.grp = 'b' LEFT JOIN l b ON b.flight_date = l.flight_date AND b.rn = l.rn + coalesce(kb.k, 0)""",
 }

@@ -226,12 +226,58 @@ def campaign_merge(spark, sf):
     return merged
 
 
-@query
-def campaign_run(spark, sf):
-    """The merged table to retrievals; three candidates' kernels rise with the bin."""
-    kernels = spark.createDataFrame([(c, i, [(c + 1) * (i + 1) * (b + 1) * 0.01 for b in range(frames.N_BINS)]) for c in range(3) for i in range(2)], "candidate long, channel int, kernel array<double>")
-    settings = campaign.Settings(
+def run_settings() -> campaign.Settings:
+    return campaign.Settings(
         scattering=("sc450", "sc550"), dry=("sc450_dry", "sc550_dry"), absorption=("abs532",), diameters_um=[0.01 * 2**i for i in range(frames.N_BINS)], seconds=qc_queries.HOUR, min_valid=qc_queries.LEAST, min_per_bin=qc_queries.LEAST
     )
-    done = campaign.retrieve(frames.spectrum(spark, sf), kernels, settings)
-    return done.select("window_start", "window_qc_flag", "candidate", "residual", "attempt_flag_cri", "retrieval_error", "retrieval_qc_flag")
+
+
+def run_kernels(spark) -> DataFrame:
+    """Three candidates' kernels, which rise with the bin, in SI units; the last channel is absorption."""
+    return spark.createDataFrame([(c, i, [(c + 1) * (i + 1) * (b + 1) * 1e-8 for b in range(frames.N_BINS)]) for c in range(3) for i in range(3)], "candidate long, channel int, kernel array<double>")
+
+
+RESULT = ("window_start", "window_qc_flag", "candidate", "residual", "attempt_flag_cri", "retrieval_error", "retrieval_qc_flag")
+
+
+@query
+def campaign_run(spark, sf):
+    """The merged table to retrievals."""
+    return campaign.retrieve(frames.spectrum(spark, sf), run_kernels(spark), run_settings()).select(*RESULT)
+
+
+@query
+def campaign_run_first(spark, sf):
+    """The same with the first fifty passing windows of the days from the third on; other passing windows don't appear."""
+    days = [r["d"] for r in frames.sensor(spark, sf).where(F.day("flight_date") >= 3).select(F.col("flight_date").cast("string").alias("d")).distinct().collect()]
+    return campaign.retrieve(frames.spectrum(spark, sf), run_kernels(spark), run_settings(), 50, days).select(*RESULT)
+
+
+@query
+def campaign_products(spark, sf):
+    """A run exported and read back: rows of each family by flag, windows, retrievals, bins, flights and provenance, counted."""
+    path, s = shared_path(spark), run_settings()
+    done = campaign.run(frames.spectrum(spark, sf), run_kernels(spark), s)
+    at = done.rows.select("flight_date", epoch_seconds("ts").alias("at"))
+    _, spans, lost = flights.segment(at, 600.0)
+    families = {"scattering": ["sc450", "sc550_dry", "absent"], "absorption": ["abs470", "abs532"], "none": ["absent"]}
+    campaign.export(done, path, families, spans, lost, s, "Events", "data-presence gaps", "all", ["event_id"], {"sc450": {"units": "Mm-1"}}, version="r3")
+    read = lambda name: spark.read.parquet(f"{path}/{name}")
+    counted = [read(f"observations/{f}").groupBy(F.concat(F.lit(f"{f} flag "), F.col("row_qc_flag")).alias("part")).agg(F.count("*").alias("n"), F.sum(c).alias("total")) for f, c in (("scattering", "sc550_dry"), ("absorption", "abs532"))]
+    results, config = products.read_results(spark, path)
+    counted.append(results.groupBy(F.concat(F.lit("retrievals flag "), F.col("retrieval_qc_flag")).alias("part")).agg(F.count("*").alias("n"), F.sum("residual").alias("total")))
+    counted.append(read("windows").agg(F.count("*").alias("n"), F.sum(F.col("time_centre").cast("double") * 0).alias("total")).select(F.lit("windows").alias("part"), "n", "total"))
+    counted.append(read("psd_bin").agg(F.count("*").alias("n"), F.sum("diameter_um").alias("total")).select(F.lit("psd_bin").alias("part"), "n", "total"))
+    counted.append(read("flights").agg(F.count("*").alias("n"), F.sum("n_rows").cast("double").alias("total")).select(F.lit("flights").alias("part"), "n", "total"))
+    counted.append(read("provenance").select(F.concat(F.lit("provenance "), "version").alias("part"), F.col("n_dropped").alias("n"), F.lit(float(config["seconds"])).alias("total")))
+    return merge.stack(counted)
+
+
+@query
+def clock_alignment(spark, sf):
+    """Shift table in, shifted table out: group a by its second candidate, b by its own variable; c has no candidate."""
+    rows = [("tgt_a", "a", "absent_a|tgt_a", "YES"), ("tgt_b", "b", "tgt_b", "YES"), ("absent_b", "b", "", "YES"), ("ref", "c", "absent_c", "YES"), ("event_id", "d", "tgt_a", "NO")]
+    shifts = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "variable string, shift_group string, alignment_variable string, apply_time_shift string, pos int")
+    moved, told = campaign.align_clocks(frames.lag_pairs(spark, sf), shifts, "ref", min_valid=align_queries.LEAST)
+    counts = told.groupBy("flight_date").agg(F.sum("n_vars_shifted").alias("n_shifted"), F.count_if(F.col("decision") == "SKIP").alias("n_skipped"))
+    return moved.select("flight_date", "rn", "event_id", "tgt_a", "tgt_b").join(counts, "flight_date")

@@ -79,10 +79,10 @@ def bin_pattern_counts(spark, sf):
 
 @query
 def lut_grid_search(spark, sf):
-    """Windows are embeddings (their first two components stand for measured channels); kernels of twenty candidates and two
-    channels are the means of all embeddings that fall to them by id."""
+    """Windows are embeddings (their first two components stand for measured channels, which are missing or zero in some);
+    kernels of twenty candidates and two channels are the means of all embeddings that fall to them by id."""
     vectors = spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("v"))
-    windows = vectors.select(F.col("vec_id").alias("window_start"), F.col("v").alias("psd"), (F.col("v")[0] + 2).alias("m0"), (F.col("v")[1] + 2).alias("m1"))
+    windows = vectors.select(F.col("vec_id").alias("window_start"), F.col("v").alias("psd"), F.when(F.col("vec_id") % 3 != 0, F.col("v")[0] + 2).alias("m0"), F.when(F.col("vec_id") % 5 == 0, 0.0).otherwise(F.col("v")[1] + 2).alias("m1"))
     parts = vectors.select((F.col("vec_id") % 20).alias("candidate"), (F.floor(F.col("vec_id") / 20) % 2).cast("int").alias("channel"), F.posexplode("v").alias("pos", "x"))
     means = parts.groupBy("candidate", "channel", "pos").agg((F.avg("x") * 10).alias("x"))
     kernels = means.groupBy("candidate", "channel").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "x"))), lambda p: p["x"]).alias("kernel"))

@@ -159,21 +159,6 @@ def test_loaders_and_product_helpers(spark, tmp_path):
     assert (r["title"], r["window_s"], r["config_json"], r["n_dropped"], r["version"]) == ("T", 60, '{"a": "x", "b": 1}', 3, "v1")
 
 
-def test_grid_search_is_the_same_in_any_chunks(spark):
-    kernels = spark.createDataFrame([(c, i, [0.1 * c + i, 0.2, 0.05 * c]) for c in range(10) for i in range(2)] + [(3, 5, [1.0, 1.0, 1.0])], "candidate long, channel int, kernel array<double>")
-    windows = spark.createDataFrame([(w, [1.0 + w, None if w % 3 else 2.0, 0.5], 1.5 + w, 2.0 + w) for w in range(12)], "window_start long, psd array<double>, m0 double, m1 double")
-    want = {}
-    for w in windows.collect():
-        tried = []
-        for c in range(10):
-            dots = [sum((x or 0) * k for x, k in zip(w["psd"], (0.1 * c + i, 0.2, 0.05 * c))) for i in range(2)]
-            tried.append((sum(((d - m) / m) ** 2 for d, m in zip(dots, (w["m0"], w["m1"]))), c))
-        want[w["window_start"]] = min(tried)
-    for chunk in (1, 3, 64):
-        for r in retrieval.grid_search(windows, ("m0", "m1"), "psd", kernels, 0.5, chunk).collect():
-            assert (r["candidate"], r["residual"]) == (want[r["window_start"]][1], pytest.approx(want[r["window_start"]][0]))
-
-
 def test_drop_and_metadata(spark):
     df = spark.createDataFrame([(1, 2)], "a_x int, b int")
     assert merge.drop_matching(df, ["^a_"]).columns == ["b"]
