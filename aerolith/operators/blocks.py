@@ -51,3 +51,13 @@ def around(df: DataFrame, out: str, value: Column, before: int, after: int, date
     """df with out: value (an aggregate) over the rows from `before` rows before to `after` rows after each row of its date."""
     placed = haloed(positions(df, date, order, cell, "_rn"), F.col("_rn") - 1, max(before, after), size)
     return at_home(placed.withColumn(out, value.over(within(date).orderBy("_rn").rowsBetween(-before, after)))).drop("_rn")
+
+
+def band_join(left: DataFrame, right: DataFrame, left_at: Column, right_at: Column, within: float) -> DataFrame:
+    """Pairs whose places are at most within apart, by an equi-join: places are cut into cells as wide as the band, and the right
+    side is listed in its own cell and both neighbours, so that a pair meets once. Rows without a place have no partner."""
+    cell = lambda x: F.floor(x / within) if within else x
+    cells = F.array(*[cell(F.col("_rat")) + i for i in (-1, 0, 1)]) if within else F.array(cell(F.col("_rat")))
+    listed = right.withColumn("_rat", right_at).withColumn("_rcell", F.explode(cells))
+    met = left.withColumn("_lat", left_at).withColumn("_lcell", cell(F.col("_lat"))).join(listed, F.col("_lcell") == F.col("_rcell"))
+    return met.where(F.abs(F.col("_lat") - F.col("_rat")) <= within).drop("_lat", "_lcell", "_rat", "_rcell")

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from aerolith.operators.blocks import band_join
+
 #: Characters of a title that become underscores (fixed values).
 TITLE_BAD = " ,.\"*!@#$^&()=?/\\:;~`<>][{}"
 #: Units by whole name and by suffix (fixed values).
@@ -135,6 +137,6 @@ def wavelength_match(scattering: DataFrame, candidates: DataFrame, within: float
     else the total, else the first. Both sides: wavelength, column; candidates: pos as well."""
     sc = scattering.select("wavelength", channel_kind(F.col("column"), "total").alias("kind"))
     other = candidates.select(F.col("wavelength").alias("other_wavelength"), F.col("column").alias("other_column"), "pos", channel_kind(F.col("column"), "unknown").alias("other_kind"))
-    near = sc.join(other, F.abs(F.col("wavelength") - F.col("other_wavelength")) <= within)
+    near = band_join(sc, other, F.col("wavelength"), F.col("other_wavelength"), within)
     rank = F.when(F.col("kind") == F.col("other_kind"), 0).when(F.col("other_kind") == "total", 1).otherwise(2)
     return near.groupBy("wavelength", "other_wavelength").agg(F.min_by("other_column", F.struct(rank, "pos")).alias("other_column"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -72,6 +72,41 @@ def fill_nearest(df: DataFrame, value: str, out: str, max_gap: float, date: str
     return df.withColumn(out, filled).drop("_v0", "_t0", "_v1", "_t1")
 
 
+def asof(left: DataFrame, right: DataFrame, on: str, columns: Mapping[str, str], tolerance: float, direction: str = "backward", by: Sequence[str] = (), matched: str = "matched_at", size: float = BLOCK) -> DataFrame:
+    """left with columns (new name: column of right) of the right row with the closest place `on` at most tolerance away: the last
+    one up to it (backward), the first one from it on (forward) or the nearer of both (nearest; the earlier one on ties), and
+    matched, its place. by: columns that must be equal (null equals null).
+
+    Both sides are put on end and sorted once for each direction in blocks of `size` places; only right rows are copied, to the blocks whose rows
+    they can reach. So neither side is broadcast, no pairs are made, and a hot key is as many tasks as it has blocks. Of right rows of one
+    place the one with the greatest columns counts. Left rows without a place, or without a match, have nulls."""
+    if direction not in ("backward", "forward", "nearest"):
+        raise ValueError(f"unknown direction {direction}")
+    if clash := {*columns, matched} & set(left.columns):
+        raise ValueError(f"left has {', '.join(sorted(clash))} already")
+    reach, key = max(float(tolerance), 0.0), [F.col(c) for c in by]
+    keys = [c.alias(f"_k{i}") for i, c in enumerate(key)]
+    own = left.select(*keys, F.col(on).cast("double").alias("_at"), F.lit(0).alias("_side"), F.struct(*left.columns).alias("_l"))
+    found = F.struct(F.col(on).alias(matched), *[F.col(c).alias(n) for n, c in columns.items()])
+    guests = right.where(F.col(on).isNotNull()).select(*keys, F.col(on).cast("double").alias("_at"), F.lit(1).alias("_side"), found.alias("_r"))
+    width = max(size, reach) or 1.0
+    own = own.withColumn("_block", F.floor(F.col("_at") / width))
+    guests = haloed(guests, F.col("_at"), reach, width).drop("_home")
+    both = own.unionByName(guests, allowMissingColumns=True)
+    block = Window.partitionBy(*[f"_k{i}" for i in range(len(key))], "_block")
+    last = F.last("_r", ignorenulls=True)
+    back = last.over(block.orderBy("_at", F.desc("_side"), "_r").rowsBetween(Window.unboundedPreceding, 0))
+    ahead = last.over(block.orderBy(F.desc("_at"), F.desc("_side"), "_r").rowsBetween(Window.unboundedPreceding, 0))
+    met = both.withColumns({k: v for k, v in (("_b", back), ("_a", ahead)) if direction == "nearest" or k == {"backward": "_b", "forward": "_a"}[direction]}).where("_side = 0")
+    gap = lambda c: F.abs(F.col(f"{c}.{matched}").cast("double") - F.col("_at"))
+    fits = lambda c: F.when(gap(c) <= reach, F.col(c))
+    if direction == "nearest":
+        best = F.when(fits("_b").isNotNull() & (fits("_a").isNull() | (gap("_b") <= gap("_a"))), fits("_b")).otherwise(fits("_a"))
+    else:
+        best = fits("_b" if direction == "backward" else "_a")
+    return met.withColumn("_best", best).select("_l.*", "_best.*")
+
+
 def drop_matching(df: DataFrame, patterns: Sequence[str]) -> DataFrame:
     """Without the columns whose name holds one of the patterns."""
     return df.drop(*[c for c in df.columns if any(re.search(p, c) for p in patterns)])

@@ -443,3 +443,19 @@ ct AS (SELECT dd.flight_date, coalesce(sum(CASE WHEN k <> 0 THEN 1 ELSE 0 END),
  LEFT JOIN ks ka ON ka.flight_date = l.flight_date AND ka.grp = 'a' LEFT JOIN l a ON a.flight_date = l.flight_date AND a.rn = l.rn + coalesce(ka.k, 0)
  LEFT JOIN ks kb ON kb.flight_date = l.flight_date AND kb.grp = 'b' LEFT JOIN l b ON b.flight_date = l.flight_date AND b.rn = l.rn + coalesce(kb.k, 0)""",
 }
+
+_PAIRED = """e AS (SELECT event_id, event_type, epoch_us(ts) / 1000000.0::DOUBLE AS "at", value, user_id % 3 AS probe FROM events),
+r AS (SELECT * FROM e WHERE event_type IN ('error', 'purchase')),
+p AS (SELECT l.event_id, r.value AS other_value, r.event_id AS other_id, r."at" AS matched_at, row_number() OVER (PARTITION BY l.event_id ORDER BY abs(r."at" - l."at"), r."at", r.value DESC, r.event_id DESC) AS place
+ FROM e l JOIN r ON {on} WHERE l.event_type = 'click')"""
+
+
+def _asof(on: str) -> str:
+    return f"WITH {_PAIRED.format(on=on)} SELECT e.event_id, round(other_value, 6) AS other_value, other_id, round(matched_at, 6) AS matched_at FROM e LEFT JOIN p ON p.event_id = e.event_id AND place = 1 WHERE event_type = 'click'"
+
+
+SQL |= {
+    "asof_backward": _asof('r."at" BETWEEN l."at" - 900 AND l."at"'),
+    "asof_forward": _asof('r.probe = l.probe AND r."at" BETWEEN l."at" AND l."at" + 900'),
+    "asof_nearest": _asof('r."at" BETWEEN l."at" - 900 AND l."at" + 900'),
+}

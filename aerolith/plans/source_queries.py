@@ -76,6 +76,35 @@ def gap_fill_nearest(spark, sf):
     return merge.fill_nearest(fifteen_minutes(spark, sf), "value", "filled", 360).select("flight_date", "slot_s", "filled")
 
 
+def instruments(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Two instruments of different cadence: clicks, and the values of errors and purchases."""
+    e = frames.events(spark, sf).select("event_id", "event_type", epoch_seconds("ts").alias("at"), "value", (F.col("user_id") % 3).alias("probe"))
+    return e.where("event_type = 'click'").select("event_id", "at", "probe"), e.where("event_type in ('error', 'purchase')").select("at", "value", "probe", "event_id")
+
+
+def met(spark, sf, direction: str, by: tuple[str, ...] = ()) -> DataFrame:
+    left, right = instruments(spark, sf)
+    found = merge.asof(left, right, "at", {"other_value": "value", "other_id": "event_id"}, 900, direction, by)
+    return found.select("event_id", "other_value", "other_id", "matched_at")
+
+
+@query
+def asof_backward(spark, sf):
+    """Each click with the last value of the other instrument in the fifteen minutes up to it."""
+    return met(spark, sf, "backward")
+
+
+@query
+def asof_forward(spark, sf):
+    """Each click with the first value of the same probe in the fifteen minutes from it on."""
+    return met(spark, sf, "forward", ("probe",))
+
+
+@query
+def asof_nearest(spark, sf):
+    return met(spark, sf, "nearest")
+
+
 @query
 def stack_on_top(spark, sf):
     e = frames.sensor(spark, sf)
