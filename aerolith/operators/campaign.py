@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 
 from aerolith.functions.storage import written
 from aerolith.operators import align, merge, qc, retrieval, windows
-from aerolith.sources import icartt, products
+from aerolith.operators.catalog import clean_title
+from aerolith.sources import icartt, lines, products
 
 
 def merge_files(files: DataFrame, step: int, variables: Sequence[str], prefix_title: bool = True, dropped: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
@@ -23,6 +25,38 @@ def merge_files(files: DataFrame, step: int, variables: Sequence[str], prefix_ti
     return merge.drop_matching(wide, dropped), icartt.bad_files(files)
 
 
+@dataclass(frozen=True)
+class Merged:
+    """table: flight_date, slot_s and a column for each variable, every step of every date that has data; metadata: (title, field,
+    value), each once; failures: by date; quarantine: data lines set aside."""
+
+    table: DataFrame
+    metadata: DataFrame
+    failures: DataFrame
+    quarantine: DataFrame
+
+
+def merge_lines(read: DataFrame, step: int, instruments: Sequence[str] = (), dates: tuple[str, str] | None = None, prefix_title: bool = True, dropped: Sequence[str] = ()) -> Merged:
+    """The merged table of text files read by lines (`lines.read_lines`). Variables are those that the headers declare, without
+    those that a pattern of dropped matches; a header catalogue is small, so their names are listed by the driver. Files
+    of a date that can't be read don't stop the date, nor a date the others; a step has the mean of its rows (of all
+    files that declare the variable); rows past the date's midnight are outside its timeline."""
+    heads = lines.headers(read)
+    chosen = written(icartt.select_files(heads, instruments=instruments, dates=dates).select("file", "content"))
+    scanned = lines.scan(read, chosen, prefix_title)
+    declared = icartt.header_variables(chosen)
+    name = F.concat_ws("_", clean_title(F.col("title")), "name") if prefix_title else F.col("name")
+    wanted = [r["v"] for r in declared.select(name.alias("v")).distinct().orderBy("v").collect() if not any(re.search(p, r["v"]) for p in dropped)]
+    slot = (F.floor(F.col("seconds") / step) * step).cast("int")
+    values = scanned.values.where(F.col("seconds").between(0, 86_399))
+    wide = values.groupBy("flight_date", slot.alias("slot_s")).pivot("variable", wanted).agg(F.avg("value"))
+    table = merge.timeline(wide, step).join(wide, ["flight_date", "slot_s"], "left")
+    told = [declared.select("title", F.concat_ws(".", "name", F.lit(f)).alias("field"), F.col(f).alias("value")) for f in ("units", "standard", "description")]
+    comments = icartt.header_comments(chosen).join(icartt.parsed(chosen).where("ok").select("file", "title"), "file").select("title", F.col("key").alias("field"), F.col("text").alias("value"))
+    metadata = merge.merge_metadata([*told, comments]).where("value <> ''")
+    return Merged(table, metadata, lines.failures(chosen, scanned.quarantine), scanned.quarantine)
+
+
 @dataclass(frozen=True)
 class Settings:
     """Column names and thresholds of a run; the defaults are the published ones."""

@@ -459,3 +459,25 @@ SQL |= {
     "asof_forward": _asof('r.probe = l.probe AND r."at" BETWEEN l."at" AND l."at" + 900'),
     "asof_nearest": _asof('r."at" BETWEEN l."at" - 900 AND l."at" + 900'),
 }
+
+_SPOILT = (
+    _FILES
+    + """, sp AS (SELECT *, day(CAST(flight_date AS DATE)) % 6 = 0 AS lost, CASE WHEN (pos + 15) % 11 = 0 THEN 'number can''t be read' WHEN (pos + 15) % 13 = 0 THEN 'too many fields'
+  WHEN (pos + 15) % 17 = 0 THEN 'too few fields' WHEN (pos + 15) % 19 = 0 THEN 'time can''t be read' END AS reason FROM f)"""
+)
+_BAD_BY_DATE = "SELECT flight_date, count(DISTINCT file) AS n_files, count(DISTINCT file) FILTER (WHERE lost) AS n_bad_files, count(*) FILTER (WHERE NOT lost AND reason IS NOT NULL) AS n_bad_rows, CAST(bool_and(lost) AS VARCHAR) AS failed FROM sp {where} GROUP BY flight_date"
+
+SQL |= {
+    "icartt_scan_lines": SQL["icartt_scan"],
+    "row_quarantine": f"""WITH {_SPOILT}, c AS (SELECT count(*) AS n_lines, count(reason) AS n_bad FROM sp WHERE NOT lost),
+p AS (SELECT file, reason, count(*) AS n, sum(pos)::BIGINT AS places FROM sp WHERE NOT lost AND reason IS NOT NULL GROUP BY 1, 2 UNION ALL SELECT 'all', 'values', 2 * count(*), 2 * sum(pos)::BIGINT FROM sp WHERE NOT lost AND reason IS NULL)
+ SELECT p.*, c.* FROM p CROSS JOIN c""",
+    "failures_by_date": f"WITH {_SPOILT} {_BAD_BY_DATE.format(where='')}",
+    "campaign_merge_lines": f"""WITH {_SPOILT}, b AS ({_BAD_BY_DATE.format(where="WHERE event_type IN ('click', 'view')")}),
+v AS (SELECT flight_date, (floor(seconds / 600) * 600)::BIGINT AS slot_s, avg(value) FILTER (WHERE event_type = 'click') AS a, avg(value) FILTER (WHERE event_type = 'view') AS b, avg(user_id) FILTER (WHERE event_type = 'view') AS c
+ FROM sp WHERE NOT lost AND reason IS NULL AND event_type IN ('click', 'view') GROUP BY 1, 2)
+ SELECT d.flight_date, g.slot_s, round(a, 6) AS "Probe_click_value", round(v.b, 6) AS "Probe_view_value", round(c, 6) AS "Probe_view_user", n_files, n_bad_files, n_bad_rows, failed
+ FROM (SELECT DISTINCT flight_date FROM v) d CROSS JOIN range(0, 86400, 600) AS g(slot_s) LEFT JOIN v ON v.flight_date = d.flight_date AND v.slot_s = g.slot_s JOIN b ON b.flight_date = d.flight_date""",
+    "campaign_metadata": f"""WITH {_SPOILT}, t AS (SELECT DISTINCT 'Probe ' || event_type AS title FROM sp WHERE NOT lost AND event_type IN ('click', 'view'))
+ SELECT title, v.* FROM t CROSS JOIN (VALUES ('value.units', 'counts'), ('value.standard', 'std_STP'), ('value.description', 'the value, in counts'), ('user.units', 'none'), ('DATA_INFO', 'made')) AS v(field, value)""",
+}

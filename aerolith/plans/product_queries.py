@@ -13,6 +13,8 @@ from aerolith.plans.registry import query
 from aerolith.sources import icartt, products, tables
 
 KEY = ("flight_date", "event_id")
+#: Instruments of the merge by lines.
+TWO = ("click", "view")
 
 
 def parts(spark, sf) -> DataFrame:
@@ -226,6 +228,20 @@ def campaign_merge(spark, sf):
     return merged
 
 
+@query
+def campaign_merge_lines(spark, sf):
+    """Text files, some spoilt, to the merged table on its whole timeline, with each date's failures."""
+    read = source_queries.on_disk(spark, source_queries.spoilt(source_queries.files(spark, sf)))
+    done = campaign.merge_lines(read, 600, TWO, dropped=["click_user$"])
+    return done.table.join(done.failures, "flight_date")
+
+
+@query
+def campaign_metadata(spark, sf):
+    """What the headers of those files say."""
+    return campaign.merge_lines(source_queries.on_disk(spark, source_queries.spoilt(source_queries.files(spark, sf))), 600, TWO).metadata
+
+
 def run_settings() -> campaign.Settings:
     return campaign.Settings(
         scattering=("sc450", "sc550"), dry=("sc450_dry", "sc550_dry"), absorption=("abs532",), diameters_um=[0.01 * 2**i for i in range(frames.N_BINS)], seconds=qc_queries.HOUR, min_valid=qc_queries.LEAST, min_per_bin=qc_queries.LEAST

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from aerolith.functions.storage import shared_path
 from aerolith.functions.timekeys import epoch_seconds
 from aerolith.operators import catalog, merge, report
 from aerolith.plans import frames
 from aerolith.plans.registry import query
-from aerolith.sources import icartt, tables
+from aerolith.sources import icartt, lines, tables
 
 HEADER = ("15, 1001", "PI", "organisation", "{title}", "mission", "1, 1", "2024, 1, 1", "1", "seconds", "2", "1, 1", "-9999, -8888", "value, counts, std_STP, the value, in counts", "user,none", "DATA_INFO: made")
 TYPES = ("click", "error", "purchase", "signup", "view")
@@ -32,6 +33,46 @@ def icartt_scan(spark, sf):
     return icartt.scan(files(spark, sf), prefix_title=True).select("file", "flight_date", "pos", "seconds", "variable", "value")
 
 
+def spoilt(files: DataFrame) -> DataFrame:
+    """Files some of whose data lines can't be read, by their numbers: broken numbers, lost and doubled fields, no time; the files
+    of every sixth day have no header."""
+    day = F.regexp_extract("file", r"_(\d{8})_", 1).substr(7, 2).cast("int")
+    body = F.split("content", "\n")
+    bent = F.transform(body, lambda x, i: F.when(i < 15, x).when(i % 11 == 0, F.concat(x, F.lit("x"))).when(i % 13 == 0, F.concat(x, F.lit(", 1"))).when(i % 17 == 0, F.substring_index(x, ",", 2)).when(i % 19 == 0, F.concat(F.lit("t"), x)).otherwise(x))
+    return files.select("file", F.when(day % 6 == 0, "lost").otherwise(F.array_join(bent, "\n")).alias("content"))
+
+
+def on_disk(spark, files: DataFrame) -> DataFrame:
+    """The files written as text, one folder each, and read by lines."""
+    path = shared_path(spark)
+    files.select("file", "content").repartition("file").write.partitionBy("file").text(path)
+    return lines.read_lines(spark, path, "part-*", F.regexp_extract("_metadata.file_path", "/file=([^/]+)/", 1))
+
+
+@query
+def icartt_scan_lines(spark, sf):
+    """The scan of icartt_scan, by lines and splits."""
+    read = on_disk(spark, files(spark, sf))
+    return lines.scan(read, lines.headers(read), prefix_title=True).values.select("file", "flight_date", "pos", "seconds", "variable", "value")
+
+
+@query
+def row_quarantine(spark, sf):
+    """Data lines that can't be read, by file and reason, and the counts of the whole pass."""
+    read = on_disk(spark, spoilt(files(spark, sf)))
+    done = lines.scan(read, lines.headers(read))
+    each = done.quarantine.groupBy("file", "reason").agg(F.count("*").alias("n"), F.sum("pos").alias("places"))
+    kept = done.values.agg(F.count("*").alias("n"), F.sum("pos").alias("places")).select(F.lit("all").alias("file"), F.lit("values").alias("reason"), "n", "places")
+    return each.unionByName(kept).withColumns({"n_lines": F.lit(done.counts["n_lines"]), "n_bad": F.lit(done.counts["n_bad"])})
+
+
+@query
+def failures_by_date(spark, sf):
+    read = on_disk(spark, spoilt(files(spark, sf)))
+    heads = lines.headers(read)
+    return lines.failures(heads, lines.scan(read, heads).quarantine)
+
+
 @query
 def icartt_header_vars(spark, sf):
     return icartt.header_variables(files(spark, sf))
