@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -114,9 +116,10 @@ def densify(gridded: DataFrame, flights: DataFrame, value: str, n_slots: int, fi
     return axis.join(last, ["flight_no", "slot"], "left").withColumn(value, F.coalesce(value, F.lit(fill)))
 
 
-def broadcast_windows(rows: DataFrame, windows: DataFrame, key: str, values: list[str]) -> DataFrame:
-    """Each row with its window's values; null where it has no window."""
-    return rows.join(windows.select(key, *values), key, "left")
+def broadcast_windows(rows: DataFrame, windows: DataFrame, key: str | Sequence[str], values: Sequence[str]) -> DataFrame:
+    """Each row with its window's values; null where it has no window. Where both are bucketed by the key, nothing is shuffled."""
+    keys = [key] if isinstance(key, str) else list(key)
+    return rows.join(windows.select(*keys, *values), keys, "left")
 
 
 def select_spans(spans: DataFrame, rows: DataFrame, gap: float = GAP_S) -> DataFrame:

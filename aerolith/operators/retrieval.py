@@ -105,8 +105,9 @@ def failures(windows: DataFrame, spectrum: str) -> DataFrame:
     return windows.withColumns({"attempt_flag_cri": F.when(few, 0), "retrieval_error": F.when(few, F.lit("fewer than 2 valid bins"))})
 
 
-def assemble(windows: DataFrame, results: DataFrame, key: str = "window_start") -> DataFrame:
-    return windows.join(results, key, "left")
+def assemble(windows: DataFrame, results: DataFrame, key: str | Sequence[str] = "window_start") -> DataFrame:
+    """Windows with their results. Where both are bucketed by the key, nothing is shuffled."""
+    return windows.join(results, [key] if isinstance(key, str) else list(key), "left")
 
 
 def quality_flag(window_flag: Column, attempt: Column) -> Column:

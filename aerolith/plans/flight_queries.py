@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from aerolith.functions.storage import shared_path
 from aerolith.functions.timekeys import epoch_seconds
 from aerolith.operators import flights
 from aerolith.plans import frames
 from aerolith.plans.registry import query
+from aerolith.streaming import sessions
 
 LARGE, STEP, SLOTS = 60, 600.0, 200
 
@@ -32,6 +34,20 @@ def presence_sessions(spark, sf):
     return flights.sessions(rows(spark, sf).select("flight_date", "at"))
 
 
+@query
+def stream_legs(spark, sf):
+    """Sessions of events that come in as a stream of files, a day each, numbered as legs; a row long after all others ends the
+    last session, and its own stays open."""
+    source, sink, state = shared_path(spark), shared_path(spark), shared_path(spark)
+    own = rows(spark, sf).select("flight_date", "at")
+    own.repartition("flight_date").drop("flight_date").write.parquet(source)
+    own.agg((F.max("at") + 100 * 86_400).alias("at")).write.mode("append").parquet(source)
+    stream = spark.readStream.schema("at double").option("maxFilesPerTrigger", 16).parquet(source)
+    sessions.run(stream, sink, state, late="60 days")
+    sessions.run(stream, sink, state, late="60 days")
+    return flights.legs(spark.read.schema("start_s double, end_s double, n_rows long").parquet(sink)).select("flight_id", "date", "leg", "start_s", "end_s")
+
+
 @query
 def flight_legs(spark, sf):
     return flights.legs(flights.sessions(rows(spark, sf).select("flight_date", "at"))).select("flight_id", "date", "leg", "start_s", "end_s")

@@ -481,3 +481,11 @@ v AS (SELECT flight_date, (floor(seconds / 600) * 600)::BIGINT AS slot_s, avg(va
     "campaign_metadata": f"""WITH {_SPOILT}, t AS (SELECT DISTINCT 'Probe ' || event_type AS title FROM sp WHERE NOT lost AND event_type IN ('click', 'view'))
  SELECT title, v.* FROM t CROSS JOIN (VALUES ('value.units', 'counts'), ('value.standard', 'std_STP'), ('value.description', 'the value, in counts'), ('user.units', 'none'), ('DATA_INFO', 'made')) AS v(field, value)""",
 }
+
+SQL |= {
+    "stage_rerun": f"""WITH {_QC}, ch AS (SELECT flight_date, ts, event_id, cloud_raw OR flight_date = '2024-01-10' AS c FROM o)
+ SELECT flight_date, event_id, CAST(max(CAST(c AS INTEGER)) OVER (ORDER BY ts, event_id ROWS BETWEEN 5 PRECEDING AND 5 FOLLOWING) = 1 AS VARCHAR) AS cloudy FROM ch""",
+    "window_broadcast_bucketed": SQL["window_broadcast"],
+    "assemble_bucketed": SQL["assemble"],
+    "stream_legs": SQL["flight_legs"],
+}

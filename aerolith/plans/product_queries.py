@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from aerolith.functions.storage import shared_path
 from aerolith.functions.timekeys import epoch_seconds
-from aerolith.operators import campaign, flights, merge, qc, spectra
+from aerolith.operators import campaign, flights, merge, qc, retrieval, spectra
 from aerolith.plans import align_queries, frames, qc_queries, source_queries, spectrum_queries
 from aerolith.plans.registry import query
-from aerolith.sources import icartt, products, tables
+from aerolith.sources import icartt, products, stages, tables
 
 KEY = ("flight_date", "event_id")
 #: Instruments of the merge by lines.
@@ -179,6 +179,51 @@ def stage_by_date(spark, sf):
     return spark.read.parquet(path)
 
 
+def dilated_stage(rows: DataFrame) -> DataFrame:
+    return qc.dilate_global(rows, "cloud_raw", "cloudy").select(*KEY, "cloudy")
+
+
+@query
+def stage_rerun(spark, sf):
+    """A stage of cloud masks dilated across dates. The source of the tenth day changes (every row is cloudy): that day is run again,
+    and its neighbours with it, in one commit."""
+    rows = frames.sensor(spark, sf).select(*KEY, "ts", qc_queries.cloud(frames.sensor(spark, sf)).alias("cloud_raw"))
+    days = [str(r["flight_date"]) for r in rows.select("flight_date").distinct().collect()]
+    stage = stages.Stage(spark, shared_path(spark))
+    stage.replace(dilated_stage(rows), days)
+    changed = rows.withColumn("cloud_raw", F.col("cloud_raw") | (F.col("flight_date") == "2024-01-10"))
+    stages.rerun(stage, changed, ["2024-01-10"], dilated_stage)
+    return stage.read()
+
+
+BUCKETS = 8
+
+
+def bucketed(spark, df: DataFrame, label: str) -> DataFrame:
+    path = shared_path(spark)
+    return products.write_bucketed(df, f"{label}_{path.rsplit('/', 1)[-1]}", ["flight_date", "window_start"], BUCKETS, path)
+
+
+@query
+def window_broadcast_bucketed(spark, sf):
+    """window_broadcast over tables that are bucketed by date and window, so that the join shuffles nothing."""
+    from aerolith.functions.timekeys import bucket
+
+    rows = frames.sensor(spark, sf).select(F.col("flight_date").cast("string").alias("flight_date"), "event_id", bucket("ts", qc_queries.HOUR).alias("window_start"))
+    day = F.date_format(F.timestamp_seconds("window_start"), "yyyy-MM-dd")
+    good = qc_queries.hourly(spark, sf).where("window_qc_flag = 0").select(day.alias("flight_date"), "window_start", "ae_mean")
+    return flights.broadcast_windows(bucketed(spark, rows, "rows"), bucketed(spark, good, "windows"), ("flight_date", "window_start"), ["ae_mean"])
+
+
+@query
+def assemble_bucketed(spark, sf):
+    """assemble over tables that are bucketed by date and window."""
+    day = F.date_format(F.timestamp_seconds("window_start"), "yyyy-MM-dd").alias("flight_date")
+    own = bucketed(spark, qc_queries.hourly(spark, sf).select(day, "window_start", "window_qc_flag"), "own")
+    tried = bucketed(spark, qc_queries.attempts(spark, sf).select(day, "window_start", "attempt_flag_cri", "rri"), "tried")
+    return retrieval.assemble(own, tried, ("flight_date", "window_start")).drop("flight_date")
+
+
 @query
 def result_checkpoint(spark, sf):
     path = shared_path(spark)

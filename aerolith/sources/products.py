@@ -40,6 +40,13 @@ def write_windows(windows: DataFrame, bins: DataFrame, path: str) -> None:
     bins.write.mode("overwrite").parquet(f"{path}/psd_bin")
 
 
+def write_bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int, path: str) -> DataFrame:
+    """df as the table `name` under path, in buckets of the keys with one sorted file each. Tables in equally many buckets of the
+    keys that they are joined or grouped by meet without a shuffle."""
+    df.repartition(buckets, *keys).write.mode("overwrite").option("path", path).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def rename_coefficients(df: DataFrame) -> DataFrame:
     """Calculated coefficients as state_calculated_quantity_wavelength; measured ones go."""
     found = {c: m for c in df.columns if (m := COEFFICIENT.match(c))}
