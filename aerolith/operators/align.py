@@ -174,15 +174,16 @@ def apply_shift(df: DataFrame, decisions: DataFrame, groups: dict[str, Sequence[
     moves = decisions.where("decision = 'SHIFT'").groupBy(date).agg(*[F.max(F.when(F.col("grp") == g, F.col("optimal_shift_s"))).alias(f"_k{i}") for i, g in enumerate(groups)])
     moving = [c for columns in groups.values() for c in columns]
     staying = [c for c in df.columns if c not in (date, order, *moving)]
-    nothing = {c: F.lit(None).cast(df.schema[c].dataType) for c in (*staying, *moving)}
-
-    def part(place: Column, own: Sequence[str], base: bool) -> Column:
-        return F.struct(place.cast("long").alias("_at"), F.lit(base).alias("_base"), *[(F.col(c) if c in own else nothing[c]).alias(c) for c in (*staying, *moving)])
-
-    parts = [part(F.col(order), staying, True), *[part(F.col(order) - F.coalesce(f"_k{i}", F.lit(0)), columns, False) for i, columns in enumerate(groups.values())]]
+    # What a row sends to a place is one struct of the columns that go there; the others' structs are null, whatever their width.
+    packs = [F.struct(F.lit(True).alias("_base"), *staying), *[F.struct(*columns) for columns in groups.values()]]
+    kinds = [f.dataType for f in df.select(*packs).schema]
+    places = [F.col(order), *[F.col(order) - F.coalesce(f"_k{i}", F.lit(0)) for i in range(len(groups))]]
+    only = lambda i: [(p if i == j else F.lit(None).cast(kinds[j])).alias(f"_p{j}") for j, p in enumerate(packs)]
+    parts = [F.struct(place.cast("long").alias("_at"), *only(i)) for i, place in enumerate(places)]
     sent = df.join(moves, date, "left").select(date, F.explode(F.array(*parts)).alias("_p")).select(date, "_p.*")
-    met = sent.groupBy(date, "_at").agg(F.bool_or("_base").alias("_base"), *[F.first(c, ignorenulls=True).alias(c) for c in (*staying, *moving)]).where("_base")
-    return met.withColumn(order, F.col("_at").cast(df.schema[order].dataType)).select(*df.columns)
+    met = sent.groupBy(date, "_at").agg(*[F.first(f"_p{j}", ignorenulls=True).alias(f"_p{j}") for j in range(len(packs))]).where("_p0 is not null")
+    found = met.select(date, F.col("_at").cast(df.schema[order].dataType).alias(order), *[f"_p0.`{c}`" for c in staying], *[f"_p{j}.`{c}`" for j, columns in enumerate(groups.values(), 1) for c in columns])
+    return found.select(*df.columns)
 
 
 def pick_alignment(groups: DataFrame, present: DataFrame) -> DataFrame:

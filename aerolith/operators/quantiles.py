@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from aerolith.functions.storage import written
 
-SMALL, GRID = 50_000, 256
+SMALL, GRID = 500_000, 256
 
 
 def _met(left: DataFrame, right: DataFrame, by: Sequence[str], how: str = "inner") -> DataFrame:
@@ -28,36 +28,37 @@ def _met(left: DataFrame, right: DataFrame, by: Sequence[str], how: str = "inner
     return left.join(named, condition, how).drop(*[f"_r_{c}" for c in by])
 
 
-def _inside(values: DataFrame, ranks: DataFrame, by: Sequence[str], *more: str) -> DataFrame:
-    """The values inside each rank's interval."""
-    own = _met(values, ranks.select(*by, "_t", "_lo", "_hi", *more), by)
+def _inside(values: DataFrame, intervals: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The values inside each interval (by, _lo, _hi and more)."""
+    own = _met(values, intervals, by)
     return own.where(F.coalesce(F.col("_v") > F.col("_lo"), F.lit(True)) & F.coalesce(F.col("_v") < F.col("_hi"), F.lit(True)))
 
 
 def _narrowed(values: DataFrame, ranks: DataFrame, by: Sequence[str], grid: int) -> DataFrame:
     """The ranks with narrower intervals, or found."""
     shares = F.array(*[F.lit(i / grid) for i in range(grid + 1)])
-    sketch = _inside(values, ranks, by).groupBy(*by, "_t").agg(F.percentile_approx("_v", shares, 4 * grid).alias("_g"))
+    ends = [*by, "_lo", "_hi"]  # ranks that share an interval share its sketch
+    sketch = _inside(values, ranks.select(*ends).distinct(), by).groupBy(*ends).agg(F.percentile_approx("_v", shares, 4 * grid).alias("_g"))
     at = (F.col("_t") - F.col("_below")) / F.col("_count") * grid
     low, high = F.get("_g", F.greatest(F.floor(at) - 1, F.lit(0)).cast("int")), F.get("_g", F.least(F.ceil(at) + 1, F.lit(grid)).cast("int"))
-    tried = written(_met(ranks, sketch, [*by, "_t"]).withColumns({"_a": low, "_b": high}).drop("_g"))
+    tried = written(_met(ranks, sketch, ends).withColumns({"_a": low, "_b": high}).drop("_g"))
     v, a, b = F.col("_v"), F.col("_a"), F.col("_b")
-    counts = _inside(values, tried, by, "_a", "_b").groupBy(*by, "_t").agg(
+    counts = _inside(values, tried.select(*ends, "_t", "_a", "_b"), by).groupBy(*by, "_t").agg(
         F.count_if(v < a).alias("_c0"), F.count_if(v == a).alias("_c1"), F.count_if((v > a) & (v < b)).alias("_c2"), F.count_if((v == b) & (b > a)).alias("_c3")
     )
-    ends = [F.col("_c0")]
+    sums = [F.col("_c0")]
     for c in ("_c1", "_c2", "_c3"):
-        ends.append(ends[-1] + F.col(c))
+        sums.append(sums[-1] + F.col(c))
     own = F.col("_t") - F.col("_below")
-    before, between, beyond = own < ends[0], (own >= ends[1]) & (own < ends[2]), own >= ends[3]
+    before, between, beyond = own < sums[0], (own >= sums[1]) & (own < sums[2]), own >= sums[3]
     counted = _met(tried, counts, [*by, "_t"])
     return counted.select(
         *by, "_t",
-        F.when(~(before | between | beyond), F.when(own < ends[1], a).otherwise(b)).alias("_found"),
+        F.when(~(before | between | beyond), F.when(own < sums[1], a).otherwise(b)).alias("_found"),
         F.when(before, F.col("_lo")).when(between, a).otherwise(b).alias("_lo"),
         F.when(before, a).when(between, b).otherwise(F.col("_hi")).alias("_hi"),
-        (F.col("_below") + F.when(before, 0).when(between, ends[1]).otherwise(ends[3])).alias("_below"),
-        F.when(before, ends[0]).when(between, F.col("_c2")).otherwise(F.col("_count") - ends[3]).alias("_count"),
+        (F.col("_below") + F.when(before, 0).when(between, sums[1]).otherwise(sums[3])).alias("_below"),
+        F.when(before, sums[0]).when(between, F.col("_c2")).otherwise(F.col("_count") - sums[3]).alias("_count"),
     )
 
 
@@ -83,8 +84,10 @@ def quantiles(df: DataFrame, value: str, probabilities: Sequence[float], by: Seq
     sizes = written(values.groupBy(*keys).agg(F.count("*").alias("n"), F.min("_v").alias("least"), F.max("_v").alias("greatest")))
     ranks = intervals(values, sizes, keys, probabilities, small, grid)
     rest = ranks.where("_found is null")
-    listed = _inside(values, rest, keys, "_below").groupBy(*keys, "_t").agg(F.sort_array(F.collect_list("_v")).alias("_l"), F.first("_below").alias("_below"))
-    gathered = listed.select(*keys, "_t", F.get("_l", (F.col("_t") - F.col("_below")).cast("int")).alias("_found"))
+    shared = rest.groupBy(*keys, "_lo", "_hi", "_below").agg(F.collect_list("_t").alias("_ts"))  # a handful of ranks
+    listed = _inside(values, shared, keys).groupBy(*keys, "_lo", "_hi", "_below").agg(F.sort_array(F.collect_list("_v")).alias("_l"), F.first("_ts").alias("_ts"))
+    picked = F.transform("_ts", lambda t: F.struct(t.alias("_t"), F.get("_l", (t - F.col("_below")).cast("int")).alias("_found")))
+    gathered = listed.select(*keys, F.explode(picked).alias("_p")).select(*keys, "_p._t", "_p._found")
     found = ranks.where("_found is not null").select(*keys, "_t", "_found").unionByName(gathered)
     maps = found.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_t", "_found"))).alias("_m"))
 
