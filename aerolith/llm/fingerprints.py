@@ -151,7 +151,10 @@ def compare_edits(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next. doc_id must be a whole
     number (it is ordered and cast to long). buckets: by the text's size, if not given."""
     ship_package(docs.sparkSession)
-    buckets = buckets or max(1, -(-text_bytes(docs) // BUCKET_BYTES))
+    if buckets is None:
+        # Twice the cores at least, as buckets are dealt by a hash, but none under a 16th of BUCKET_BYTES.
+        size = text_bytes(docs)
+        buckets = max(1, -(-size // BUCKET_BYTES), min(2 * docs.sparkSession.sparkContext.defaultParallelism, 16 * size // BUCKET_BYTES))
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
     types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
 
