@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from aerolith.functions.timekeys import bucket
 
@@ -20,8 +21,12 @@ ROWS, CELL = 8192, 3600
 
 def positions(df: DataFrame, date: str = "flight_date", order: Sequence[str] = ("ts", "event_id"), cell: Column | None = None, out: str = "rn") -> DataFrame:
     """Each row's position within its date (from 1). Rows are numbered within cells of time and counted on from the cells before;
-    the counts are one narrow aggregation. cell: what never falls along the order; by default hours of order[0], a timestamp."""
-    rows = df.withColumn("_cell", bucket(order[0], CELL) if cell is None else cell)
+    the counts are one narrow aggregation. cell: what never falls along the order; by default hours of order[0] if that is a timestamp, ROWS of it if a
+    number, else the date is one cell."""
+    if cell is None:
+        kind = df.schema[order[0]].dataType
+        cell = bucket(order[0], CELL) if isinstance(kind, (T.TimestampType, T.TimestampNTZType)) else F.floor(F.col(order[0]) / ROWS) if isinstance(kind, T.NumericType) else F.lit(0)
+    rows = df.withColumn("_cell", cell)
     counts = rows.groupBy(date, "_cell").agg(F.count("*").alias("_n"))
     along = Window.partitionBy(date).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     before = counts.select(F.col(date).alias("_date"), F.col("_cell").alias("_own"), F.coalesce(F.sum("_n").over(along), F.lit(0)).alias("_before"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from aerolith.operators.catalog import clean_title
 
+# Fixed values of the format: file names, header positions, and the words and units that bins are given by.
 #: File names: instrument, platform, date, revision, leg.
 NAME = r"^([A-Za-z0-9\-]+)_HU25_(\d{8})_R\d+(?:_L(\d))?\.ict$"
 #: Lines before the variables' definitions, and where the count, scales, missing values and title stand (from 1).
@@ -104,7 +105,7 @@ def marker_envelopes(lines: DataFrame) -> DataFrame:
 
 
 def bins_from_descriptions(variables: DataFrame) -> DataFrame:
-    """name and centre (um) of variables that give `bin_center_X um`."""
+    """name and centre (um) of variables that give `bin_center_X um` (a fixed pattern)."""
     pattern = r"(?i)bin_center_([0-9.]+)\s*um"
     centre = F.coalesce(*[F.nullif(F.regexp_extract(c, pattern, 1), F.lit("")) for c in ("description", "standard")])
     return variables.select("file", "pos", "name", centre.cast("double").alias("centre")).where("centre is not null")
@@ -115,13 +116,13 @@ def _numbers(text: Column) -> Column:
 
 
 def bins_from_edges(comments: Column) -> Column:
-    """Array of (centre, lower, upper) in um from `Bin Lower Edges (in um) = [...]` and `Bin Upper Edges ...`."""
+    """Array of (centre, lower, upper) in um from `Bin Lower Edges (in um) = [...]` and `Bin Upper Edges ...` (fixed patterns)."""
     edge = lambda which: _numbers(F.regexp_extract(comments, rf"(?i)Bin\s+{which}\s+Edges?\s*\(in\s*um\)\s*=\s*\[([^\]]*)\]", 1))
     return F.zip_with(edge("Lower"), edge("Upper"), lambda a, b: F.struct(F.sqrt(a * b).alias("centre"), a.alias("lower"), b.alias("upper")))
 
 
 def bins_from_bounds(comments: Column) -> Column:
-    """The same from lines of bounds and mid points in nm."""
+    """The same from lines of bounds and mid points in nm (fixed patterns)."""
     line = lambda which: _numbers(F.regexp_extract(comments, rf"(?i){which}\s*:\s*([0-9.,\s]+)", 1))
     both = F.arrays_zip(line("Mid points").alias("m"), line("Lower Bounds").alias("a"), line("Upper Bounds").alias("b"))
     return F.transform(both, lambda x: F.struct((x["m"] / 1000).alias("centre"), (x["a"] / 1000).alias("lower"), (x["b"] / 1000).alias("upper")))

@@ -39,6 +39,13 @@ def test_positions(one_date, spread_out):
     assert spread_out(found.where("flight_date = '2024-01-01'")) == 4
 
 
+def test_positions_by_number_and_by_text(one_date):
+    for order in (F.col("event_id"), F.lpad(F.col("event_id").cast("string"), 6, "0")):
+        some = one_date.where("event_id < 9000").withColumn("o", order)
+        found = blocks.positions(some, order=("o",)).select("event_id", "rn")
+        assert rows(found) == rows(some.select("event_id", (F.col("event_id") + 1).alias("rn")))
+
+
 @pytest.mark.parametrize("size", [5, 64, 8192])
 def test_dilation(one_date, size):
     found = qc.dilated(one_date, F.col("flag"), "cloudy", size=size).select("event_id", "cloudy")
