@@ -4,9 +4,11 @@ Documents are encoded where they are read and gathered into groups of about GROU
 document holds in whole windows fills windows of its own; the rest of a longer document is cut into
 small items, any other document is one item. Differencing merges partial partitions of a group's
 items with opposing imbalances until one partition is left, whose windows are nearly equal. Where
-one of them exceeds the capacity, the number of windows rises and the group is divided anew. Where
-a fiftieth more windows don't do, items of the windows over capacity are halved, so that padding
-stays small for any lengths.
+one of them exceeds the capacity, the number of windows rises and the group is divided anew, as long
+as the group's padding stays under the stated share (a fiftieth of its windows, or one window).
+Beyond that whole documents would cost more padding: each window that is still over capacity loses
+the end of one document, is then full and closed, and what was cut off is divided over the windows
+that are left. A document is cut a second time only where a window holds no other.
 
 A task packs the rows of its own partition, so no rows are shuffled; sequence_id holds the
 partition number and a counter. Only a task's last group isn't filled on purpose; partitions of
@@ -33,6 +35,9 @@ from aerolith.llm.shards import text_bytes
 PIECE_SCHEMA = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 #: Windows of a group; tokens of an item of a document that is longer than a window; bytes of text of a task, at least.
 GROUP, ITEM, TASK_BYTES = 64, 256, 4 << 20
+#: One window in so many may be added for padding's sake before documents are cut.
+PADDING = 50
+
 
 def differencing(sizes: list[int], windows: int) -> list[list[int]]:
     """Karmarkar-Karp: item numbers of each window. The two partitions with the largest spread are merged, large on small."""
@@ -65,28 +70,50 @@ def _leaves(pairs: tuple) -> list[int]:
 
 def partition(items: list[tuple[int, int, int]], capacity: int) -> list[list[tuple[int, int, int]]]:
     """Windows of items (document, start, length), none over capacity. Their number rises from the least possible one
-    to a fiftieth more (one, at least). Where that doesn't do, an item of each window that is over capacity is halved (the shortest
-    that frees enough, of a document in pieces if there is one) and the items are divided anew, which ends at the latest when all items are single tokens."""
+    to 1/PADDING more (one, at least). Where that doesn't do, each window over capacity gives off its excess and is closed at
+    exactly its capacity, and the rest is divided anew over the other windows; they always have room for it."""
+    items = list(items)
     least = max(1, -(-sum(x[2] for x in items) // capacity))
-    most = least + max(1, least // 50)
+    most = least + max(1, least // PADDING)
     # Items over half a window need a window each, so fewer windows needn't be tried.
     count = min(most, max(least, sum(2 * x[2] > capacity for x in items)))
-    cut = {doc for doc, n in Counter(x[0] for x in items).items() if n > 1}
+    pieces = {doc for doc, n in Counter(x[0] for x in items).items() if n > 1}
+    torn: set[int] = set()
+    closed: list[list[tuple[int, int, int]]] = []
     while True:
-        windows = differencing([x[2] for x in items], count)
-        over = [(w, excess) for w in windows if (excess := sum(items[i][2] for i in w) - capacity) > 0]
-        if not over:
-            return [[items[i] for i in w] for w in windows if w]
-        if count < most:
+        windows = [[items[i] for i in w] for w in differencing([x[2] for x in items], count) if w]
+        sums = [sum(x[2] for x in w) for w in windows]
+        if max(sums, default=0) <= capacity:
+            return closed + windows
+        if not closed and count < most:
             count += 1
             continue
-        for w, excess in over:
-            i = min((items[i][2] < 2 * excess, items[i][0] not in cut, items[i][2] if items[i][2] >= 2 * excess else -items[i][2], i) for i in w)[3]
-            doc, start, length = items[i]
-            cut.add(doc)
-            items[i] = (doc, start, length - length // 2)
-            items.append((doc, start + length - length // 2, length // 2))
-        items = [x for x in items if x[2]]
+        items = []
+        for w, total in zip(windows, sums):
+            if total <= capacity:
+                items += w
+            else:
+                items += give_off(w, total - capacity, pieces, torn)
+                closed.append(w)
+                count -= 1
+
+
+def give_off(window: list[tuple[int, int, int]], excess: int, pieces: set[int], torn: set[int]) -> list[tuple[int, int, int]]:
+    """Takes excess tokens out of the window: an item of that length, or the end of a longer one; of a document in pieces
+    anyway if there is one, of one that was torn before only if there is no other. Without a longer item, whole ones go."""
+    out = []
+    while excess:
+        rank = lambda x: (x[2] != excess, x[2] < excess, x[0] not in pieces, x[0] in torn, abs(x[2] - excess), x)
+        x = min(window, key=rank)
+        window.remove(x)
+        doc, start, length = x
+        moved = min(length, excess)
+        if moved < length:
+            torn.add(doc)
+            window.append((doc, start, length - moved))
+        out.append((doc, start + length - moved, moved))
+        excess -= moved
+    return out
 
 
 def joined(windows: list[list[tuple[int, int, int]]]) -> list[list[tuple[int, int, int]]]:

@@ -130,6 +130,22 @@ def test_partition_keeps_whole_what_fits():
     assert len(packing.partition([(i, 0, 1100) for i in range(100)], 2048)) <= 55  # lengths that no two of which fit together are cut
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.integers(1, 2048), st.integers(1, 150))
+def test_documents_of_one_length_are_cut_in_two_at_most(size, n):
+    """Cutting on end tears a document at each window's end; no more documents are torn here, and none into many pieces."""
+    windows = packing.partition([(i, 0, size) for i in range(n)], 2048)
+    pieces = Counter(d for w in packing.joined(windows) for d, _, _ in w)
+    assert sum(pieces.values()) <= n + len(windows)
+    assert max(sum(p[2] for p in w) for w in windows) <= 2048
+
+
+def test_cuts_are_few_where_no_two_documents_fit():
+    windows = packing.partition([(i, 0, 1100) for i in range(100)], 2048)
+    pieces = Counter(d for w in packing.joined(windows) for d, _, _ in w)
+    assert sum(pieces.values()) < 160 and max(pieces.values()) == 2
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 512), min_size=1, max_size=120), st.integers(1, 12))
 def test_differencing(sizes, windows):
