@@ -6,13 +6,15 @@ are the fingerprint. Two fingerprints' likeness estimates the Jaccard likeness o
 
 A text's dictionary holds all its phrases; hashes are taken a few megabytes of phrases at a time.
 Null and empty texts have the empty fingerprint; two of those are alike (1), one and another are
-not (0). Rows with equal ids follow each other by text, descending; null ids come last.
+not (0). Rows with equal ids follow each other by text, descending, or, where an id has so many rows
+that they fill several buckets, by a hash of the text and then by text; null ids come last, behind every number.
 """
 
 from __future__ import annotations
 
 import hashlib
 from array import array
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +29,7 @@ from aerolith.llm.shards import text_bytes
 
 #: Hashes of a fingerprint; bytes of phrases hashed at once; bytes of text in a bucket, about.
 KEPT, STEP, BUCKET_BYTES = 64, 4 << 20, 8 << 20
-NULL_ID = -(1 << 63)
+LEAST, GREATEST = -(1 << 63), (1 << 63) - 1
 
 
 def parse(data: bytes, book: dict[int, int], node: int, at: int, ends: array) -> int:
@@ -116,35 +118,67 @@ def fingerprint(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", whole_text().alias("text")).mapInArrow(run, "doc_id long, n_chars long, fingerprint string")
 
 
+def place_limits(ids: DataFrame, buckets: int) -> tuple[list[tuple[int, int]], list[int]]:
+    """Where buckets begin, as (id, key) in ascending order, and the ids whose rows fill several buckets (null counts as LEAST).
+    Two numbers for each bucket are all that the driver sees. ids: a column id of longs, LEAST for null."""
+    if buckets < 2:
+        return [], []
+    found = Counter(ids.select(F.col("id").cast("double").alias("id")).approxQuantile("id", [i / buckets for i in range(1, buckets)], 1 / (4 * buckets)))
+    limits = {(min(int(b), GREATEST), LEAST) for b in found}
+    hot = []
+    repeated = [b for b, n in found.items() if n > 1]
+    if repeated:
+        n = ids.count()
+        # Doubles stand for several ids where these are large, so the rows of each are counted.
+        for r in ids.where(F.col("id").cast("double").isin(repeated)).groupBy("id").count().orderBy(F.desc("count"), "id").limit(buckets).collect():
+            parts = -(-r["count"] * buckets // n)
+            if parts > 1:
+                hot.append(r["id"])
+                # Keys are even over the numbers from zero on; those of null ids over the numbers below.
+                limits |= {(r["id"], -(-i * GREATEST // parts)) for i in range(-parts if r["id"] == LEAST else 0, parts)} | {(r["id"], LEAST)}
+                limits |= {(r["id"] + 1, LEAST)} if r["id"] < GREATEST else set()
+    return sorted(limits), sorted(hot)
+
+
 def with_following(docs: DataFrame, buckets: int) -> DataFrame:
-    """Rows (bucket, guest, id, text) such that, in the order (guest, id descending, text descending) of a
+    """Rows (bucket, guest, id, key, text) such that, in the order (guest, id, key, text, all but guest descending) of a
     bucket, each own row is followed by the next document: the last of a bucket by a guest, the first of the
-    next bucket's. After the last document comes the first. Buckets are id ranges of about equal counts;
-    their limits and greatest ids, two numbers for each bucket of about BUCKET_BYTES, are all that the driver sees."""
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"), whole_text().alias("text"))
-    ids = rows.select("id")
-    bounds = sorted(set(ids.withColumn("id", F.col("id").cast("double")).approxQuantile("id", [i / buckets for i in range(1, buckets)], 1 / (4 * buckets)))) if buckets > 1 else []
-    limits = np.array(bounds, np.float64)
+    next bucket's. After the last document comes the first. Buckets are ranges of (id, key) of about equal counts. The key of a null
+    id is negative; it tells rows of one id apart by their texts' hashes where the id's rows fill several buckets. Only repeated
+    rows (id and text) are never told apart. The buckets' limits and greatest rows, a few numbers for each bucket of about BUCKET_BYTES,
+    are all that the driver sees."""
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST)).alias("id"), F.col("doc_id").isNull().alias("none"), whole_text().alias("text"))
+    bounds, hot = place_limits(rows.select("id"), buckets)
+    limit_ids, limit_keys = (np.array(x, np.int64) for x in (zip(*bounds) if bounds else ((), ())))
+    hashed = F.when(F.col("id").isin(hot), F.xxhash64("text").bitwiseAND(F.lit(GREATEST))).otherwise(F.lit(0)) if hot else F.lit(0)
+    rows = rows.select("id", (hashed + F.when(F.col("none"), F.lit(LEAST)).otherwise(F.lit(0))).cast("long").alias("key"), "text")
 
     @F.pandas_udf("int")
-    def bucket_of(id: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(limits, id.to_numpy().astype(np.float64), side="right").astype(np.int32))
-
-    heads = sorted((r["bucket"], r["head"]) for r in ids.groupBy(bucket_of("id").alias("bucket")).agg(F.max("id").alias("head")).collect())
+    def bucket_of(id: pd.Series, key: pd.Series) -> pd.Series:
+        ids, keys = id.to_numpy(np.int64), key.to_numpy(np.int64)
+        first, last = np.searchsorted(limit_ids, ids, side="left"), np.searchsorted(limit_ids, ids, side="right")
+        for lo in np.unique(first[first < last]).tolist():
+            own = np.flatnonzero((first == lo) & (first < last))
+            last[own] = lo + np.searchsorted(limit_keys[lo : last[own[0]]], keys[own], side="right")
+        return pd.Series(last.astype(np.int32))
+
+    head = F.max(F.struct("id", "key")).alias("head")
+    heads = sorted((r["bucket"], *r["head"]) for r in rows.groupBy(bucket_of("id", "key").alias("bucket")).agg(head).collect())
     if not heads:
-        return rows.select(F.lit(0).alias("bucket"), F.lit(False).alias("guest"), "id", "text")
-    first = np.array([head for _, head in heads], np.int64)
-    next_bucket = np.array([heads[(i + 1) % len(heads)][0] for i in range(len(heads))], np.int32)
+        return rows.select(F.lit(0).alias("bucket"), F.lit(False).alias("guest"), "id", "key", "text")
+    filled, head_ids, head_keys = (np.array(x, np.int64) for x in zip(*heads))
+    next_bucket = np.roll(filled, -1)
 
     @F.pandas_udf("int")
-    def guest_of(id: pd.Series) -> pd.Series:
+    def guest_of(bucket: pd.Series, id: pd.Series, key: pd.Series) -> pd.Series:
         """The bucket that needs the row as a guest (-1: none)."""
-        at = np.minimum(np.searchsorted(first, id.to_numpy()), len(first) - 1)
-        return pd.Series(np.where(first[at] == id.to_numpy(), next_bucket[at], -1).astype(np.int32))
+        at = np.searchsorted(filled, bucket.to_numpy())
+        leads = (head_ids[at] == id.to_numpy(np.int64)) & (head_keys[at] == key.to_numpy(np.int64))
+        return pd.Series(np.where(leads, next_bucket[at], -1).astype(np.int32))
 
-    placed = rows.select(bucket_of("id").alias("bucket"), guest_of("id").alias("other"), "id", "text")
+    placed = rows.withColumn("bucket", bucket_of("id", "key")).withColumn("other", guest_of("bucket", "id", "key"))
     places = F.array_compact(F.array(F.struct("bucket", F.lit(False).alias("guest")), F.when(F.col("other") >= 0, F.struct(F.col("other").alias("bucket"), F.lit(True).alias("guest")))))
-    return placed.select(F.explode(places).alias("place"), "id", "text").select("place.bucket", "place.guest", "id", "text")
+    return placed.select(F.explode(places).alias("place"), "id", "key", "text").select("place.bucket", "place.guest", "id", "key", "text")
 
 
 def compare_edits(docs: DataFrame, buckets: int | None = None) -> DataFrame:
@@ -162,7 +196,7 @@ def compare_edits(docs: DataFrame, buckets: int | None = None) -> DataFrame:
         bucket, doc, waiting = None, None, None
         for batch in batches:
             out = []
-            for at, guest, id, text in zip(*(column(batch, c).to_pylist() for c in ("bucket", "guest", "id", "text"))):
+            for at, guest, id, key, text in zip(*(column(batch, c).to_pylist() for c in ("bucket", "guest", "id", "key", "text"))):
                 if at != bucket:
                     bucket, waiting = at, None
                 if guest and waiting is None:
@@ -171,10 +205,10 @@ def compare_edits(docs: DataFrame, buckets: int | None = None) -> DataFrame:
                 if waiting is not None:
                     data, edited = waiting.edited(text)
                     own = waiting.signature
-                    out.append((None if doc == NULL_ID else doc, len(waiting.text), hashlib.sha256(data).hexdigest(), shown(own), shown(edited), likeness(own, edited), likeness(own, parsed.signature)))
-                doc, waiting = (None, None) if guest else (id, parsed)
+                    out.append((doc, len(waiting.text), hashlib.sha256(data).hexdigest(), shown(own), shown(edited), likeness(own, edited), likeness(own, parsed.signature)))
+                doc, waiting = (None, None) if guest else (None if key < 0 else id, parsed)
             if out:
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
 
-    ordered = with_following(docs, buckets).repartition(buckets, "bucket").sortWithinPartitions("bucket", "guest", F.desc("id"), F.desc("text"))
+    ordered = with_following(docs, buckets).repartition(buckets, "bucket").sortWithinPartitions("bucket", "guest", F.desc("id"), F.desc("key"), F.desc("text"))
     return ordered.mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")

@@ -6,6 +6,7 @@ import math
 import re
 import zlib
 from array import array
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -106,6 +107,30 @@ def test_edits_of_odd_tables(frame):
     assert fingerprints.compare_edits(frame(["a", "b", "b"], [None, 1, 1])).count() == 3
 
 
+@pytest.mark.parametrize("buckets", [1, 4, 20])
+def test_many_rows_of_one_id_fill_many_buckets(frame, buckets):
+    """Null and equal ids are split, no id is reserved, and each row still has the next one of one order."""
+    texts = [f"text {i} " * (1 + i % 5) for i in range(360)]
+    least = -(1 << 63)
+    ids = [None] * 150 + [7] * 150 + [least, least + 1, (1 << 63) - 1, (1 << 63) - 2, 1 << 60] + list(range(100, 155))
+    docs = frame(texts, ids)
+    placed = fingerprints.with_following(docs, buckets).collect()
+    own = [r for r in placed if not r["guest"]]
+    assert len(own) == 360 and len(placed) - len(own) == len({r["bucket"] for r in own})
+    if buckets == 20:
+        assert max(Counter(r["bucket"] for r in own).values()) < 60
+    order = sorted(own, key=lambda r: (r["id"], r["key"], r["text"]), reverse=True)
+    assert order == sorted(order, key=lambda r: -r["bucket"])
+    assert all(r["id"] == least and r["key"] < 0 for r in order[-150:])
+    following = {r["text"]: order[(i + 1) % 360]["text"] for i, r in enumerate(order)}
+    want = []
+    for i, own_text in zip(ids, texts):
+        edited = own_text[: len(own_text) - len(own_text) // 2] + following[own_text][: len(own_text) // 2]
+        want.append((str(i), hashlib.sha256(edited.encode()).hexdigest()))
+    found = [(str(r["doc_id"]), r["edited_sha256"]) for r in fingerprints.compare_edits(docs, buckets).collect()]
+    assert sorted(found) == sorted(want)
+
+
 # --- 2: languages ------------------------------------------------------------------------------
 
 
