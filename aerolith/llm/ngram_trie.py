@@ -1,7 +1,7 @@
-"""An Elias-Fano trie of word pairs: contexts, monotone pointers, successors and quantised probabilities.
+"""An Elias-Fano trie of n-grams: contexts, monotone pointers, successors and quantised probabilities.
 
-Level 1 holds the hashes of contexts, level 2 their successors; a pointer sequence gives each
-context's range in level 2. A successor is stored as context number and hash, which makes the whole
+Level 1 holds the hashes of words, each further level the successors of the level before; a pointer sequence
+gives each entry's range in the next level. A successor is stored as its parent's number and its own hash, which makes a whole
 level one monotone sequence. All sequences are Elias-Fano coded and read through a memory map.
 """
 
@@ -12,7 +12,7 @@ import mmap
 import numpy as np
 
 #: Bits of a successor's hash, and of a context's.
-SUCCESSOR_BITS, CONTEXT_BITS = 40, 62
+SUCCESSOR_BITS, CONTEXT_BITS = 32, 62
 #: A probability code c > 0 stands for 10 ** -((c - 1) * STEP); 0: not stored.
 STEP = 12 / 254
 
@@ -92,21 +92,22 @@ class Reader:
 
 
 class Trie:
-    """Built from sorted contexts, their first places in level 2, successors and probabilities."""
-
-    def __init__(self, contexts: np.ndarray, first: np.ndarray, successors: np.ndarray, codes: np.ndarray, fields: dict[str, np.ndarray]):
-        n = len(contexts)
-        owner = np.repeat(np.arange(n, dtype=np.uint64), np.diff(np.append(first, len(successors))))
-        sequences = [
-            EliasFano.encode(contexts, 1 << CONTEXT_BITS),
-            EliasFano.encode(np.append(first, len(successors)), len(successors) + 1),
-            EliasFano.encode(owner << np.uint64(SUCCESSOR_BITS) | successors, max(n, 1) << SUCCESSOR_BITS),
-        ]
-        self.n, names = n, list(fields)
-        arrays = self._mapped([a for s in sequences for a in s.arrays()] + [codes, *fields.values()])
-        level = [Reader(EliasFano(s.n, s.low_bits, *arrays[3 * i : 3 * i + 3])) for i, s in enumerate(sequences)]
-        self.contexts, self.pointers, self.successors = level
-        self.codes, self.fields = arrays[9], dict(zip(names, arrays[10:]))
+    """Built from sorted contexts and, for each further level, the first places of its parents' ranges and its successors;
+    fields are arrays by place of a level."""
+
+    def __init__(self, contexts: np.ndarray, levels: list[tuple[np.ndarray, np.ndarray]], fields: dict[str, np.ndarray]):
+        self.n = parents = len(contexts)
+        sequences = [EliasFano.encode(contexts, 1 << CONTEXT_BITS)]
+        for first, successors in levels:
+            bounds = np.append(first, len(successors)).astype(np.int64)
+            owner = np.repeat(np.arange(parents, dtype=np.uint64), np.diff(bounds))
+            sequences.append(EliasFano.encode(bounds, len(successors) + 1))
+            sequences.append(EliasFano.encode(owner << np.uint64(SUCCESSOR_BITS) | successors.astype(np.uint64), max(parents, 1) << SUCCESSOR_BITS))
+            parents = len(successors)
+        arrays = self._mapped([a for s in sequences for a in s.arrays()] + list(fields.values()))
+        read = [Reader(EliasFano(s.n, s.low_bits, *arrays[3 * i : 3 * i + 3])) for i, s in enumerate(sequences)]
+        self.contexts, self.levels = read[0], list(zip(read[1::2], read[2::2]))
+        self.fields = dict(zip(fields, arrays[3 * len(sequences) :]))
 
     @staticmethod
     def _mapped(arrays: list[np.ndarray]) -> list[np.ndarray]:
@@ -125,16 +126,17 @@ class Trie:
         inside = np.minimum(at, self.n - 1)
         return np.where((at < self.n) & (self.contexts[inside] == keys), inside, -1)
 
-    def find(self, contexts: np.ndarray, successors: np.ndarray) -> np.ndarray:
-        """Codes of the probabilities of successors of numbered contexts (0: none)."""
-        out = np.zeros(len(contexts), np.uint8)
-        known = np.flatnonzero(contexts >= 0)
-        if len(known):
-            c = contexts[known]
-            keys = c.astype(np.uint64) << np.uint64(SUCCESSOR_BITS) | successors[known]
-            lo, hi = self.pointers[c].astype(np.int64), self.pointers[c + 1].astype(np.int64)
-            at = self.successors.successor(keys, lo.copy(), hi)
-            inside = np.minimum(at, len(self.codes) - 1)
-            hit = (at < hi) & (self.successors[inside] == keys)
-            out[known[hit]] = self.codes[at[hit]]
+    def find(self, level: int, parents: np.ndarray, successors: np.ndarray) -> np.ndarray:
+        """Places, in a level behind the contexts, of successors of numbered parents (-1: none)."""
+        out = np.full(len(parents), -1)
+        known = np.flatnonzero(parents >= 0)
+        pointers, keys = self.levels[level]
+        if len(known) and keys.coded.n:
+            p = parents[known]
+            asked = p.astype(np.uint64) << np.uint64(SUCCESSOR_BITS) | successors[known].astype(np.uint64)
+            lo, hi = pointers[p].astype(np.int64), pointers[p + 1].astype(np.int64)
+            at = keys.successor(asked, lo.copy(), hi)
+            inside = np.minimum(at, keys.coded.n - 1)
+            hit = (at < hi) & (keys[inside] == asked)
+            out[known[hit]] = at[hit]
         return out

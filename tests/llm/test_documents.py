@@ -188,6 +188,51 @@ def test_model(documents, shard_bytes):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
+def plain_scores(texts, trained):
+    """The model of texts in plain counts, its shares and masses after two words in the trie's eight bits."""
+    code = lambda p: language_model.probability(language_model.quantise(np.array([p])))[0]
+    sentences = {i: ["<begin>", *re.findall(WORD, lower(t)), "<end>"] for i, t in texts.items()}
+    one, two, three = collections.Counter(), collections.Counter(), collections.Counter()
+    for i in trained:
+        s = sentences[i]
+        one.update(s[1:])
+        two.update(zip(s, s[1:]))
+        three.update(zip(s, s[1:], s[2:]))
+    n, v = sum(one.values()), len(one)
+    total, kinds = collections.Counter({"<begin>": len(trained)}) + one, collections.Counter(a for a, _ in two)
+    kinds2 = collections.Counter((a, b) for a, b, _ in three)
+    out = {}
+    for i, s in sentences.items():
+        out[i] = 0.0
+        for at in range(1, len(s)):
+            w, a = s[at], s[at - 1]
+            p = (one[w] - 0.75) / n if one[w] else 0.75 * v / n
+            if total[a] and a != "<end>":
+                p = min(1, 0.8 * max(kinds[a], 1) / total[a]) * p + (code((two[a, w] - 0.8) / total[a]) if two[a, w] else 0)
+            pair = (s[at - 2], a) if at > 1 else None
+            if two[pair]:
+                p = code(0.8 * kinds2[pair] / two[pair]) * p + (code((three[*pair, w] - 0.8) / two[pair]) if three[*pair, w] else 0)
+            out[i] += math.log10(p)
+    return out
+
+
+@pytest.mark.parametrize("shard_bytes", [40_000, 1 << 23])
+def test_scores_are_those_of_plain_counts(documents, shard_bytes):
+    texts = {r["doc_id"]: r["text"] or "" for r in documents.collect()}
+    want = plain_scores(texts, [i for i in texts if zlib.crc32(str(i).encode()) % 10])
+    found = {r["doc_id"]: r["score"] for r in language_model.score(documents, id_remainder(10) != 0, shard_bytes).collect()}
+    assert found == pytest.approx(want, rel=1e-9)
+
+
+@pytest.mark.parametrize("shard_bytes", [2_000, 1 << 23])
+def test_scores_with_frequent_pairs(frame, shard_bytes):
+    """Frequent words and pairs are dealt by what follows them; scores don't hang on it."""
+    texts = [" ".join(f"of the w{(i * 40 + j) % 700} a" for j in range(40)) for i in range(60)] + ["of the new", "the w1 of", "", "of", "of the", "a of the w3"]
+    trained = [*range(60), 62, 64]
+    found = {r["doc_id"]: r["score"] for r in language_model.score(frame(texts), F.col("doc_id").isin(trained), shard_bytes).collect()}
+    assert found == pytest.approx(plain_scores(dict(enumerate(texts)), trained), rel=1e-9)
+
+
 @pytest.mark.parametrize("shard_bytes", [1_000, 4_000, 1 << 23])
 def test_back_off_of_a_frequent_word(frame, shard_bytes):
     """The mass that a word with many continuations gives up doesn't hang on the number of shards."""
@@ -199,7 +244,8 @@ def test_back_off_of_a_frequent_word(frame, shard_bytes):
     n, v, kinds = 6000 + 1 + ends, 2000 + 3, 2000
     unigram = lambda c: (c - 0.75) / n
     begin = language_model.probability(language_model.quantise(np.array([(60 - 0.8) / ends])))[0] + 0.8 * 2 / ends * unigram(3000)
-    want = math.log10(begin) + math.log10(0.8 * kinds / 3000 * unigram(1))
+    back = language_model.probability(language_model.quantise(np.array([0.8 * 40 / 60])))[0]  # 40 words follow the first "the" of 60 texts
+    want = math.log10(begin) + math.log10(back * 0.8 * kinds / 3000 * unigram(1))
     end = language_model.probability(language_model.quantise(np.array([(1 - 0.8) / 1])))[0] + 0.8 * unigram(ends)
     assert v == 2003 and found[ids[-1]]["score"] == pytest.approx(want + math.log10(end), rel=1e-9)
 
@@ -239,9 +285,13 @@ def test_elias_fano_and_trie():
     whole = np.zeros(300, np.int64), np.full(300, len(values))
     assert (reader.successor(asked, *whole) == np.searchsorted(values, asked)).all()
     contexts = np.array([5, 9, 1 << 60], np.uint64)
-    trie = ngram_trie.Trie(contexts, np.array([0, 2, 3]), np.array([7, 8, 7, 1], np.uint64), np.array([1, 2, 3, 4], np.uint8), {"n": np.arange(3)})
+    seconds = np.array([0, 2, 3]), np.array([7, 8, 7, 1], np.uint64)
+    thirds = np.array([0, 1, 1, 4]), np.array([5, 2, 5, 6, 9], np.uint64)
+    trie = ngram_trie.Trie(contexts, [seconds, thirds], {"codes": np.arange(1, 5, dtype=np.uint8)})
     assert trie.find_contexts(np.array([9, 6, 1 << 60], np.uint64)).tolist() == [1, -1, 2]
-    assert trie.find(np.array([0, 0, 1, -1, 2, 1]), np.array([8, 9, 7, 7, 1, 8], np.uint64)).tolist() == [2, 0, 3, 0, 4, 0]
+    assert trie.find(0, np.array([0, 0, 1, -1, 2, 1]), np.array([8, 9, 7, 7, 1, 8], np.uint64)).tolist() == [1, -1, 2, -1, 3, -1]
+    assert trie.find(1, np.array([0, 1, 2, 2, 3, -1]), np.array([5, 2, 5, 9, 9, 9], np.uint64)).tolist() == [0, -1, 2, -1, 4, -1]
+    assert trie.fields["codes"].tolist() == [1, 2, 3, 4]
     p = np.array([1.0, 0.3, 1e-9])
     assert (ngram_trie.probability(ngram_trie.quantise(p)) <= p * (1 + 1e-9)).all()
 
