@@ -72,6 +72,7 @@ class Reader:
     def __init__(self, coded: EliasFano):
         self.coded = coded
         self.top = coded.tops()
+        self.starts = np.append(0, np.cumsum(np.bincount(self.top)))  # the first place of each high part
 
     def __getitem__(self, i: np.ndarray) -> np.ndarray:
         return (self.top[i].astype(np.uint64) << np.uint64(self.coded.low_bits)) | self.coded.low(i)
@@ -79,8 +80,9 @@ class Reader:
     def successor(self, keys: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
         """The first place in [lo, hi) whose value is at least the key (hi: none), for all keys at once."""
         top = (keys >> np.uint64(self.coded.low_bits)).astype(np.int64)
-        lo = np.maximum(lo, np.searchsorted(self.top, top, side="left"))
-        hi = np.maximum(lo, np.minimum(hi, np.searchsorted(self.top, top, side="right")))
+        last = len(self.starts) - 1
+        lo = np.maximum(lo, self.starts[np.minimum(top, last)])
+        hi = np.maximum(lo, np.minimum(hi, self.starts[np.minimum(top + 1, last)]))
         open_ = np.flatnonzero(lo < hi)
         while len(open_):
             mid = (lo[open_] + hi[open_]) // 2
