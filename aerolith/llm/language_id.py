@@ -4,7 +4,7 @@ Learning counts the words of a bounded sample of labelled documents, and the n-g
 (those of a word once, times the word's count). A known word scores its smoothed log frequency in each language. A word
 that isn't known is read n-gram by n-gram: at each position the longest known n-gram counts, from
 LONGEST characters down to one. The scores of a text's words add up; the softmax of the sums is the
-score. A vocabulary is the FEATURES most frequent of its kind, so the model's size is bounded.
+score. Every word and n-gram of the sample counts, and the sample's documents are the model's bound.
 
 Null texts and texts without a letter are `und` with score 0, and so is everything if nothing could
 be learnt. Ties go to the language that comes first by name. Repeated rows each give a row.
@@ -19,13 +19,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerolith.llm.common import column, materialise, per_chunk, remembered, ship_package, whole_text
 from aerolith.llm.samples import labelled_sample
 
-LONGEST, FEATURES, SAMPLE, REMEMBERED = 4, 60_000, 3_000, 250_000
+LONGEST, SAMPLE, REMEMBERED = 4, 3_000, 250_000
 WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 
@@ -35,17 +36,32 @@ def ngrams(word: str) -> list[str]:
     return [marked[i : i + n] for n in range(1, LONGEST + 1) for i in range(len(marked) - n + 1)]
 
 
+class Scores:
+    """Per-language smoothed log frequencies of features."""
+
+    def __init__(self, features: list[str], counts: np.ndarray):
+        self.number = {f: i for i, f in enumerate(features)}
+        self.table = np.log((counts + 0.1) / (counts.sum(axis=0) + 0.1 * (len(features) + 1)))
+
+    def get(self, feature: str) -> np.ndarray | None:
+        i = self.number.get(feature)
+        return None if i is None else self.table[i]
+
+    def __getitem__(self, feature: str) -> np.ndarray:
+        return self.table[self.number[feature]]
+
+
 class Model:
-    """Rows of per-language scores for words and n-grams."""
+    """Scores of words and n-grams in each language."""
 
-    def __init__(self, languages: list[str], words: dict[str, list[float]], grams: dict[str, list[float]], name: str):
+    def __init__(self, languages: list[str], words: Scores, grams: Scores, name: str):
         self.languages, self.words, self.grams, self.name = languages, words, grams, name
-        self.longest = max(map(len, grams), default=0)
+        self.longest = max(map(len, grams.number), default=0)
 
     def word_scores(self, word: str) -> np.ndarray:
         own = self.words.get(word)
         if own is not None:
-            return np.array(own)
+            return own
         marked, at, total = f" {word} ", 0, np.zeros(len(self.languages))
         while at < len(marked):
             for n in range(min(self.longest, len(marked) - at), 0, -1):
@@ -89,26 +105,24 @@ def learn(docs: DataFrame, trains: Column, sample: int = SAMPLE) -> Model:
                     own[g] += n * times
             yield batch_of(grams)
 
-    def kept(counted: DataFrame) -> list:
-        listed = counted.groupBy("feature").agg(F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
-        return listed.where(F.col("total") > 1).orderBy(F.desc("total"), "feature").limit(FEATURES).collect()
+    def scores(counted: DataFrame) -> Scores:
+        found = counted.toArrow()  # the sample's distinct features
+        features = found["feature"].combine_chunks().dictionary_encode()
+        counts = np.zeros((len(features.dictionary), len(languages)))
+        counts[np.asarray(features.indices), np.asarray(pc.index_in(found["lang"].combine_chunks(), pa.array(languages, found["lang"].type)))] = np.asarray(found["n"])
+        return Scores(features.dictionary.to_pylist(), counts)
 
     summed = lambda df: df.groupBy("lang", "feature").agg(F.sum("n").alias("n"))
     words = materialise(summed(rows.select("label", "text").mapInArrow(count_words, schema)))
-    kept_parts = [kept(words), kept(summed(words.mapInArrow(count_grams, schema)))]
-    languages = sorted({lang for part in kept_parts for r in part for lang in r["by"]})
-    tables = []
-    for part in kept_parts:
-        sums = {lang: sum(r["by"].get(lang, 0) for r in part) for lang in languages}
-        tables.append({r["feature"]: [float(np.log((r["by"].get(lang, 0) + 0.1) / (sums[lang] + 0.1 * (len(part) + 1)))) for lang in languages] for r in part})
-    return Model(languages, *tables, name=uuid.uuid4().hex)
+    languages = sorted(r["lang"] for r in words.select("lang").distinct().collect())
+    return Model(languages, scores(words), scores(summed(words.mapInArrow(count_grams, schema))), name=uuid.uuid4().hex)
 
 
 def identify(docs: DataFrame, model: Model, keep_text: bool = False) -> DataFrame:
     """docs' columns (text only if it is to be kept), lang_pred and score of every whole text. Columns of docs named
     lang_pred or score give way to the operator's."""
     ship_package(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most 2 * FEATURES rows
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # the features of a bounded sample
     others = [c for c in docs.columns if c not in ("lang_pred", "score") and (keep_text or c != "text")]
 
     def work(texts: pa.Array, *fixed: pa.Array) -> pa.RecordBatch:

@@ -167,6 +167,41 @@ def test_ngrams_of_words_count_as_often_as_the_words(frame):
     assert share("a", at_p) / share("b", at_p) == pytest.approx((9 + 0.1) / (3 + 0.1)) and share("d", at_q) > share("c", at_q) and totals[0] > 0
 
 
+def test_predictions_are_those_of_plain_counts(spark, small, documents):
+    """Words by their log frequencies, unknown ones by the longest known n-gram at each position; no word is too rare to count."""
+    rows = documents.select("doc_id", "text", "lang").collect()
+    learnt = [r for r in rows if zlib.crc32(str(r["doc_id"]).encode()) % 4 != 2 and r["lang"] is not None]
+    words, grams = collections.defaultdict(collections.Counter), collections.defaultdict(collections.Counter)
+    for r in learnt:
+        words[r["lang"]].update(language_id.WORD.findall((r["text"] or "").lower()))
+    langs = sorted(k for k, c in words.items() if c)
+    for k in langs:
+        for w, n in words[k].items():
+            for g in language_id.ngrams(w):
+                grams[k][g] += n
+    known_words, known_grams = set().union(*words.values()), set().union(*grams.values())
+    share = lambda table, known, f: np.array([math.log((table[k][f] + 0.1) / (sum(table[k].values()) + 0.1 * (len(known) + 1))) for k in langs])
+    held = {}
+
+    def of_word(w):
+        if w not in held:
+            marked = f" {w} "
+            longest = lambda i: next((marked[i : i + n] for n in (4, 3, 2, 1) if i + n <= len(marked) and marked[i : i + n] in known_grams), None)
+            found = [longest(i) for i in range(len(marked))]
+            held[w] = share(words, known_words, w) if w in known_words else sum((share(grams, known_grams, g) for g in found if g), np.zeros(len(langs))) / len(marked)
+        return held[w]
+
+    got = {r["doc_id"]: r for r in queries.op2_language_id(spark, small).collect()}
+    for r in rows:
+        found = language_id.WORD.findall((r["text"] or "").lower())
+        if not found:
+            assert got[r["doc_id"]]["lang_pred"] == "und" and got[r["doc_id"]]["score"] == 0
+            continue
+        sums = sum(of_word(w) for w in found)
+        assert got[r["doc_id"]]["lang_pred"] == langs[int(np.argmax(sums))]
+        assert got[r["doc_id"]]["score"] == pytest.approx(1 / np.exp(sums - sums.max()).sum(), rel=1e-6)
+
+
 # --- 5: language model -------------------------------------------------------------------------
 
 
