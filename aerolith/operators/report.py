@@ -45,11 +45,16 @@ def moving_mean(df: DataFrame, value: str, width: int, out: str, date: str = "fl
 def best_window(df: DataFrame, signal: str, others: Sequence[str], seconds: int = 60, date: str = "flight_date", at: str = "at", size: int = BLOCK) -> DataFrame:
     """Per date the row with the greatest signal, at least the date's median, around which (within seconds, ends included)
     nothing is missing: neither in the signal nor in the others; without such a row the last of the others is given up,
-    and so on. priority counts from 1; the first row on ties. Neighbourhoods are looked at in blocks of size seconds."""
-    near = within(date).orderBy(at).rangeBetween(-seconds, seconds)
-    full = lambda c: F.count(c).over(near) == F.count("*").over(near)
+    and so on. priority counts from 1; the first row on ties, NaN is the greatest signal, rows without a place take no part.
+    Neighbourhoods are looked at in blocks of size seconds, by the last gap before and the first one after each row: both
+    are running values, so that a row costs the same however many rows its neighbourhood holds."""
+    # A frame that ends at the row is carried on from row to row; one that begins there is not, hence the second order.
+    past, future = (within(date).orderBy(o).rangeBetween(Window.unboundedPreceding, Window.currentRow) for o in (F.asc(at), F.desc(at)))
+    gap = lambda c: F.when(F.col(c).isNull(), F.col(at))
+    far = lambda condition: F.coalesce(condition, F.lit(True))
+    full = lambda c: far(F.max(gap(c)).over(past) < F.col(at) - seconds) & far(F.min(gap(c)).over(future) > F.col(at) + seconds)
     medians = quantiles(df, signal, [0.5], [date]).select(F.col(date).alias("_date"), F.col("q")[0].alias("_median"))
-    blocks = haloed(df.select(date, at, signal, *others), F.col(at), seconds, max(size, seconds))
+    blocks = haloed(df.select(date, at, signal, *others).where(F.col(at).isNotNull()), F.col(at), seconds, max(size, seconds))
     checked = at_home(blocks.withColumns({f"_full_{c}": full(c) for c in (signal, *others)})).join(medians, F.col(date).eqNullSafe(F.col("_date")))
     priority = None
     for given_up in range(len(others) + 1):
@@ -59,7 +64,7 @@ def best_window(df: DataFrame, signal: str, others: Sequence[str], seconds: int
             holds = holds & F.col(f"_full_{c}")
         priority = F.when(holds, given_up + 1) if priority is None else priority.when(holds, given_up + 1)
     usable = checked.withColumn("priority", priority).where(F.col("priority").isNotNull() & (F.col(signal) >= F.col("_median")))
-    best = F.min_by(F.struct("priority", at, signal), F.struct("priority", -F.col(signal), at))
+    best = F.max_by(F.struct("priority", at, signal), F.struct(-F.col("priority"), signal, -F.col(at)))
     return usable.groupBy(date).agg(best.alias("b")).select(date, "b.*")
 
 

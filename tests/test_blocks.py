@@ -1,5 +1,7 @@
 """Operators over rows by position: a table of one date is many tasks, with the results of a window over the date."""
 
+import random
+
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -86,6 +88,29 @@ def test_best_window(one_date):
     assert rows(whole) == rows(parts) and parts.count() == 2
 
 
+def test_best_window_carries_gaps_on(spark):
+    """Against all neighbours one by one: equal places, NaN, null dates and places; no frame that slides over a neighbourhood."""
+    rnd = random.Random(6)
+    value = lambda k: None if rnd.random() < k else float("nan") if rnd.random() < 0.01 else float(rnd.randrange(50))
+    made = [(rnd.choice(["a", "b", None]), None if rnd.random() < 0.02 else rnd.randrange(2000) / 2, value(0.02), value(0.05), value(0.1)) for _ in range(900)]
+    df = spark.createDataFrame(made, "flight_date string, at double, x double, y double, z double")
+    wanted = []
+    for date in ("a", "b", None):
+        own = [r for r in made if r[0] == date]
+        known = sorted((r[2] for r in own if r[2] is not None), key=lambda v: (v != v, v))
+        median = (known[(len(known) - 1) // 2] + known[len(known) // 2]) / 2
+        best = []
+        for _, at, x, *_ in own:
+            near = [r for r in own if None not in (at, r[1]) and at - 4 <= r[1] <= at + 4]
+            full = [all(r[i] is not None for r in near) for i in (2, 3, 4)]
+            if near and full[0] and (x != x or x >= median):
+                best.append((1 if full[1] and full[2] else 2 if full[1] else 3, x == x, 0 if x != x else -x, at, x))
+        wanted += [(date, b[0], b[3], b[4]) for b in [min(best)]]
+    found = report.best_window(df, "x", ("y", "z"), 4, size=64)
+    assert repr(rows(found)) == repr(sorted(wanted, key=repr))
+    assert "(RangeFrame, -" not in found._jdf.queryExecution().analyzed().toString()
+
+
 def test_native_step(spark, one_date):
     assert rows(windows.native_step(one_date, size=32)) == [("2024-01-01", 4.0), ("2024-01-02", 4.0)]
     assert [r.step_s for r in windows.native_step(one_date.limit(1)).collect()] == [1.0]
