@@ -118,13 +118,24 @@ def resolve(columns: DataFrame, headers: DataFrame) -> DataFrame:
     return found.select(*columns.columns, "_m.units", "_m.standard", "_m.description")
 
 
+def first_rows(df: DataFrame, by: Sequence[str], order: str) -> DataFrame:
+    """The rows that come first by a number in each group, all of them on ties, null last. Only numbers are aggregated, so a
+    task holds a row for each group; the least of a struct with text would make it sort all its rows."""
+    least = df.groupBy(*[F.col(c).alias(f"_own_{c}") for c in by]).agg(F.min(order).alias("_least"))
+    same = F.col(order).eqNullSafe(F.col("_least"))
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_own_{c}"))
+    return df.join(least, same, "left_semi")
+
+
 def channel_preference(channels: DataFrame) -> DataFrame:
     """One column per wavelength: total before submicron before others, dry before ambient, then by position."""
     low = F.lower("column")
     kind = F.when(low.contains("total"), 0).when(low.contains("submicron"), 1).otherwise(2)
     ambient = F.when((kind < 2) & low.contains("amb"), 1).otherwise(0)
-    best = channels.groupBy("wavelength").agg(F.min_by("column", F.struct(kind, ambient, "pos")).alias("column"))
-    return best
+    ranked = channels.select("wavelength", "column", "pos", (kind * 2 + ambient).alias("_rank"))
+    first = first_rows(ranked, ("wavelength", "_rank"), "pos")
+    return first.groupBy("wavelength").agg(F.min_by("column", F.struct("_rank", F.col("pos").isNull(), "pos", "column")).alias("column"))
 
 
 def channel_kind(column: Column, unknown: str) -> Column:
@@ -134,9 +145,11 @@ def channel_kind(column: Column, unknown: str) -> Column:
 
 def wavelength_match(scattering: DataFrame, candidates: DataFrame, within: float = 50) -> DataFrame:
     """(wavelength, other_wavelength, other_column): for wavelengths at most so far apart, the column of the same kind,
-    else the total, else the first. Both sides: wavelength, column; candidates: pos as well."""
+    else the total, else the first (null positions last). Both sides: wavelength, column; candidates: pos as well.
+    Of the candidates of one wavelength and kind only the first can be anyone's match, so these alone are joined."""
     sc = scattering.select("wavelength", channel_kind(F.col("column"), "total").alias("kind"))
-    other = candidates.select(F.col("wavelength").alias("other_wavelength"), F.col("column").alias("other_column"), "pos", channel_kind(F.col("column"), "unknown").alias("other_kind"))
+    listed = candidates.select(F.col("wavelength").alias("other_wavelength"), F.col("column").alias("other_column"), "pos", channel_kind(F.col("column"), "unknown").alias("other_kind"))
+    other = first_rows(listed, ("other_wavelength", "other_kind"), "pos")
     near = band_join(sc, other, F.col("wavelength"), F.col("other_wavelength"), within)
     rank = F.when(F.col("kind") == F.col("other_kind"), 0).when(F.col("other_kind") == "total", 1).otherwise(2)
-    return near.groupBy("wavelength", "other_wavelength").agg(F.min_by("other_column", F.struct(rank, "pos")).alias("other_column"))
+    return near.groupBy("wavelength", "other_wavelength").agg(F.min_by("other_column", F.struct(rank, F.col("pos").isNull(), "pos", "other_column")).alias("other_column"))

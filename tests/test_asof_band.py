@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from aerolith.operators import blocks, merge
+from aerolith.operators import blocks, catalog, merge
 from aerolith.plans import registry
 
 
@@ -51,6 +51,22 @@ def test_band_join(spark, within):
     assert found == sorted((i, j) for i, x in enumerate(a) for j, y in enumerate(b) if x is not None and y is not None and abs(x - y) <= within)
 
 
+def test_wavelengths_meet_the_first_candidates_only(spark, monkeypatch):
+    """Against all pairs; of many candidates one of each wavelength and kind is joined, and no task sorts its rows to find it."""
+    rnd, kinds, met = random.Random(9), ["_total", "_submicron", "_total_amb", ""], []
+    made = [(rnd.randrange(400, 500, 20), f"c{i}{rnd.choice(kinds)}", None if i % 50 == 0 else 3000 - i) for i in range(3000)]
+    kind = lambda c, unknown: "total_amb" if "total_amb" in c else "total" if "total" in c else "submicron" if "submicron" in c else unknown
+    scattering, wanted = {w: c for w, c, _ in made[:6]}, []
+    for w, c in scattering.items():
+        for o in {o for o, _, _ in made if abs(o - w) <= 50}:
+            rank = lambda x: 0 if kind(x[1], "unknown") == kind(c, "total") else 1 if kind(x[1], "unknown") == "total" else 2  # noqa: B023, E731
+            wanted.append((w, o, min((x for x in made if x[0] == o), key=lambda x: (rank(x), x[2] is None, x[2] or 0, x[1]))[1]))
+    monkeypatch.setattr(catalog, "band_join", lambda l, r, *rest: met.append(r) or blocks.band_join(l, r, *rest))
+    found = catalog.wavelength_match(spark.createDataFrame([*scattering.items()], "wavelength long, column string"), spark.createDataFrame(made, "wavelength long, column string, pos long"))
+    assert sorted(map(tuple, found.collect())) == sorted(wanted)
+    assert met[0].count() == 5 * 4 and "SortAggregate" not in met[0]._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("name", ["wavelength_match", "asof_nearest", "asof_forward"])
 def test_no_nested_loop(spark, small, name):
     plan = registry.QUERIES[name](spark, small)._jdf.queryExecution().executedPlan().toString()
