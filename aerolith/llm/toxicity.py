@@ -14,8 +14,12 @@ documents far more often than in others (of copies, one document counts). A text
 training documents with as many marked words, smoothed and never falling with more of them; among texts with as many
 it rises, towards the next share, with the sum of the marks' log odds.
 
-Learning takes a bounded sample of labelled rows (SAMPLE ids of each label, about); counts come from Spark aggregations, and marks
-and character n-grams are limited to the MARKS and GRAMS strongest. Null and empty texts hold no
+Learning takes every labelled training row; counts come from Spark aggregations, and marks
+and character n-grams are limited to the MARKS and GRAMS strongest. A mark stands in a hundredth of the toxic texts at least,
+so features are first counted in these, and in the others only those that pass.
+
+Most words can't be read as a mark in any way. A key that all readings of a word share (look-alikes as one letter, runs
+as one, other signs left out) tells so at once; the lattice is for the rest. Null and empty texts hold no
 marks. Documents with several labels count once for each; null labels count not at all. Without
 labels every score is the prior of 0.5. Repeated rows each give a row. Columns of docs named marks, odds or score give
 way to the operator's.
@@ -38,9 +42,8 @@ from pyspark.sql import functions as F
 
 from aerolith.llm.common import column, materialise, per_chunk, remembered, ship_package, whole_text
 from aerolith.llm.hashing import mix
-from aerolith.llm.samples import labelled_sample
 
-SAMPLE, MARKS, GRAMS, REMEMBERED, MOST = 4_000, 20_000, 60_000, 150_000, 6
+MARKS, GRAMS, REMEMBERED, MOST = 20_000, 60_000, 150_000, 6
 ORDER, CHANGE = 3, 1.0
 #: Longer words are read as several; signs of a window, and those of its end that the next one reads again.
 LONG, WINDOW, OVERLAP = 40, 256, 64
@@ -61,6 +64,31 @@ JOINED = re.compile(r"(?:[^\W_](?:[^\w\s]|_)+){3}[^\W_]")
 REPEATED = re.compile(r"(.)\1{3,}", re.S)
 JUNK = re.compile(r"^[^\w\s]{2}|[^\w\s]{2}$")
 
+#: Signs that are no letters or digits and yet may stand for letters: a word's key has them as letters or leaves them out.
+UNSURE = re.compile("[" + re.escape("".join(c for c in STANDS_FOR if not c.isalnum())) + "]")
+RUN = re.compile(r"(.)\1+", re.S)
+
+
+class _Keys(dict):
+    """For str.translate: each letter's or digit's representative among those that may be read as one another; other signs go."""
+
+    def __init__(self, unsure: bool):
+        kept = {c: x for c, x in STANDS_FOR.items() if unsure or c.isalnum()}
+        super().__init__({ord(c): "i" if x[0] in "il" else x[0] for c, x in kept.items()} | {ord("l"): "i"})
+
+    def __missing__(self, code: int) -> str:
+        self[code] = chr(code) if chr(code).isalnum() else ""
+        return self[code]
+
+
+WITHOUT, WITH = _Keys(False), _Keys(True)
+
+
+def key(word: str, signs: _Keys = WITHOUT) -> str:
+    """What all readings of a word have in common, if its unsure signs are left out (or all read as letters)."""
+    out = word.translate(signs)
+    return RUN.sub(r"\1", out) if RUN.search(out) else out
+
 
 def features(word: str) -> list[str]:
     """The word, its beginnings and its endings."""
@@ -196,6 +224,37 @@ def segmented(word: str, model: CharacterModel) -> list[str]:
 class Model:
     def __init__(self, marks: dict[str, float], characters: CharacterModel, shares: list[float]):
         self.marks, self.characters, self.shares, self.name = marks, characters, shares, uuid.uuid4().hex
+        # A mark's own unsure signs were read as themselves, so its key leaves them out; as letters they would be another mark's.
+        self.keys = {kind: frozenset(key(f[1:]) for f in marks if f[0] == kind) for kind in "=<>"}
+        self.every = frozenset().union(*self.keys.values())
+        self.lengths = {kind: sorted({len(k) for k in own}) for kind, own in (*self.keys.items(), ("", self.every))}
+
+    def fits(self, own: str, inside: bool) -> bool:
+        """Whether a word with this key may be read as a marked one, or hold one inside."""
+        if inside:
+            return any(own[i : i + n] in self.every for n in self.lengths[""] for i in range(len(own) - n + 1))
+        if own in self.keys["="]:
+            return True
+        for n in self.lengths["<"]:
+            if own[:n] in self.keys["<"]:
+                return True
+        for n in self.lengths[">"]:
+            if own[-n:] in self.keys[">"]:
+                return True
+        return "" in self.every
+
+    def may_be_marked(self, word: str) -> bool:
+        """False only if no reading of the word, or of a part of it where it may hold several, has a mark."""
+        if len(word) <= LONG and JUNK.search(word):
+            word = word.strip(EDGES)  # as toxic_word() reads it then
+        unsure = UNSURE.findall(word)
+        if len(unsure) > 1 or "*" in unsure:
+            return True
+        bare = word.translate(WITHOUT)
+        inside = len(word) > LONG or len(word) - len(bare) > 2  # as JOINED asks for at least
+        if self.fits(RUN.sub(r"\1", bare) if RUN.search(bare) else bare, inside):
+            return True
+        return bool(unsure) and self.fits(key(word, WITH), inside)
 
     def marked(self, word: str) -> float:
         """The log odds of the word's strongest mark (0: none)."""
@@ -211,6 +270,8 @@ class Model:
     def toxic_word(self, raw: str) -> float:
         """The log odds of a lower-case word's mark, as it stands, with plain letters or as restored (0: none)."""
         simple = plain(raw)
+        if not self.may_be_marked(raw) and (simple is raw or not self.may_be_marked(simple)):
+            return 0.0
         for form in (raw, simple) if simple is not raw else (raw,):
             word = form.strip(EDGES)
             if word and (odds := self.marked(word)):
@@ -235,13 +296,16 @@ class Model:
         """Marked words of a whole text, and the sum of their log odds."""
         text = text.lower()
         total, strength = 0, 0.0
-        for word, n in Counter(text.split()).items():
+        words = text.split()
+        for word, n in Counter(words).items():
             odds = memo.get(word)
             if odds is None:
                 odds = memo[word] = self.toxic_word(word)
             if odds:
                 total, strength = total + n, strength + odds * n
-        for m in SPACED.finditer(text):
+        # Spaced letters begin with two words of one letter in a row, each with a separator at most.
+        single = "".join(["s" if len(w) < 3 and (len(w) == 1 or w[1] in ".-_*") else " " for w in words])
+        for m in SPACED.finditer(text) if "ss" in single else ():
             letters = plain(re.sub(r"[\s.\-_*]", "", m[0]))
             own = self.marked_words(letters)
             if not own and len(letters) <= LONG:
@@ -258,14 +322,14 @@ def _restored(model: Model) -> dict[str, float]:
     return remembered("toxicity", model.name, dict, lambda held: len(held) > REMEMBERED)
 
 
-def learn(docs: DataFrame, labels: DataFrame, trains, sample: int = SAMPLE) -> Model:
-    """From at most about sample labelled training documents of each label, chosen by a hash of their ids."""
+def learn(docs: DataFrame, labels: DataFrame, trains) -> Model:
+    """From all labelled training documents."""
     spark = docs.sparkSession
     ship_package(spark)
-    marks = labels.where("toxic is not null").select("doc_id", (F.col("toxic") != 0).cast("int").alias("toxic")).where(trains)
-    chosen = labelled_sample(marks.distinct(), F.col("toxic"), F.col("doc_id"), sample).select("doc_id", "label")
-    # About 2 * sample ids at most, so the texts of all documents needn't be shuffled to find theirs.
-    found = docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(chosen), "doc_id")
+    marks = labels.where("toxic is not null").select("doc_id", (F.col("toxic") != 0).cast("int").alias("label")).where(trains)
+    # Labels may be as many as documents, so they aren't broadcast; the training texts are shuffled once to meet them.
+    chosen = materialise(marks.distinct())
+    found = docs.where(trains).select("doc_id", whole_text().alias("text")).join(chosen.hint("shuffle_hash"), "doc_id")
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -275,38 +339,84 @@ def learn(docs: DataFrame, labels: DataFrame, trains, sample: int = SAMPLE) -> M
     # Copies of a document, near or exact, would make its every word a mark; one of them stays.
     rows = materialise(found.select("text", "label").mapInArrow(sign, "text string, label int, signature long").dropDuplicates(["label", "signature"]))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def document_features(texts: list[str]) -> Iterator[set[str]]:
+        memo: dict[str, list[str]] = {}
+        for text in texts:
+            words = {w for w in (x.strip(EDGES) for x in {*text.lower().split()}) if w}
+            memo.update((w, features(w)) for w in words if w not in memo)
+            yield {f for w in words for f in memo[w]}
+
+    def counted_batch(counts: Counter, name: str) -> pa.RecordBatch:
+        return pa.record_batch([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], names=[name, "n"])
+
+    def count_toxic(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # A few documents at a time: their features are many, and Spark adds the counts up.
         for batch in (b.slice(i, 64) for b in batches for i in range(0, b.num_rows, 64)):
-            toxic, clean, grams, every = Counter(), Counter(), Counter(), Counter()
-            for text, label in zip(column(batch, "text").to_pylist(), column(batch, "label").to_pylist()):
-                words = Counter(w for w in (x.strip(EDGES) for x in text.lower().split()) if w)
-                (toxic if label else clean).update({f for w in words for f in features(w)})
-                every.update(words)
-            for w, n in every.items():
-                if w.isalpha():
-                    padded = " " * (ORDER - 1) + w + " "
-                    for i in range(ORDER - 1, len(padded)):
-                        for k in range(ORDER):
-                            grams[padded[i - k : i + 1]] += n
-            made = [(0, f, toxic[f], clean[f]) for f in toxic.keys() | clean.keys()] + [(1, g, n, 0) for g, n in grams.items()]
-            kinds = (pa.int32(), pa.string(), pa.int64(), pa.int64())
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*made) if made else [()] * 4, kinds)], names=["kind", "feature", "a", "b"])
+            counts = Counter()
+            for own in document_features(column(batch, "text").to_pylist()):
+                counts.update(own)
+            yield counted_batch(counts, "feature")
+
+    def count_clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked, memo = shared.value, {}
+        for batch in batches:
+            counts = Counter()
+            for text in column(batch, "text").to_pylist():
+                own: set[str] = set()
+                for word in {*text.lower().split()}:
+                    if (known := memo.get(word)) is None:
+                        bare = word.strip(EDGES)
+                        # What stands in too few texts as four signs does so as five: most words end here.
+                        likely = len(bare) < 5 or "<" + bare[:4] in asked or ">" + bare[-4:] in asked
+                        known = memo[word] = tuple(f for f in features(bare) if f in asked) if bare and likely else ()
+                    if known:
+                        own.update(known)
+                counts.update(own)
+                if len(memo) > REMEMBERED:
+                    memo.clear()
+            yield counted_batch(counts, "feature")
+
+    def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (b.slice(i, 256) for b in batches for i in range(0, b.num_rows, 256)):
+            raw, words = Counter(), Counter()
+            for text in column(batch, "text").to_pylist():
+                raw.update(text.lower().split())
+            for x, n in raw.items():
+                if (w := x.strip(EDGES)).isalpha():
+                    words[w] += n
+            yield counted_batch(words, "word")
+
+    def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            grams = Counter()
+            for w, n in zip(column(batch, "word").to_pylist(), column(batch, "n").to_pylist()):
+                padded = " " * (ORDER - 1) + w + " "
+                for i in range(ORDER - 1, len(padded)):
+                    for k in range(ORDER):
+                        grams[padded[i - k : i + 1]] += n
+            yield counted_batch(grams, "gram")
+
+    def summed(df: DataFrame, count, name: str) -> DataFrame:
+        return df.mapInArrow(count, f"{name} string, n long").groupBy(name).agg(F.sum("n").alias("n"))
 
     sizes = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
-    partial = rows.mapInArrow(count, "kind int, feature string, a long, b long")
-    counted = materialise(partial.groupBy("kind", "feature").agg(F.sum("a").alias("a"), F.sum("b").alias("b")))
-    odds = F.log(((F.col("a") + 0.5) / F.lit(n_toxic + 1.0)) / ((F.col("b") + 0.5) / F.lit(n_clean + 1.0)))
     support = max(3, math.ceil(0.01 * n_toxic))
-    found = counted.where((F.col("kind") == 0) & (F.col("a") >= support)).withColumn("odds", odds).where(F.col("odds") > math.log(50)).orderBy(F.desc("odds"), F.desc("a"), "feature").limit(MARKS)
-    marks_found = {r["feature"]: r["odds"] for r in found.collect()}
-    grams = {r["feature"]: r["a"] for r in counted.where("kind = 1").orderBy(F.desc("a"), "feature").limit(GRAMS).collect()}
+    toxic = summed(rows.where("label = 1").select("text"), count_toxic, "feature").where(F.col("n") >= support)
+    # Each stands in so many toxic texts, so there are at most a hundred times as many as one text has features.
+    often = {r["feature"]: r["n"] for r in toxic.collect()}
+    shared = spark.sparkContext.broadcast(frozenset(often))
+    others = {r["feature"]: r["n"] for r in summed(rows.where("label = 0").select("text"), count_clean, "feature").collect()}
+    odds = {f: math.log(((a + 0.5) / (n_toxic + 1.0)) / ((others.get(f, 0) + 0.5) / (n_clean + 1.0))) for f, a in often.items()}
+    strongest = sorted((f for f, x in odds.items() if x > math.log(50)), key=lambda f: (-odds[f], -often[f], f))[:MARKS]
+    marks_found = {f: odds[f] for f in strongest}
+    words = summed(rows.select("text"), count_words, "word")
+    grams = {r["gram"]: r["n"] for r in summed(words, count_grams, "gram").orderBy(F.desc("n"), "gram").limit(GRAMS).collect()}
     model = Model(marks_found, CharacterModel(grams), [])
     table = {(r["label"], r["marks"]): r["n"] for r in counts(rows, model).groupBy("label", F.least("marks", F.lit(MOST)).alias("marks")).agg(F.count("*").alias("n")).collect()}
     best = 0.0
     for k in range(MOST + 1):
-        # The sample is balanced by label, up to its bound; a bin without rows takes after the one before.
+        # A bin without rows takes after the one before.
         toxic, clean = table.get((1, k), 0), table.get((0, k), 0)
         seen = toxic + clean
         share = (toxic + 0.5) / (seen + 1) if seen else (0.9 if k else 0.5)

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import math
+import random
 import re
 import zlib
 from array import array
@@ -420,6 +421,37 @@ def test_long_and_joined_disguises(toxicity_model):
         assert toxicity_model.count(text, {}) == 0, text[:60]
 
 
+def test_keys_lose_no_mark(toxicity_model):
+    """With and without the look at keys: disguises of every kind in and around marked words, and others."""
+    rng = random.Random(3)
+    model = toxicity.Model(toxicity_model.marks, toxicity_model.characters, toxicity_model.shares)
+    plain_model = toxicity.Model(model.marks, model.characters, model.shares)
+    plain_model.may_be_marked = lambda word: True
+    marked = sorted(f[1:] for f in model.marks)
+    back = {"o": "0", "i": "1!|*", "l": "1|£", "e": "3€*", "a": "4@*", "s": "5$", "t": "7+", "g": "69", "b": "8", "c": "(", "z": "2"}
+    n_marked = 0
+    for i in range(3000):
+        word = rng.choice(["", "xq", "un"]) + rng.choice(marked) + rng.choice(["", "", "ly", "rr"]) if i % 3 else "".join(rng.choices("idotscum105.-$!", k=rng.randrange(1, 50)))
+        word = "".join(rng.choice(back[c]) if c in back and rng.random() < 0.2 else c * rng.choice([1, 1, 1, 2, 4]) + rng.choice(["", "", "", "", ".", "-", "_"]) for c in word)
+        word = rng.choice(["", "", "(", "$", "«", "**"]) + word + rng.choice(["", "", "!", "!!", ",", "***", "$"])
+        assert model.toxic_word(word) == plain_model.toxic_word(word), word
+        n_marked += model.toxic_word(word) > 0
+    assert n_marked > 300
+
+
+def test_every_label_teaches_toxicity(spark, frame):
+    """Each of more labelled texts than the sample of an earlier version held changes counts and shares; documents without a
+    training label change nothing."""
+    n = 12_000
+    docs = spark.range(2 * n).select(F.col("id").alias("doc_id"), F.concat(F.when(F.col("id") % 8 == 0, "grobword zzqa").otherwise("fair day"), F.lit(" a"), F.col("id").cast("string"), F.lit(" b"), (F.col("id") * 7).cast("string")).alias("text"))
+    labels = docs.where(F.col("doc_id") < n).select("doc_id", (F.col("doc_id") % 8 == 0).cast("int").alias("toxic"))
+    model = toxicity.learn(docs, labels, F.lit(True))
+    toxic, clean = n // 8, n - n // 8
+    assert model.marks["=grobword"] == pytest.approx(math.log(((toxic + 0.5) / (toxic + 1)) / (0.5 / (clean + 1))))
+    assert model.characters.counts["grob"[:3]] == toxic and model.characters.counts[" fa"] == clean
+    assert model.shares[0] == pytest.approx(0.5 / (clean + 1)) and model.shares[2] == pytest.approx((toxic + 0.5) / (toxic + 1))
+
+
 # --- 9: near-duplicates ------------------------------------------------------------------------
 
 
