@@ -150,6 +150,26 @@ def test_near_duplicate_stage_joins_groups_of_one_bucket(spark, frame, small):
     assert sorted(r["doc_id"] for r in found.collect()) == want
 
 
+def test_near_copies_link_by_simhash_first(spark, frame, monkeypatch):
+    """With MinHash tables that find nothing, what fingerprints link within their radius is still joined, if the sets confirm it."""
+    from aerolith.llm import near_copies, simhash
+
+    rng = np.random.default_rng(8)
+    long = [f"w{i}" for i in rng.integers(0, 1 << 30, 9000)]
+    edited = [*long[:4500], "other", *long[4501:]]
+    # Repeats rule a fingerprint, not a set: these two link by SimHash and share few shingles.
+    echo = " ".join(["one two three four five six seven"] * 400)
+    texts = [" ".join(long), " ".join(edited), echo + " " + " ".join(f"x{i}" for i in range(60)), echo + " " + " ".join(f"y{i}" for i in range(60)), "nothing like it"]
+    bits = [simhash.text_simhash(t, near_copies.SHINGLE) for t in texts]
+    assert (bits[0] ^ bits[1]).bit_count() <= simhash.RADIUS and (bits[2] ^ bits[3]).bit_count() <= simhash.RADIUS
+    rows = frame(texts).withColumn("row_key", F.col("doc_id"))
+    signed = near_copies.signatures(rows).withColumn("keys", F.array(F.col("set_id")))
+    monkeypatch.setattr(near_copies, "signatures", lambda *_: signed)
+    groups = near_copies.near_copies(rows).groupBy("root").agg(F.sort_array(F.collect_list("doc_id")).alias("ids")).collect()
+    ids = [r["doc_id"] for r in rows.orderBy("doc_id").collect()]
+    assert sorted(r["ids"] for r in groups) == [ids[:2], *[[i] for i in ids[2:]]]
+
+
 def test_near_copies_against_all_pairs(spark, frame, monkeypatch):
     """Groups are those of all pairs at 0.8 or more, where buckets mix texts at 0.6 to 0.95, met whole and block by block."""
     from aerolith.llm import near_copies
