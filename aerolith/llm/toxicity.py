@@ -19,7 +19,8 @@ and character n-grams are limited to the MARKS and GRAMS strongest. A mark stand
 so features are first counted in these, and in the others only those that pass.
 
 Most words can't be read as a mark in any way. A key that all readings of a word share (look-alikes as one letter, runs
-as one, other signs left out) tells so at once; the lattice is for the rest. Null and empty texts hold no
+as one, other signs left out) tells so; its first and last signs tell most of them so for many texts at once, in arrays
+(Screen). The lattice is for the rest. Null and empty texts hold no
 marks. Documents with several labels count once for each; null labels count not at all. Without
 labels every score is the prior of 0.5. Repeated rows each give a row. Columns of docs named marks, odds or score give
 way to the operator's.
@@ -27,6 +28,7 @@ way to the operator's.
 
 from __future__ import annotations
 
+import functools
 import math
 import re
 import unicodedata
@@ -40,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolith.llm.common import column, materialise, per_chunk, remembered, ship_package, whole_text
+from aerolith.llm.common import column, materialise, per_chunk, remembered, ship_package, text_chunks, whole_text
 from aerolith.llm.hashing import mix
 
 MARKS, GRAMS, REMEMBERED, MOST = 20_000, 60_000, 150_000, 6
@@ -221,6 +223,92 @@ def segmented(word: str, model: CharacterModel) -> list[str]:
     return out + [x for x, _ in window_words(word[at:], model)]
 
 
+#: Signs as five bits: letters that any reading or key may take for one another are one; IGNORED has no part in keys, ODD
+#: asks for a closer look at its word.
+IGNORED, ODD, SPACE, BITS, KNOWN = 0, 30, 31, 5, 4
+
+
+def _sign(char: str) -> int:
+    if char.isspace():
+        return SPACE
+    simple = plain(char)
+    if len(simple) > 1 or UNSURE.match(char) or UNSURE.match(simple) or simple > "\uffff":
+        return ODD
+    # As WITHOUT has them, without filling it.
+    own, other = (WITHOUT.get(ord(c)) or (c if c.isalnum() else "") for c in (char, simple or " "))
+    if bool(own) != bool(other):
+        return ODD
+    if not other:
+        return IGNORED
+    return ord(other) - ord("a") + 1 if "a" <= other <= "z" else 27 + ord(other) % 3
+
+
+@functools.cache
+def _signs() -> np.ndarray:
+    """Each code point's sign; those beyond the first plane share the last place."""
+    return np.array([*(_sign(chr(c)) for c in range(1 << 16)), ODD], np.uint8)
+
+
+class Screen:
+    """Tells most words of many texts at once from those that may be marked: by the first and the last KNOWN signs of their
+    keys. It has no say where Model.may_be_marked() would look at more than a key's beginning and end (unsure signs, long
+    words, several separators): those words stay."""
+
+    def __init__(self, keys: dict[str, frozenset[str]]):
+        self.all = any("" in own for own in keys.values())
+        self.heads, self.tails = (np.zeros((1 << BITS,) * KNOWN, bool) for _ in range(2))
+        for kind, own in keys.items():
+            for word in own:
+                signs = [_signs()[min(ord(c), 1 << 16)] for c in word]
+                if ODD in signs:
+                    continue  # only words with that sign have this key, and they stay
+                signs = [x for i, x in enumerate(signs) if not i or x != signs[i - 1]]
+                if kind == ">":
+                    self.tails[tuple(signs[: -KNOWN - 1 : -1])] = True
+                else:
+                    self.heads[tuple([*signs, *([SPACE] if kind == "=" else [])][:KNOWN])] = True
+        self.heads, self.tails = self.heads.ravel(), self.tails.ravel()
+
+    def left(self, texts: list[str]) -> tuple[list[list[str]], list[bool]]:
+        """Of lower-case texts: the words that may be marked, in order, and whether two words of one letter follow one another."""
+        joined = "\n".join(texts)
+        codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+        signs = _signs()[np.minimum(codes, 1 << 16)]
+        spaces = np.flatnonzero(signs == SPACE)
+        starts, ends = np.concatenate(([0], spaces + 1)), np.concatenate((spaces, [len(signs)]))
+        lengths = ends - starts
+        ignored = np.bincount(np.searchsorted(spaces, np.flatnonzero(signs == IGNORED)), minlength=len(starts))
+        stays = (lengths > LONG) | (ignored > 2) | self.all
+        stays[np.searchsorted(spaces, np.flatnonzero(signs == ODD))] = True
+        # Keys on end: runs are one sign, and words without a key are gone with their spaces.
+        kept = signs[signs != IGNORED]
+        around = np.full(KNOWN, SPACE, np.uint8)
+        kept = np.concatenate((around, kept[:1], kept[1:][kept[1:] != kept[:-1]], around)).astype(np.int32)
+        edges = np.flatnonzero(kept == SPACE)
+        filled = np.diff(edges) > 1
+        first, last = edges[:-1][filled] + 1, edges[1:][filled] - 1
+        head, tail = np.zeros(len(first), np.int32), np.zeros(len(first), np.int32)
+        for k in range(KNOWN):
+            head, tail = head << BITS | kept[first + k], tail << BITS | kept[last - k]
+        stays[np.flatnonzero(lengths > ignored)[self.heads[head] | self.tails[tail]]] = True
+
+        firsts = np.cumsum([0, *(len(t) + 1 for t in texts)])  # where each text begins
+        words: list[list[str]] = [[] for _ in texts]
+        chosen = np.flatnonzero(stays & (lengths > 0))
+        for text, a, b in zip((np.searchsorted(firsts, starts[chosen], "right") - 1).tolist(), starts[chosen].tolist(), ends[chosen].tolist()):
+            words[text].append(joined[a:b])
+        # One letter, with a separator at most.
+        real = np.flatnonzero(lengths > 0)
+        single = lengths[real] == 1
+        two = np.flatnonzero(lengths[real] == 2)
+        single[two] = np.isin(codes[starts[real[two]] + 1], [ord(c) for c in ".-_*"])
+        both = np.flatnonzero(single[1:] & single[:-1])
+        one, next_one = (np.searchsorted(firsts, starts[real[both + k]], "right") - 1 for k in (0, 1))
+        spaced = np.zeros(len(texts), bool)
+        spaced[one[one == next_one]] = True
+        return words, spaced.tolist()
+
+
 class Model:
     def __init__(self, marks: dict[str, float], characters: CharacterModel, shares: list[float]):
         self.marks, self.characters, self.shares, self.name = marks, characters, shares, uuid.uuid4().hex
@@ -292,29 +380,34 @@ class Model:
         """The log odds of the marked ones of the words that a run of signs holds."""
         return [odds for w in (x.strip(EDGES) for x in segmented(run, self.characters)) if w and (odds := self.marked(w))]
 
-    def found(self, text: str, memo: dict[str, float]) -> tuple[int, float]:
-        """Marked words of a whole text, and the sum of their log odds."""
-        text = text.lower()
-        total, strength = 0, 0.0
-        words = text.split()
-        for word, n in Counter(words).items():
-            odds = memo.get(word)
-            if odds is None:
-                odds = memo[word] = self.toxic_word(word)
-            if odds:
-                total, strength = total + n, strength + odds * n
-        # Spaced letters begin with two words of one letter in a row, each with a separator at most.
-        single = "".join(["s" if len(w) < 3 and (len(w) == 1 or w[1] in ".-_*") else " " for w in words])
-        for m in SPACED.finditer(text) if "ss" in single else ():
-            letters = plain(re.sub(r"[\s.\-_*]", "", m[0]))
-            own = self.marked_words(letters)
-            if not own and len(letters) <= LONG:
-                own = [odds for odds in (self.marked(letters) or self.marked(viterbi(letters, self.characters)),) if odds]
-            total, strength = total + len(own), strength + sum(own)
-        return total, strength
+    @functools.cached_property
+    def screen(self) -> Screen:
+        return Screen(self.keys)
+
+    def found(self, texts: list[str], memo: dict[str, float]) -> list[tuple[int, float]]:
+        """Marked words of each whole text, and the sum of their log odds."""
+        texts = [t.lower() for t in texts]
+        out = []
+        for text, words, spaced in zip(texts, *self.screen.left(texts)):
+            total, strength = 0, 0.0
+            for word, n in Counter(words).items():
+                odds = memo.get(word)
+                if odds is None:
+                    odds = memo[word] = self.toxic_word(word)
+                if odds:
+                    total, strength = total + n, strength + odds * n
+            # Spaced letters begin with two words of one letter in a row, each with a separator at most.
+            for m in SPACED.finditer(text) if spaced else ():
+                letters = plain(re.sub(r"[\s.\-_*]", "", m[0]))
+                own = self.marked_words(letters)
+                if not own and len(letters) <= LONG:
+                    own = [odds for odds in (self.marked(letters) or self.marked(viterbi(letters, self.characters)),) if odds]
+                total, strength = total + len(own), strength + sum(own)
+            out.append((total, strength))
+        return out
 
     def count(self, text: str, memo: dict[str, float]) -> int:
-        return self.found(text, memo)[0]
+        return self.found([text], memo)[0][0]
 
 
 def _restored(model: Model) -> dict[str, float]:
@@ -436,7 +529,9 @@ def counts(docs: DataFrame, model: Model, keep_text: bool = False) -> DataFrame:
     def work(texts: pa.Array, *fixed: pa.Array) -> pa.RecordBatch:
         model = shared.value
         memo = _restored(model)
-        found = [model.found(t or "", memo) for t in texts.to_pylist()]
+        found = []
+        for a, b in text_chunks(texts, 1 << 20):
+            found += model.found([t or "" for t in texts.slice(a, b - a).to_pylist()], memo)
         return pa.record_batch([*fixed, pa.array([n for n, _ in found], pa.int32()), pa.array([x for _, x in found], pa.float64())], names=[*others, "marks", "odds"])
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in others), "marks int, odds double"])

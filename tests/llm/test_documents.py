@@ -439,6 +439,43 @@ def test_keys_lose_no_mark(toxicity_model):
     assert n_marked > 300
 
 
+def test_screen_loses_no_word(toxicity_model):
+    """Many texts at once against each word by itself, without any look at keys; with learnt marks, odd ones and none."""
+    rng = random.Random(8)
+    learnt = toxicity_model.marks
+    odd = {"=i": 4.0, "=vv": 5.0, "<aaaa": 4.5, ">ßenß": 4.2, "=жук": 6.0, "<жжжу": 4.1, "=\U0001d41f\U0001d42e": 5.5, "=ﬁn": 4.3, ">élan": 4.4, "=100": 4.6, ">00m0": 4.7, "=東京": 5.1}
+    words = [f[1:] for f in [*learnt, *odd]]
+    signs = "abio1e0sé ßжукßöﬁ東京½²™¨i\u0307ı\u0301$!(*.-_'«\U0001d41f\u00ad"
+    for marks in (learnt, learnt | odd, {"<----": 4.0, "=idiot": 5.0}, {}):
+        model = toxicity.Model(marks, toxicity_model.characters, toxicity_model.shares)
+        plain_model = toxicity.Model(marks, toxicity_model.characters, toxicity_model.shares)
+        plain_model.may_be_marked = lambda word: True
+        texts = ["", " ", "\n\x1c", "a", "a b", "ab c", "c. d_"]
+        for _ in range(300):
+            some = [rng.choice(["", "un", "x"]) + rng.choice(words) + rng.choice(["", "ly", "!", ".", "--", "é"]) if rng.random() < 0.4 else "".join(rng.choices(signs, k=rng.choice([1, 1, 2, 3, 5, 9, 45]))) for _ in range(rng.randrange(12))]
+            texts.append("".join(w + rng.choice([" ", "  ", "\n", "\u00a0", "\x1c"]) for w in some))
+        left, spaced = model.screen.left([t.lower() for t in texts])
+        for text, own, letters in zip(texts, left, spaced):
+            every = text.lower().split()
+            marked = [w for w in every if plain_model.toxic_word(w)]
+            assert [w for w in own if model.toxic_word(w)] == marked, text
+            single = "".join("s" if len(w) < 3 and (len(w) == 1 or w[1] in ".-_*") else " " for w in every)
+            assert letters == ("ss" in single), text
+        assert model.found(texts, {}) == [model.found([t], {})[0] for t in texts]
+    assert model.found([], {}) == []
+
+
+def test_screen_spares_most_words(toxicity_model):
+    """A word by itself costs so much that only those that may be marked are looked at."""
+    rng = random.Random(4)
+    model = toxicity.Model(toxicity_model.marks, toxicity_model.characters, toxicity_model.shares)
+    asked, own = [], model.toxic_word
+    model.toxic_word = lambda word: asked.append(word) or own(word)
+    text = " ".join("".join(rng.choices("aeionrtéöи", k=rng.randrange(2, 12))) + rng.choice(["", "", ".", ","]) for _ in range(5000)) + " idiot"
+    assert model.count(text, {}) >= 1
+    assert "idiot" in asked and len(asked) < 250
+
+
 def test_every_label_teaches_toxicity(spark, frame):
     """Each of more labelled texts than the sample of an earlier version held changes counts and shares; documents without a
     training label change nothing."""
